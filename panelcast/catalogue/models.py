@@ -360,8 +360,8 @@ centred AS (SELECT unique_id, pos, effect - avg(effect) OVER (PARTITION BY uniqu
     "mstl_components",
     f"""
     WITH {_DEMAND}, {_SEASON}
-    SELECT trended.unique_id, CAST(t AS BIGINT) AS t, round(trend, 4) AS trend, round(effect, 4) AS seasonal,
-           round(y - effect, 4) AS remainder_level
+    SELECT trended.unique_id, CAST(t AS BIGINT) AS t, round(trend, 6) AS trend, round(effect, 6) AS seasonal,
+           round(y - effect, 6) AS remainder_level
     FROM trended JOIN centred ON centred.unique_id = trended.unique_id AND pos = (t - 1) % 12
     """,
 )
@@ -380,7 +380,7 @@ def mstl_components(spark, sf_dir):
     return parts.select("unique_id", F.posexplode(zipped).alias("t", "p")).select(
         "unique_id",
         (F.col("t") + 1).cast("bigint").alias("t"),
-        *[F.round(f"p.{c}", 4).alias(c) for c in ("trend", "seasonal", "remainder_level")],
+        *[F.round(f"p.{c}", 6).alias(c) for c in ("trend", "seasonal", "remainder_level")],
     )
 
 

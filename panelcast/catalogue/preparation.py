@@ -428,7 +428,7 @@ _SHARDS = 7
 _GREEDY = f"""
 {DEMAND},
 counts AS (SELECT unique_id, CAST(count(*) AS BIGINT) AS n_obs FROM demand GROUP BY unique_id),
-ordered AS (SELECT n_obs, row_number() OVER (ORDER BY n_obs DESC) AS i FROM counts),
+ordered AS MATERIALIZED (SELECT n_obs, row_number() OVER (ORDER BY n_obs DESC) AS i FROM counts),
 picks AS (
   SELECT 0 AS i, list_transform(range({_SHARDS}), lambda s: CAST(0 AS BIGINT)) AS loads,
          CAST(NULL AS BIGINT) AS n_obs, CAST(NULL AS BIGINT) AS shard

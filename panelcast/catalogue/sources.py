@@ -227,7 +227,7 @@ def account_panel(spark, sf_dir):
       FROM daily
     )
     SELECT unique_id, CAST(count(*) AS BIGINT) AS days, min(day) AS first_day, max(day) AS last_day,
-           round(sum(target), 1) AS total, round(max(target), 2) AS top
+           round(sum(target), 2) AS total, round(max(target), 2) AS top
     FROM points GROUP BY unique_id
     """,
 )
@@ -239,7 +239,7 @@ def synthetic_panel(spark, sf_dir):
             F.count("*").alias("days"),
             F.min("date").alias("first_day"),
             F.max("date").alias("last_day"),
-            F.round(F.sum("target"), 1).alias("total"),
+            F.round(F.sum("target"), 2).alias("total"),
             F.round(F.max("target"), 2).alias("top"),
         )
     )

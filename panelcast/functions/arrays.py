@@ -13,6 +13,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def grid(rows: list[tuple], names: list[str]) -> Column:
+    """Constant array of structs of doubles, e.g. the parameter combinations a model tries."""
+    structs = (
+        "named_struct(" + ", ".join(f"'{name}', {float(v)!r}D" for name, v in zip(names, row)) + ")" for row in rows
+    )
+    return F.expr(f"array({', '.join(structs)})")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -35,8 +43,12 @@ def steps(n: int | Column) -> Column:
 def tail(a: Column, k: Column | int) -> Column:
     """Last ``k`` elements (all of them when the array is shorter)."""
     k = F.lit(k) if isinstance(k, int) else k
-    keep = F.least(k, F.size(a))
-    return F.slice(a, F.size(a) - keep + 1, keep)
+
+    def cut(v: Column) -> Column:
+        keep = F.least(k, F.size(v))
+        return F.slice(v, F.size(v) - keep + 1, keep)
+
+    return let(a, cut)
 
 
 def head(a: Column, k: Column | int) -> Column:

@@ -18,8 +18,11 @@ _MIN_POINTS = 6
 
 
 def difference(a: Column, lag: int) -> Column:
-    return F.transform(
-        F.slice(a, lag + 1, F.greatest(F.size(a) - lag, F.lit(0))), lambda v, i: v - F.get(a, i)
+    return let(
+        a,
+        lambda x: F.transform(
+            F.slice(x, lag + 1, F.greatest(F.size(x) - lag, F.lit(0))), lambda v, i: v - F.get(x, i)
+        ),
     )
 
 
@@ -41,43 +44,64 @@ def ar_coefficients(w: Column, p: int, drop: int | None = None) -> Column:
     return least_squares([lagged(w, i, drop) for i in range(1, p + 1)], lagged(w, 0, drop))
 
 
-def _squared_error(w: Column, coef: Column, p: int) -> Column:
-    def without(errors: Column, i: int) -> Column:
-        return F.zip_with(errors, lagged(w, i, _MAX_ORDER), lambda e, x: e - F.get(coef, F.lit(i)) * x)
-
-    errors = lagged(w, 0, _MAX_ORDER)
-    for i in range(1, p + 1):
-        errors = without(errors, i)
-    errors = F.transform(errors, lambda e: e - F.get(coef, F.lit(0)))
-    return let(errors, lambda e: dot(e, e))
-
+def _products(w: Column) -> Column:
+    """Means and centred products of ``w`` with its first two lags on their common sample."""
 
-def _stationary(phi1: Column, phi2: Column) -> Column:
-    return (F.abs(phi2) < 0.99) & (phi1 + phi2 < 0.99) & (phi2 - phi1 < 0.99)
+    def product(x: Column, i: int, j: int, name: str) -> Column:
+        return dot(F.get(x, F.lit(i)), F.get(x, F.lit(j))).alias(name)
 
+    def gather(x: Column, mu: Column) -> Column:
+        centred = F.zip_with(x, mu, lambda column, c: F.transform(column, lambda v: v - c))
+        return let(
+            centred,
+            lambda z: F.struct(
+                mu.alias("mu"),
+                product(z, 0, 0, "yy"),
+                product(z, 1, 1, "s11"),
+                product(z, 2, 2, "s22"),
+                product(z, 1, 2, "s12"),
+                product(z, 0, 1, "s1y"),
+                product(z, 0, 2, "s2y"),
+            ),
+        )
 
-def _order_candidate(w: Column, p: int) -> Column:
-    def build(coef: Column) -> Column:
-        def coefficient(i: int) -> Column:
-            return F.get(coef, F.lit(i)) if i <= p else F.lit(0.0)
+    lags = F.array(*[lagged(w, i, _MAX_ORDER) for i in range(_MAX_ORDER + 1)])
+    return let(lags, lambda x: let(F.transform(x, mean), lambda mu: gather(x, mu)))
+
+
+def _order_candidates(n: Column, s: Column) -> Column:
+    """Scored orders 0, 1, 2; NULL where the order is not identified or not stationary."""
+    zero = F.lit(0.0)
+    phi = F.when(s["s11"] > 0, F.try_divide(s["s1y"], s["s11"]))
+    det = s["s11"] * s["s22"] - s["s12"] * s["s12"]
+    det = F.when(det > F.lit(1e-10) * s["s11"] * s["s22"], det)
+    phi1 = F.try_divide(s["s1y"] * s["s22"] - s["s2y"] * s["s12"], det)
+    phi2 = F.try_divide(s["s2y"] * s["s11"] - s["s1y"] * s["s12"], det)
+    weights = F.array(
+        F.struct(F.lit(0).alias("p"), zero.alias("phi1"), zero.alias("phi2")),
+        F.struct(F.lit(1).alias("p"), phi.alias("phi1"), zero.alias("phi2")),
+        F.struct(F.lit(2).alias("p"), phi1.alias("phi1"), phi2.alias("phi2")),
+    )
 
-        n = F.size(w) - _MAX_ORDER
-        score = aicc(_squared_error(w, coef, p), n, F.lit(float(p + 2)))
+    def score(c: Column) -> Column:
+        sse = s["yy"] - c["phi1"] * s["s1y"] - c["phi2"] * s["s2y"]
+        usable = (F.abs(c["phi2"]) < 0.99) & (c["phi1"] + c["phi2"] < 0.99) & (c["phi2"] - c["phi1"] < 0.99)
+        level = F.get(s["mu"], F.lit(0)) - c["phi1"] * F.get(s["mu"], F.lit(1)) - c["phi2"] * F.get(s["mu"], F.lit(2))
         return let(
-            score,
-            lambda c: F.when(
-                c.isNotNull() & _stationary(coefficient(1), coefficient(2)),
+            aicc(sse, n, c["p"].cast("double") + 2.0),
+            lambda a: F.when(
+                a.isNotNull() & usable,
                 F.struct(
-                    c.alias("aicc"),
-                    F.lit(p).alias("p"),
-                    coefficient(0).alias("c"),
-                    coefficient(1).alias("phi1"),
-                    coefficient(2).alias("phi2"),
+                    a.alias("aicc"),
+                    c["p"].alias("p"),
+                    level.alias("c"),
+                    c["phi1"].alias("phi1"),
+                    c["phi2"].alias("phi2"),
                 ),
             ),
         )
 
-    return let(ar_coefficients(w, p, drop=_MAX_ORDER), build)
+    return F.transform(weights, score)
 
 
 def ar_order(w: Column) -> Column:
@@ -89,7 +113,8 @@ def ar_order(w: Column) -> Column:
         F.lit(0.0).alias("phi1"),
         F.lit(0.0).alias("phi2"),
     )
-    return F.coalesce(best(F.array(*[_order_candidate(w, p) for p in range(_MAX_ORDER + 1)])), mean_only)
+    scored = let(_products(w), lambda s: best(_order_candidates(F.size(w) - _MAX_ORDER, s)))
+    return F.coalesce(scored, mean_only)
 
 
 def differencing(y: Column, m: int) -> Column:

@@ -180,7 +180,8 @@ def estimator(key: str, profile: str, feature_cols: list[str], rows: DataFrame)
             predictionCol="prediction",
             loss="huber",
             regParam=1.0 / p["c"],
-            maxIter=100,
+            maxIter=50,
+            tol=1e-4,
         )
     else:
         raise ValueError(f"unknown global model {key!r}; supported: {', '.join(GLOBAL_KEYS)}")

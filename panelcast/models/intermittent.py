@@ -33,7 +33,7 @@ def ses_level(x: Column, alpha: float = ALPHA) -> Column:
 
 def ses_best(x: Column, grid: list[float] = ALPHA_GRID) -> Column:
     """struct(sse, alpha, level) of the weight with the least squared one-step error."""
-    alphas = F.array(*[F.lit(a) for a in grid])
+    alphas = F.expr(f"array({', '.join(f'{a}D' for a in grid)})")
     return let(
         x,
         lambda v: F.when(

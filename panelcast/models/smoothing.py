@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import at, best, head, let, mean, steps, total
+from panelcast.functions.arrays import at, best, grid, head, let, mean, steps
 from panelcast.models.intermittent import ses_best
 
 THETA_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -71,10 +71,6 @@ def aicc(sse: Column, n: Column, k: Column) -> Column:
     )
 
 
-def _grid_literal(rows: list[tuple], names: list[str]) -> Column:
-    return F.array(*[F.struct(*[F.lit(float(v)).alias(c) for c, v in zip(names, row)]) for row in rows])
-
-
 def _candidate(n: Column, g: Column, s: Column, season: Column) -> Column:
     return let(
         aicc(s["sse"], n, g["k"]),
@@ -116,16 +112,18 @@ def ets_plain(y: Column) -> Column:
 
         return let(F.aggregate(y, init, smooth), lambda s: _candidate(n, g, s, F.array(F.lit(0.0))))
 
-    grid = _grid_literal(_plain_grid(), ["k", "alpha", "beta", "phi"])
+    candidates = grid(_plain_grid(), ["k", "alpha", "beta", "phi"])
     # Start values: line through the first ten points, one step before the first.
-    first = head(y, 10)
     start = let(
-        trend_line(first),
-        lambda t: F.struct(
-            (t["intercept"] - t["slope"]).alias("intercept"), t["slope"].alias("slope"), mean(first).alias("ybar")
+        head(y, 10),
+        lambda first: let(
+            trend_line(first),
+            lambda t: F.struct(
+                (t["intercept"] - t["slope"]).alias("intercept"), t["slope"].alias("slope"), mean(first).alias("ybar")
+            ),
         ),
     )
-    return let(start, lambda st: best(F.transform(grid, lambda g: run(st, g))))
+    return let(start, lambda st: best(F.transform(candidates, lambda g: run(st, g))))
 
 
 def ets_seasonal(y: Column, m: int) -> Column:
@@ -159,7 +157,7 @@ def ets_seasonal(y: Column, m: int) -> Column:
             lambda s: _candidate(n, g, s, s["season"]),
         )
 
-    grid = _grid_literal(_seasonal_grid(m), ["k", "alpha", "beta", "phi", "gamma"])
+    candidates = grid(_seasonal_grid(m), ["k", "alpha", "beta", "phi", "gamma"])
     first = mean(head(y, m))
     slope = (mean(F.slice(y, m + 1, m)) - first) / m
     start = let(
@@ -168,7 +166,7 @@ def ets_seasonal(y: Column, m: int) -> Column:
             s["mean"].alias("mean"), s["slope"].alias("slope"), (s["mean"] - s["slope"] * (m + 1) / 2.0).alias("level")
         ),
     )
-    return F.when(n >= 2 * m, let(start, lambda st: best(F.transform(grid, lambda g: run(st, g)))))
+    return F.when(n >= 2 * m, let(start, lambda st: best(F.transform(candidates, lambda g: run(st, g)))))
 
 
 def ets_path(fit: Column, h: int) -> Column:

@@ -14,7 +14,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import best, constant, least_squares, let, mean, steps, tail
+from panelcast.functions.arrays import best, constant, grid, least_squares, let, mean, steps, tail
 from panelcast.models.autoregression import lagged, variance
 
 ALPHA_SUMS = [0.05, 0.1, 0.15, 0.2]
@@ -68,7 +68,7 @@ def _push(window: Column, value: Column, k: int) -> Column:
 
 def garch_fit(y: Column, p: int, q: int) -> Column:
     """struct(nll, alpha, beta, omega, e2, s2) of the best grid point."""
-    grid = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta")) for a, b in GARCH_GRID])
+    candidates = grid(GARCH_GRID, ["alpha", "beta"])
 
     def run(e2: Column, var: Column, g: Column) -> Column:
         start = F.struct(
@@ -101,7 +101,7 @@ def garch_fit(y: Column, p: int, q: int) -> Column:
     return let(
         F.struct(squared_residuals(y).alias("e2"), variance(y).alias("var")),
         lambda d: F.when(
-            F.size(d["e2"]) > 0, best(F.transform(grid, lambda g: run(d["e2"], d["var"], g)))
+            F.size(d["e2"]) > 0, best(F.transform(candidates, lambda g: run(d["e2"], d["var"], g)))
         ),
     )
 

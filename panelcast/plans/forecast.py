@@ -66,26 +66,23 @@ def refit_and_forecast(
     Global champions are refitted once on the history of all series and score
     the series that chose them. Only models some series chose are fitted.
     """
-    families = split_families(models, profile)
-    parts = []
+    # At most one name per model comes back; models no series chose are neither fitted nor planned.
+    wanted = {r[0] for r in chosen.select("best_model_name").distinct().collect()}
+    families = split_families([m for m in models if m in wanted], profile)
     pooled = [*families["global"], *families["grouped"]]
     is_pooled = F.col("best_model_name").isin(pooled) if pooled else F.lit(False)
-    parts.append(champion_paths(chosen.where(~is_pooled), models, h, freq, season, keep))
-    if pooled:
-        wanted = [r[0] for r in chosen.where(is_pooled).select("best_model_name").distinct().collect()]
-        keys = chosen.select("unique_id", *(keep or []))
-        trained = [m for m in families["global"] if m in wanted]
-        if trained:
-            fitted = fit_global(training_rows(panel_rows(chosen), spec), trained, spec, profile)
-            state = chosen.withColumn("last_ds", F.element_at("dates", -1))
-            for name in trained:
-                mine = state.where(F.col("best_model_name") == name)
-                out = predict_recursive(mine, {name: fitted[name]}, h, freq, spec)
-                parts.append(_as_forecast(out, keys, keep))
-        for name in [m for m in families["grouped"] if m in wanted]:
-            mine = panel_rows(chosen.where(F.col("best_model_name") == name))
-            out = grouped_forecast(mine, name, h, freq, season).where("error IS NULL")
-            parts.append(_as_forecast(out, keys, keep))
+    parts = [champion_paths(chosen.where(~is_pooled), families["native"], h, freq, season, keep)]
+    keys = chosen.select("unique_id", *(keep or []))
+    if families["global"]:
+        fitted = fit_global(training_rows(panel_rows(chosen), spec), families["global"], spec, profile)
+        state = chosen.withColumn("last_ds", F.element_at("dates", -1))
+        for name, model in fitted.items():
+            mine = state.where(F.col("best_model_name") == name)
+            parts.append(_as_forecast(predict_recursive(mine, {name: model}, h, freq, spec), keys, keep))
+    for name in families["grouped"]:
+        mine = panel_rows(chosen.where(F.col("best_model_name") == name))
+        out = grouped_forecast(mine, name, h, freq, season).where("error IS NULL")
+        parts.append(_as_forecast(out, keys, keep))
     return union_parts(parts)
 
 

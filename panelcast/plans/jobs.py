@@ -61,47 +61,53 @@ class SeriesConfig:
         return FeatureSpec(lags, default_lag_transforms(lags), list(self.date_features))
 
 
-def audit_series(series: DataFrame, config: SeriesConfig, ml_paths: dict[str, str] | None = None) -> DataFrame:
-    """Score all models of every series inside its row and name the champion.
+def score_series(series: DataFrame, config: SeriesConfig, ml_paths: dict[str, str] | None = None) -> DataFrame:
+    """Score all models of every series inside its row: adds ``scores``, an array of model and rmse.
 
     ``ml_paths`` maps a model label to the column with its validation forecast.
-    Adds ``scores`` (array of model and rmse), ``best_model_name`` and ``rmse``.
+    A series without a date that both the hold-out and the calendar forecast
+    have gets no scores.
     """
     h = config.validation_horizon
-    names = list(config.stats_models)
-    ahead = future_dates(F.col("train_end"), h, config.freq)
+    split = series if "train" in series.columns else hold_out(series, h)
 
-    def score(name, path):
-        return F.struct(
-            F.lit(name).alias("model"),
-            rmse_of(F.col("valid_dates"), F.col("valid"), F.col("ahead"), path).alias("rmse"),
-        )
+    def entries(ahead):
+        def score(name, path):
+            error = rmse_of(F.col("valid_dates"), F.col("valid"), ahead, path)
+            return F.struct(F.lit(name).alias("model"), error.alias("rmse"))
+
+        native = [score(n, forecast_path(n, F.col("train"), h, config.season_length)) for n in config.stats_models]
+        return F.array(*native, *[score(n, F.col(c)) for n, c in (ml_paths or {}).items()])
 
-    entries = [score(n, forecast_path(n, F.col("train"), h, config.season_length)) for n in names]
-    entries += [score(n, F.col(c)) for n, c in (ml_paths or {}).items()]
-    split = series if "train" in series.columns else hold_out(series, h)
-    # No champion without a date that both the hold-out and the calendar forecast have.
     audited = (F.col("n") >= config.min_history) & (F.col("n") > h)
-    comparable = audited & F.arrays_overlap("valid_dates", "ahead")
-    scored = split.withColumn("ahead", ahead).withColumn("scores", F.when(comparable, F.array(*entries)))
+    scores = let(
+        future_dates(F.col("train_end"), h, config.freq),
+        lambda ahead: F.when(F.arrays_overlap(F.col("valid_dates"), ahead), entries(ahead)),
+    )
+    keys = [c for c in series.columns if c in ("unique_id", "sys_id", "dates", "values", "n")]
+    return split.select(*keys, F.when(audited, scores).alias("scores"))
+
+
+def name_champions(scored: DataFrame, config: SeriesConfig) -> DataFrame:
+    """Add ``best_model_name`` and ``rmse``: least RMSE, ties by model name, naive for short histories."""
     ranked = F.transform(
         "scores",
         lambda s: F.struct(s["rmse"].isNull().alias("missing"), s["rmse"].alias("rmse"), s["model"].alias("model")),
     )
     is_fallback = F.col("n") < config.min_history
     if config.fallback_unscored:
-        is_fallback = is_fallback | ~comparable
-    return scored.withColumn(
-        "best",
-        let(F.array_min(ranked), lambda b: F.struct(b["model"].alias("model"), b["rmse"].alias("rmse"))),
-    ).select(
-        *[c for c in series.columns if c in ("unique_id", "sys_id", "dates", "values", "n")],
-        "scores",
+        is_fallback = is_fallback | F.col("scores").isNull()
+    return scored.withColumn("best", F.array_min(ranked)).select(
+        *scored.columns,
         F.when(is_fallback, F.lit(FALLBACK_LABEL)).otherwise(F.col("best.model")).alias("best_model_name"),
         F.col("best.rmse").alias("rmse"),
     )
 
 
+def audit_series(series: DataFrame, config: SeriesConfig, ml_paths: dict[str, str] | None = None) -> DataFrame:
+    return name_champions(score_series(series, config, ml_paths), config)
+
+
 def metric_rows(audited: DataFrame) -> DataFrame:
     """Long metrics: one row per scored series and model."""
     return (
@@ -113,10 +119,12 @@ def metric_rows(audited: DataFrame) -> DataFrame:
 
 def metric_table(audited: DataFrame, models: list[str]) -> DataFrame:
     """Wide metrics straight from the score array: no pivot, no shuffle, no join."""
+    keys = ["sys_id"] if "sys_id" in audited.columns else []
     by_model = F.map_from_entries(F.col("scores"))
-    wide = audited.select("unique_id", "best_model_name", "rmse", by_model.alias("by_model"))
+    wide = audited.select(*keys, "unique_id", "best_model_name", "rmse", by_model.alias("by_model"))
     columns = [F.try_element_at("by_model", F.lit(m)).alias(metric_column(m)) for m in models]
     return wide.select(
+        *keys,
         "unique_id",
         *columns,
         F.col("best_model_name").alias("Best_model_name"),
@@ -163,10 +171,10 @@ def series_champion(panel: DataFrame, config: SeriesConfig, keep: list[str] | No
     seconds["ml_audit_seconds"] = round(time.perf_counter() - t0, 3)
 
     t0 = time.perf_counter()
-    audited = materialize(audit_series(split, config, ml_paths))
+    audited = name_champions(materialize(score_series(split, config, ml_paths)), config)
     seconds["stats_audit_seconds"] = round(time.perf_counter() - t0, 3)
 
-    chosen = audited.where(F.col("best_model_name").isNotNull())
+    chosen = audited.where(F.col("best_model_name").isNotNull()).drop("scores", "rmse")
     forecasts = refit_and_forecast(
         chosen,
         models,
@@ -212,12 +220,12 @@ def _ml_paths(split: DataFrame, eligible: DataFrame, config: SeriesConfig):
                     last_ds="train_end",
                 )
             )
-        return pp.union_parts(parts).drop("shard"), columns, len(fitted)
+        return materialize(pp.union_parts(parts).drop("shard")), columns, len(fitted)
     fitted = fit_global(rows, names, spec, config.profile)
     out = predict_paths(
         split, {columns[k]: v for k, v in fitted.items()}, h, config.freq, spec, values="train", last_ds="train_end"
     )
-    return out, columns, 1
+    return materialize(out), columns, 1
 
 
 def run_series_champion(
@@ -243,7 +251,7 @@ def run_series_champion(
         t0 = time.perf_counter()
         stamp = {"created_at": F.lit(run_ts).cast("timestamp_ntz"), "run_id": F.lit(run_id)}
         for name, df, by in (
-            ("metrics", result.metrics.join(result.champions.select("unique_id", "sys_id"), "unique_id"), ["sys_id"]),
+            ("metrics", result.metrics, ["sys_id"]),
             ("champions", result.champions, ["run_id"]),
             ("forecasts", result.forecasts, ["run_id"]),
         ):

@@ -17,7 +17,6 @@ from panelcast.operators.features import FeatureSpec, rolling_name
 from panelcast.staging import materialize
 
 _STEPS_PER_PLAN = 16
-_SCRATCH = ("prediction", "features")
 
 
 def _step_features(spec: FeatureSpec, hist: Column, ds: Column) -> dict[str, Column]:
@@ -44,23 +43,21 @@ def predict_paths(
 
     A series with too little history for the features gets NULL predictions.
     """
-    depth = spec.history
-    out = series
+    complete = F.lit(True)
+    for c in spec.columns:
+        complete = complete & F.col(c).isNotNull()
+    value = F.when(complete & ~F.isnan("prediction"), F.col("prediction"))
+    out, kept = series, list(series.columns)
     for name, model in models.items():
         state = f"__hist_{name}"
-        out = out.withColumn(state, tail(F.col(values), depth))
+        out = out.withColumn(state, tail(F.col(values), spec.history))
         for k in range(1, h + 1):
-            kept = out.columns
-            ready = F.lit(True)
-            for c in spec.columns:
-                ready = ready & F.col(c).isNotNull()
             ds = next_period(F.col(last_ds), k, freq)
             scored = model.transform(out.withColumns(_step_features(spec, F.col(state), ds)))
-            value = F.when(ready & ~F.isnan("prediction"), F.col("prediction"))
-            scored = scored.withColumn(state, F.concat(F.col(state), F.array(value)))
-            out = scored.select(*kept)
+            out = scored.select(*kept, F.concat(F.col(state), F.array(value)).alias(state))
             if k % _STEPS_PER_PLAN == 0 and k < h:
                 out = materialize(out)
+        kept.append(name)
         out = out.withColumn(name, tail(F.col(state), h)).drop(state)
     return out
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.models import global_ml
 from panelcast.models.registry import get_model
 from panelcast.operators.features import FeatureSpec, build_features
 from panelcast.operators.prepare import union_parts
@@ -19,31 +21,46 @@ def training_rows(panel: DataFrame, spec: FeatureSpec) -> DataFrame:
     return build_features(panel, spec, drop_incomplete=True).select("unique_id", *keep, "y", *spec.columns)
 
 
+def _fit_all(tasks: dict, parallelism: int) -> dict:
+    """Fit several pipelines at once: boosting is a chain of short jobs that alone leave cores idle."""
+
+    def run(task):
+        name, profile, spec, rows = task
+        return get_model(name, profile).build(spec.columns, rows).fit(rows)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks) or 1))) as pool:
+        fits = {key: pool.submit(inheritable_thread_target(run), task) for key, task in tasks.items()}
+        return {key: fit.result() for key, fit in fits.items()}
+
+
 def fit_global(
-    rows: DataFrame, models: list[str], spec: FeatureSpec, profile: str = "default"
+    rows: DataFrame, models: list[str], spec: FeatureSpec, profile: str = "default", parallelism: int = 4
 ) -> dict[str, PipelineModel]:
     """Fit each model on the feature rows of all series; rows are kept once for all models."""
     rows = rows.persist()
     try:
-        return {name: get_model(name, profile).build(spec.columns, rows).fit(rows) for name in models}
+        return _fit_all({name: (name, profile, spec, rows) for name in models}, parallelism)
     finally:
         rows.unpersist()
 
 
 def fit_sharded(
-    rows: DataFrame, shards: DataFrame, models: list[str], spec: FeatureSpec, profile: str = "default"
+    rows: DataFrame,
+    shards: DataFrame,
+    models: list[str],
+    spec: FeatureSpec,
+    profile: str = "default",
+    parallelism: int = 4,
 ) -> dict[int, dict[str, PipelineModel]]:
     """One model set per shard of series. The number of shards is small and chosen by the caller."""
     marked = rows.join(shards.select("unique_id", "shard"), "unique_id").persist()
     try:
         numbers = [r["shard"] for r in marked.select("shard").distinct().orderBy("shard").collect()]
-        return {
-            i: {
-                name: get_model(name, profile).build(spec.columns, part).fit(part) for name in models
-            }
-            for i in numbers
-            for part in [marked.where(F.col("shard") == i)]
+        tasks = {
+            (i, name): (name, profile, spec, marked.where(F.col("shard") == i)) for i in numbers for name in models
         }
+        fits = _fit_all(tasks, parallelism)
+        return {i: {name: fits[i, name] for name in models} for i in numbers}
     finally:
         marked.unpersist()
 
@@ -64,7 +81,3 @@ def predict_sharded(
             for i, models in fitted.items()
         ]
     )
-
-
-def is_global(name: str) -> bool:
-    return get_model(name).key in global_ml.GLOBAL_KEYS

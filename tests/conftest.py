@@ -20,6 +20,7 @@ def build_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
