@@ -28,8 +28,12 @@ def _fit_all(tasks: dict, parallelism: int) -> dict:
         name, profile, spec, rows = task
         return get_model(name, profile).build(spec.columns, rows).fit(rows)
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks) or 1))) as pool:
-        fits = {key: pool.submit(inheritable_thread_target(run), task) for key, task in tasks.items()}
+    if not tasks:
+        return {}
+    session = next(iter(tasks.values()))[3].sparkSession
+    threaded = inheritable_thread_target(session)(run)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        fits = {key: pool.submit(threaded, task) for key, task in tasks.items()}
         return {key: fit.result() for key, fit in fits.items()}
 
 
