@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from panelcast.catalogue.panels import (
     DEMAND,
+    DEMAND_RAW,
     EVENT_DAYS,
     SALES,
     SALES_RAW,
     TYPE_DAYS,
     demand,
+    demand_raw,
     event_days,
     event_raw,
     sales,
@@ -215,6 +217,37 @@ def holdout_split(spark, sf_dir):
     return pp.holdout_split(demand(spark, sf_dir), 12)
 
 
+@query(
+    "holdout_split_raw",
+    """
+    WITH ranked AS (
+      SELECT event_type AS unique_id, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rn,
+             count(*) OVER (PARTITION BY event_type) AS n
+      FROM events
+    )
+    SELECT unique_id, event_id, rn <= 100 AS is_valid FROM ranked WHERE n > 100
+    """,
+)
+def holdout_split_raw(spark, sf_dir):
+    """Raw rows with very long series: no series is ever sorted in one task."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("unique_id"), F.col("ts").alias("ds"), "event_id"
+    )
+    return pp.holdout_split(events, 100, bounded=False).drop("ds")
+
+
+@query(
+    "short_series_filter_raw",
+    f"""
+    WITH {DEMAND_RAW}
+    SELECT unique_id, CAST(count(*) AS BIGINT) AS n FROM demand_raw GROUP BY unique_id HAVING count(*) > 30
+    """,
+)
+def short_series_filter_raw(spark, sf_dir):
+    kept = pp.filter_series(demand_raw(spark, sf_dir), 30, bounded=False)
+    return kept.groupBy("unique_id").agg(F.count("*").alias("n"))
+
+
 @query(
     "recency_rank",
     f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import at, best, grid, head, let, mean, steps
+from panelcast.functions.arrays import at, best, grid, head, let, mean, push, steps
 from panelcast.models.intermittent import ses_best
 
 THETA_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -142,14 +142,14 @@ def ets_seasonal(y: Column, m: int) -> Column:
         def smooth(s: Column, v: Column) -> Column:
             slope = g["phi"] * s["trend"]
             base = s["level"] + slope
-            e = v - base - at(s["season"], 0)
-            return F.struct(
-                (base + g["alpha"] * e).alias("level"),
-                (slope + g["beta"] * e).alias("trend"),
-                F.concat(F.slice(s["season"], 2, m - 1), F.array(at(s["season"], 0) + g["gamma"] * e)).alias(
-                    "season"
+            return let(
+                v - base - at(s["season"], 0),
+                lambda e: F.struct(
+                    (base + g["alpha"] * e).alias("level"),
+                    (slope + g["beta"] * e).alias("trend"),
+                    push(s["season"], at(s["season"], 0) + g["gamma"] * e, m).alias("season"),
+                    (s["sse"] + e * e).alias("sse"),
                 ),
-                (s["sse"] + e * e).alias("sse"),
             )
 
         return let(

@@ -14,7 +14,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import best, constant, grid, least_squares, let, mean, steps, tail
+from panelcast.functions.arrays import best, constant, grid, least_squares, let, mean, push, steps, tail
 from panelcast.models.autoregression import lagged, variance
 
 ALPHA_SUMS = [0.05, 0.1, 0.15, 0.2]
@@ -61,11 +61,6 @@ def _next_variance(g: Column, var: Column, e2: Column, s2: Column, p: int, q: in
     return F.greatest(omega + g["alpha"] / p * shocks + g["beta"] / q * past, F.lit(1e-12))
 
 
-def _push(window: Column, value: Column, k: int) -> Column:
-    """Fixed-length history: drop the oldest value, append the newest."""
-    return F.array(*[F.get(window, F.lit(i)) for i in range(1, k)], value)
-
-
 def garch_fit(y: Column, p: int, q: int) -> Column:
     """struct(nll, alpha, beta, omega, e2, s2) of the best grid point."""
     candidates = grid(GARCH_GRID, ["alpha", "beta"])
@@ -79,8 +74,8 @@ def garch_fit(y: Column, p: int, q: int) -> Column:
             return let(
                 _next_variance(g, var, s["e2"], s["s2"], p, q),
                 lambda v: F.struct(
-                    _push(s["e2"], e, p).alias("e2"),
-                    _push(s["s2"], v, q).alias("s2"),
+                    push(s["e2"], e, p).alias("e2"),
+                    push(s["s2"], v, q).alias("s2"),
                     (s["nll"] + 0.5 * (F.log(v) + e / v)).alias("nll"),
                 ),
             )
@@ -112,8 +107,8 @@ def garch_variance(y: Column, h: int, p: int, q: int) -> Column:
             return let(
                 _next_variance(fit, fit["variance"], s["e2"], s["s2"], p, q),
                 lambda v: F.struct(
-                    _push(s["e2"], v, p).alias("e2"),
-                    _push(s["s2"], v, q).alias("s2"),
+                    push(s["e2"], v, p).alias("e2"),
+                    push(s["s2"], v, q).alias("s2"),
                     F.concat(s["path"], F.array(v)).alias("path"),
                 ),
             )

@@ -105,8 +105,16 @@ def anti_join_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(ids.select("unique_id"), "unique_id", "left_anti")
 
 
-def filter_series(df: DataFrame, min_exclusive: int) -> DataFrame:
-    """Keep series with more than ``min_exclusive`` rows."""
+def filter_series(df: DataFrame, min_exclusive: int, bounded: bool = True) -> DataFrame:
+    """Keep series with more than ``min_exclusive`` rows.
+
+    ``bounded`` says that the panel is aggregated: one count window, one pass.
+    Otherwise counts are combined on the map side and joined back, so that a
+    series with very many raw rows never meets in one task.
+    """
+    if bounded:
+        n = F.count("*").over(Window.partitionBy("unique_id"))
+        return df.withColumn("__n", n).where(F.col("__n") > min_exclusive).drop("__n")
     return semi_join_ids(df, series_counts(df).where(F.col("n_obs") > min_exclusive))
 
 
@@ -138,12 +146,18 @@ def top_k_per_series(df: DataFrame, k: int) -> DataFrame:
     return recency_rank(df).where(F.col("rn") <= k)
 
 
-def holdout_split(df: DataFrame, h: int) -> DataFrame:
+def holdout_split(df: DataFrame, h: int, bounded: bool = True) -> DataFrame:
     """Mark the last ``h`` rows of every series; series with ``h`` rows or fewer are left out.
 
-    Only the newest ``h + 1`` rows of a series meet in one task (the rank limit
-    runs before the shuffle); the rest is an equi-join on the cut-off date.
+    ``bounded`` says that the panel is aggregated: one shuffle by series serves
+    both the count and the rank. Otherwise only the newest ``h + 1`` rows of a
+    series meet in one task (the rank limit runs before the shuffle) and the
+    rest is an equi-join on the cut-off date.
     """
+    if bounded:
+        n = F.count("*").over(Window.partitionBy("unique_id"))
+        ranked = recency_rank(df).withColumn("__n", n).where(F.col("__n") > h)
+        return ranked.withColumn("is_valid", F.col("rn") <= h).drop("rn", "__n")
     cutoff = (
         top_k_per_series(df.select("unique_id", "ds"), h + 1)
         .groupBy("unique_id")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.prepare import series_counts
+from panelcast.staging import materialize
 
 _BUCKETS = 2  # hex digits of the id hash that spread the series of one length
 
@@ -74,7 +75,8 @@ def rank_within_length(counts: DataFrame) -> DataFrame:
 
 def balanced_shards(df: DataFrame, n_shards: int) -> DataFrame:
     """``unique_id, n_obs, shard``; shard numbers from 0, empty shards do not appear."""
-    counts = series_counts(df)
+    # One row per series, read several times below; the panel behind it is read once.
+    counts = materialize(series_counts(df))
     histogram = counts.groupBy("n_obs").agg(F.count("*").alias("n")).collect()
     total = sum(r["n"] for r in histogram)
     n = max(1, min(n_shards, total))

@@ -34,15 +34,23 @@ def uniform_noise(seed: int, *keys: Column) -> Column:
 
 
 def panel_for_accounts(accounts: DataFrame, start: Column, end: Column, seed: int | None = None) -> DataFrame:
-    """One row per account and day; ``accounts`` holds ``sys_id, account_id`` (and any bound columns)."""
-    daily = accounts.withColumn("start_date", start).select(
-        "sys_id", "account_id", "start_date", F.explode(F.sequence(start, end)).alias("date")
+    """One row per account and day; ``accounts`` holds ``sys_id, account_id`` (and any bound columns).
+
+    A few account rows grow into many days, so they are spread over all cores first.
+    """
+    spread = accounts.sparkSession.sparkContext.defaultParallelism * 4
+    daily = (
+        accounts.repartition(spread, "sys_id", "account_id")
+        .withColumns({"unique_id": F.format_string("SYS%02d_ACC%04d", "sys_id", "account_id"), "start_date": start})
+        .select(
+            "sys_id", "account_id", "unique_id", "start_date", F.explode(F.sequence(start, end)).alias("date")
+        )
     )
     noise = None if seed is None else uniform_noise(seed, F.col("sys_id"), F.col("account_id"), F.col("date"))
     return daily.select(
         "sys_id",
         "account_id",
-        F.format_string("SYS%02d_ACC%04d", "sys_id", "account_id").alias("unique_id"),
+        "unique_id",
         "date",
         target(F.col("sys_id"), F.col("account_id"), F.col("date"), F.col("start_date"), noise).alias("target"),
     )
