@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import floor_period, next_period
+from panelcast.staging import materialize
 
 KEYS = ["unique_id", "ds", "y"]
 
@@ -123,11 +124,38 @@ def flag_history(df: DataFrame, min_history: int) -> DataFrame:
     return series_counts(df).withColumn("is_eligible", F.col("n_obs") >= min_history)
 
 
+def take_ordered(df: DataFrame, n: int, order: list[Column], single_task_rows: int = 100_000) -> DataFrame:
+    """The first ``n`` rows in an order that has no ties.
+
+    A small ``n`` is a top-n in one task. A large one is ranked in parallel: rows
+    are range-partitioned, numbered inside each part and shifted by the sizes of
+    the parts before it.
+    """
+    if n <= single_task_rows:
+        return df.orderBy(*order).limit(n)
+    parts = materialize(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition: the only global window, over a table as long as the cluster is wide.
+    offsets = (
+        parts.groupBy("__part")
+        .agg(F.count("*").alias("__size"))
+        .select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    )
+    inside = Window.partitionBy("__part").orderBy(*order)
+    return (
+        parts.withColumn("__local", F.row_number().over(inside))
+        .join(offsets, "__part")
+        .where(F.col("__local") + F.col("__offset") <= n)
+        .select(*df.columns)
+    )
+
+
 def limit_series(df: DataFrame, n: int) -> DataFrame:
     """Rows of the first ``n`` series in id order; 0 keeps all."""
     if n <= 0:
         return df
-    return semi_join_ids(df, df.select("unique_id").distinct().orderBy("unique_id").limit(n))
+    ids = df.select("unique_id").distinct()
+    return semi_join_ids(df, take_ordered(ids, n, [F.col("unique_id").asc()]))
 
 
 # -- hold-out -------------------------------------------------------------------------------
@@ -182,7 +210,7 @@ def valid_part(split: DataFrame) -> DataFrame:
 
 def tail_rows(df: DataFrame, n: int) -> DataFrame:
     """The last ``n`` rows of the whole panel in (id, date) order, whatever series they belong to."""
-    return df.orderBy(F.col("unique_id").desc(), F.col("ds").desc()).limit(n)
+    return take_ordered(df, n, [F.col("unique_id").desc(), F.col("ds").desc()])
 
 
 # -- calendar -------------------------------------------------------------------------------

@@ -7,18 +7,20 @@ work on it is a projection: no further shuffle and no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.arrays import head, let, tail
+from panelcast.functions.calendar import future_dates
 
 
 def series_rows(panel: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``unique_id``, kept keys, ``dates``, ``values``, ``n`` with the points in date order."""
     points = F.array_sort(F.collect_list(F.struct("ds", "y")))
+    # Kept keys depend on the series; grouping by the id alone keeps the rows usable for windows by id.
     return (
-        panel.groupBy("unique_id", *(keep or []))
-        .agg(points.alias("points"))
+        panel.groupBy("unique_id")
+        .agg(points.alias("points"), *[F.first(k).alias(k) for k in keep or []])
         .select(
             "unique_id",
             *(keep or []),
@@ -61,6 +63,34 @@ def panel_rows(series: DataFrame, dates: str = "dates", values: str = "values")
     ).select("unique_id", F.col("p.ds").alias("ds"), F.col("p.y").alias("y"))
 
 
+def forecast_rows(
+    series: DataFrame,
+    paths: dict[str, Column],
+    h: int,
+    freq: str,
+    last_ds: Column,
+    actual: tuple[str, str] | None = None,
+) -> DataFrame:
+    """``unique_id, ds, model, prediction`` from one array of ``h`` values per model.
+
+    ``actual`` names the date and value arrays of the hold-out; they are looked up
+    inside the row, which joins predictions with actuals without a shuffle. The
+    outer explodes keep the optimizer from repeating model expressions in a filter.
+    """
+    models = F.array(*[F.struct(F.lit(name).alias("model"), path.alias("path")) for name, path in paths.items()])
+    columns = ["unique_id", F.explode_outer(models).alias("m")]
+    steps = [F.col("ahead").alias("ds"), F.col("m.path").alias("prediction")]
+    if actual:
+        known = F.map_from_arrays(*actual)
+        columns.append(known.alias("known"))
+        steps.append(F.transform("ahead", lambda d: F.try_element_at("known", d)).alias("y"))
+    exploded = series.select(*columns, future_dates(last_ds, h, freq).alias("ahead")).select(
+        "unique_id", F.col("m.model").alias("model"), F.explode_outer(F.arrays_zip(*steps)).alias("p")
+    )
+    out = ["unique_id", F.col("p.ds").alias("ds"), "model", F.col("p.prediction").alias("prediction")]
+    return exploded.select(*out, *([F.col("p.y").alias("y")] if actual else []))
+
+
 def rmse_of(dates, actual, predicted_dates, predicted):
     """RMSE over the dates both sides have; NULL predictions do not count, no shared date gives NULL.
 

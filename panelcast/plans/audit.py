@@ -8,31 +8,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.calendar import future_dates
 from panelcast.models.registry import forecast_path, get_model, split_families
 from panelcast.operators.prepare import union_parts
-from panelcast.operators.series import series_rows
+from panelcast.operators.series import forecast_rows, series_rows
 
 
 def native_forecast(
-    series: DataFrame, models: list[str], h: int, freq: str, season: int, values: str = "values", last_ds=None
+    series: DataFrame,
+    models: list[str],
+    h: int,
+    freq: str,
+    season: int,
+    values: str = "values",
+    last_ds: str | None = None,
+    actual: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``unique_id, ds, model, prediction`` for array models: a projection and one explode."""
-    y = F.col(values)
+    paths = {name: forecast_path(name, F.col(values), h, season) for name in models}
     last = F.element_at("dates", -1) if last_ds is None else F.col(last_ds)
-    paths = F.array(
-        *[F.struct(F.lit(name).alias("model"), forecast_path(name, y, h, season).alias("path")) for name in models]
-    )
-    # The outer explodes keep the optimizer from repeating the model expressions in a filter.
-    return (
-        series.select("unique_id", future_dates(last, h, freq).alias("ahead"), F.explode_outer(paths).alias("m"))
-        .select(
-            "unique_id",
-            F.col("m.model").alias("model"),
-            F.explode_outer(F.arrays_zip(F.col("ahead").alias("ds"), F.col("m.path").alias("prediction"))).alias("p"),
-        )
-        .select("unique_id", F.col("p.ds").alias("ds"), "model", F.col("p.prediction").alias("prediction"))
-    )
+    return forecast_rows(series, paths, h, freq, last, actual)
 
 
 def grouped_forecast(panel: DataFrame, model: str, h: int, freq: str, season: int) -> DataFrame:

@@ -312,13 +312,12 @@ def run_series_champion_ml(
     pp.require_non_empty(series, "no eligible series after aggregation")
     split = hold_out(series, validation_horizon).where(F.col("n") > validation_horizon)
     pp.require_non_empty(split, "not enough history for a hold-out")
-    valid = panel_rows(split, "valid_dates", "valid")
     train = split.withColumn("train_dates", F.slice("dates", 1, F.col("n") - validation_horizon))
     fitted = fit_global(training_rows(panel_rows(train, "train_dates", "train"), spec), models, spec, profile)
-    preds = materialize(
-        predict_recursive(split, fitted, validation_horizon, freq, spec, values="train", last_ds="train_end")
-    )
-    metrics = ev.series_metrics(ev.join_actual_pred(valid, preds))
+    joined = predict_recursive(
+        split, fitted, validation_horizon, freq, spec, "train", "train_end", ("valid_dates", "valid")
+    ).where(F.col("y").isNotNull())
+    metrics = materialize(ev.series_metrics(joined))
     pp.require_non_empty(metrics, "no validation metrics were produced")
     champions = ch.series_champion_multi(metrics, models)
     chosen = series.join(
@@ -391,25 +390,24 @@ def prepare_global(panel: DataFrame, config: GlobalConfig) -> GlobalSplit:
 def validation_forecast(
     split: GlobalSplit, names: list[str], config: GlobalConfig
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Hold-out forecasts of any mix of models, each routed by its family."""
+    """Hold-out forecasts next to the actual values, for any mix of models routed by family.
+
+    Only dates that both sides have come back. Predictions and actuals lie in the
+    same series row, so this join moves no data; user models are joined by key.
+    """
     families = split_families(names, config.profile)
     h, freq, spec = config.horizon, config.freq, config.features
+    where = {"values": "train", "last_ds": "train_end", "actual": ("valid_dates", "valid")}
     parts, fitted = [], {}
     if families["global"]:
         fitted = fit_global(training_rows(split.train_rows, spec), families["global"], spec, config.profile)
-        parts.append(
-            predict_recursive(split.series, fitted, h, freq, spec, values="train", last_ds="train_end")
-        )
+        parts.append(predict_recursive(split.series, fitted, h, freq, spec, **where))
     if families["native"]:
-        parts.append(
-            native_forecast(
-                split.series, families["native"], h, freq, config.season_length, values="train", last_ds="train_end"
-            )
-        )
+        parts.append(native_forecast(split.series, families["native"], h, freq, config.season_length, **where))
     for name in families["grouped"]:
         out = grouped_forecast(split.train_rows, name, h, freq, config.season_length)
-        parts.append(out.where("error IS NULL").drop("error"))
-    return pp.union_parts(parts), fitted
+        parts.append(ev.join_actual_pred(split.valid, out.where("error IS NULL").drop("error")))
+    return pp.union_parts(parts).where(F.col("y").isNotNull()), fitted
 
 
 def training_results(
@@ -447,8 +445,8 @@ class GlobalChampionResult:
 
 def global_champion(panel: DataFrame, config: GlobalConfig, source_table: str, run_ts: dt.datetime):
     split = prepare_global(panel, config)
-    preds, fitted = validation_forecast(split, list(config.models), config)
-    joined = materialize(ev.join_actual_pred(split.valid, preds))
+    joined, fitted = validation_forecast(split, list(config.models), config)
+    joined = materialize(joined)
     results = materialize(training_results(joined, config, source_table))
     found = {r["model_type"] for r in results.select("model_type").collect()}
     missing = [m for m in config.models if m not in found]
@@ -457,6 +455,7 @@ def global_champion(panel: DataFrame, config: GlobalConfig, source_table: str, r
     pp.require_non_empty(results, "all models failed to produce overlapping predictions")
     counts = split.series.agg(F.count("*").alias("series"), F.sum(F.size("train")).alias("rows")).first()
     best = ch.select_global_champion(ch.valid_results(results, config.champion_metric), config.champion_metric)
+    payload = results.agg(F.to_json(F.array_sort(F.collect_list(F.struct("model_ordinal", "model_type", "rmse", "mae", "wmape")))))
     champion = materialize(
         best.select(
             F.lit(run_ts).cast("timestamp").alias("run_ts"),
@@ -475,6 +474,7 @@ def global_champion(panel: DataFrame, config: GlobalConfig, source_table: str, r
             "rmse",
             "mae",
             "wmape",
+            payload.scalar().alias("all_results"),
         )
     )
     winner = champion.first()["champion_model_type"]
@@ -588,11 +588,9 @@ def run_multi_model_single_fit(
 ) -> tuple[DataFrame, DataFrame]:
     """All models in one call; predictions wide with one column per model, best model named on each row."""
     split = prepare_global(src.read_panel(spark, table), config)
-    preds, _ = validation_forecast(split, list(config.models), config)
+    joined, _ = validation_forecast(split, list(config.models), config)
     wide = materialize(
-        ev.join_actual_pred(
-            split.valid, preds.groupBy("unique_id", "ds").pivot("model", list(config.models)).agg(F.first("prediction"))
-        )
+        joined.groupBy("unique_id", "ds", "y").pivot("model", list(config.models)).agg(F.first("prediction"))
     )
     results = ev.multi_model_metrics(wide, list(config.models))
     best = ch.select_global_champion(results).first()
@@ -645,22 +643,37 @@ def run_batch_forecast(
     run_ts: dt.datetime,
     source_table: str = "panel",
     output: str | None = None,
+    fallback_table: DataFrame | str | None = None,
 ) -> DataFrame:
-    """Forecast with the newest champion of the champion table."""
+    """Forecast with the newest champion of the champion table.
+
+    When the current rows cannot be scored, ``fallback_table`` (the rows the
+    model was trained on) takes their place.
+    """
     row = src.champion_history(spark, champion_table, 1).first()
     if row is None:
         raise ValueError("the champion table is empty")
-    out = batch_forecast(
-        src.read_panel(spark, table),
-        row["champion_model_type"],
-        config.horizon,
-        config.freq,
-        config.features,
-        run_ts,
-        source_table,
-        config.season_length,
-        model_uri=row["champion_model_uri"],
-    )
+
+    def forecast(panel):
+        out = batch_forecast(
+            panel,
+            row["champion_model_type"],
+            config.horizon,
+            config.freq,
+            config.features,
+            run_ts,
+            source_table,
+            config.season_length,
+            model_uri=row["champion_model_uri"],
+        )
+        return materialize(out) if fallback_table is not None else out
+
+    try:
+        out = forecast(src.read_panel(spark, table))
+    except Exception:
+        if fallback_table is None:
+            raise
+        out = forecast(src.read_panel(spark, fallback_table))
     if output:
         tables.write_table(out, f"{output}/batch_forecasts")
     return out

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.arrays import mean, tail
-from panelcast.functions.calendar import date_feature, future_dates, next_period
+from panelcast.functions.calendar import date_feature, next_period
 from panelcast.operators.features import FeatureSpec, rolling_name
+from panelcast.operators.series import forecast_rows
 from panelcast.staging import materialize
 
 _STEPS_PER_PLAN = 16
@@ -70,21 +71,11 @@ def predict_recursive(
     spec: FeatureSpec,
     values: str = "values",
     last_ds: str = "last_ds",
+    actual: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``unique_id, ds, model, prediction`` for every model."""
     names = {name: f"__path_{i}" for i, name in enumerate(models)}
     wide = predict_paths(
         series, {names[k]: v for k, v in models.items()}, h, freq, spec, values=values, last_ds=last_ds
     )
-    paths = F.array(
-        *[F.struct(F.lit(name).alias("model"), F.col(column).alias("path")) for name, column in names.items()]
-    )
-    return (
-        wide.select("unique_id", future_dates(F.col(last_ds), h, freq).alias("ahead"), F.explode_outer(paths).alias("m"))
-        .select(
-            "unique_id",
-            F.col("m.model").alias("model"),
-            F.explode_outer(F.arrays_zip(F.col("ahead").alias("ds"), F.col("m.path").alias("prediction"))).alias("p"),
-        )
-        .select("unique_id", F.col("p.ds").alias("ds"), "model", F.col("p.prediction").alias("prediction"))
-    )
+    return forecast_rows(wide, {k: F.col(c) for k, c in names.items()}, h, freq, F.col(last_ds), actual)

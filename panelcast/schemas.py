@@ -42,6 +42,7 @@ CHAMPION = _schema(
         "rmse": _D,
         "mae": _D,
         "wmape": _D,
+        "all_results": _S,
     },
 )
 BATCH_FORECASTS = _schema(

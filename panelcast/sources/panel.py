@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.text import tenant_of
-from panelcast.operators.prepare import drop_null_keys, filter_tenant, limit_series, require_columns
+from panelcast.operators.prepare import drop_null_keys, filter_tenant, limit_series, require_columns, take_ordered
 
 KEYS = ["unique_id", "ds", "y"]
 
@@ -74,7 +74,7 @@ def read_renamed_panel(spark: SparkSession, table: DataFrame | str, mapping: dic
 
 def recent_rows(df: DataFrame, n: int = 1000) -> DataFrame:
     """The newest ``n`` rows of the whole table."""
-    return df.orderBy(F.col("ds").desc(), F.col("unique_id")).limit(n)
+    return take_ordered(df, n, [F.col("ds").desc(), F.col("unique_id").asc()])
 
 
 def scoring_window(df: DataFrame, lags: list[int], horizon: int) -> DataFrame:

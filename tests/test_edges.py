@@ -74,6 +74,14 @@ def test_repeated_date_raises(spark):
         pp.assert_one_row_per_period(df).collect()
 
 
+def test_parallel_top_n_equals_single_task(spark):
+    df = panel(spark, [3, 7, 12, 24, 40]).repartition(7)
+    order = [F.col("unique_id").desc(), F.col("ds").desc()]
+    for n in (1, 30, 60, 86, 500):
+        parallel = pp.take_ordered(df, n, order, single_task_rows=0)
+        assert sorted(parallel.collect()) == sorted(df.orderBy(*order).limit(n).collect())
+
+
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="y"):
         read_panel(spark, spark.range(1).select(F.lit("a").alias("unique_id"), F.current_date().alias("ds")))
