@@ -12,7 +12,7 @@ from panelcast.functions.arrays import let
 from panelcast.models import autoregression, decomposition, registry, smoothing, volatility
 from panelcast.models.registry import AUDIT_LABELS
 from panelcast.operators.series import fill_gaps, series_rows
-from panelcast.plans.audit import native_forecast, stats_forecast
+from panelcast.plans.audit import native_forecast, stats_forecast, variance_forecast
 from panelcast.plans.forecast import drift_stub_forecast
 
 _STEPS = "steps AS (SELECT unnest(range(1, 13)) AS k)"
@@ -607,19 +607,9 @@ def garch_2_2_fit(spark, sf_dir):
 @query("garch_variance_path")
 def garch_variance_path(spark, sf_dir):
     """Variance forecasts of every registered volatility model."""
-    rows = demand_series(spark, sf_dir)
     models = [k for k in registry.REGISTRY_KEYS if k.startswith(("garch_", "arch_"))]
-    paths = F.array(
-        *[
-            F.struct(F.lit(k).alias("model"), registry.get_model(k).variance(F.col("values"), 3).alias("path"))
-            for k in models
-        ]
-    )
-    return (
-        rows.select("unique_id", F.explode_outer(paths).alias("m"))
-        .select("unique_id", "m.model", F.posexplode_outer("m.path").alias("step", "variance"))
-        .withColumns({"step": (F.col("step") + 1).cast("bigint"), "variance": F.round("variance", 3)})
-    )
+    out = variance_forecast(demand_series(spark, sf_dir), models, 3, "MS")
+    return out.withColumn("variance", F.round("variance", 3))
 
 
 @query("stats_audit")

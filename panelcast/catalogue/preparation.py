@@ -260,6 +260,18 @@ def recency_rank(spark, sf_dir):
     return pp.recency_rank(demand(spark, sf_dir)).withColumn("rn", F.col("rn").cast("bigint"))
 
 
+@query(
+    "series_position",
+    f"""
+    WITH {DEMAND}
+    SELECT unique_id, ds, y, CAST(row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS BIGINT) AS position
+    FROM demand
+    """,
+)
+def series_position(spark, sf_dir):
+    return pp.series_position(demand(spark, sf_dir)).withColumn("position", F.col("position").cast("bigint"))
+
+
 @query(
     "top_k_per_series",
     f"""
@@ -483,7 +495,7 @@ picks AS (
     runs AS (SELECT n_obs, shard, c, sum(c) OVER (PARTITION BY n_obs ORDER BY shard) AS upto FROM taken),
     ranked AS (
       SELECT unique_id, n_obs,
-             row_number() OVER (PARTITION BY n_obs ORDER BY substr(md5(unique_id), 1, 2), unique_id) AS r FROM counts
+             row_number() OVER (PARTITION BY n_obs ORDER BY substr(md5(unique_id), 1, 3), unique_id) AS r FROM counts
     )
     SELECT unique_id, ranked.n_obs, CAST(shard AS BIGINT) AS shard
     FROM ranked JOIN runs ON ranked.n_obs = runs.n_obs AND r <= upto AND r > upto - c
@@ -520,7 +532,7 @@ def tag_run_columns(spark, sf_dir):
     days = event_days(spark, sf_dir, by_user=False).withColumn("y", F.round("y", 2))
     tagged = pp.tag_run_columns(days, dt.datetime(2024, 2, 1), "naive", "events", "D", 2, "demo", True)
     return pp.project_output(
-        tagged.withColumn("run_ts", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")),
+        tagged.withColumn("run_ts", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")),
         [
             "unique_id", "ds", "y", "run_ts", "model_type", "source_table",
             "forecast_freq", "horizon", "model_display_name", "is_future",

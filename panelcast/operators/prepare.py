@@ -47,12 +47,12 @@ def null_if_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def coerce_types(df: DataFrame) -> DataFrame:
+def coerce_types(df: DataFrame, freq: str = "D") -> DataFrame:
     """Text ids, dates (a bad date raises), numbers (bad text and NaN become NULL); incomplete rows go."""
     typed = df.withColumns(
         {
             "unique_id": F.col("unique_id").cast("string"),
-            "ds": F.to_date(F.col("ds")),
+            "ds": F.col("ds").cast("timestamp_ntz") if freq == "H" else F.to_date(F.col("ds")),
             "y": null_if_nan(F.col("y").try_cast("double")),
         }
     )
@@ -170,6 +170,12 @@ def recency_rank(df: DataFrame) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(_newest_first()))
 
 
+def series_position(df: DataFrame) -> DataFrame:
+    """Position from the oldest row of the series, oldest is 1. For aggregated panels."""
+    oldest_first = Window.partitionBy("unique_id").orderBy("ds")
+    return df.withColumn("position", F.row_number().over(oldest_first))
+
+
 def top_k_per_series(df: DataFrame, k: int) -> DataFrame:
     return recency_rank(df).where(F.col("rn") <= k)
 

@@ -17,9 +17,13 @@ from panelcast.functions.calendar import future_dates
 def series_rows(panel: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``unique_id``, kept keys, ``dates``, ``values``, ``n`` with the points in date order."""
     points = F.array_sort(F.collect_list(F.struct("ds", "y")))
-    # Kept keys depend on the series; grouping by the id alone keeps the rows usable for windows by id.
+    # Fitting models costs far more per byte than a scan, so these partitions must not be merged by
+    # size: the explicit number keeps them apart. Kept keys depend on the series; grouping by the id
+    # alone keeps the rows usable for windows by id.
+    spread = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        panel.groupBy("unique_id")
+        panel.repartition(spread, "unique_id")
+        .groupBy("unique_id")
         .agg(points.alias("points"), *[F.first(k).alias(k) for k in keep or []])
         .select(
             "unique_id",

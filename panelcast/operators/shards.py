@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.prepare import series_counts
 from panelcast.staging import materialize
 
-_BUCKETS = 2  # hex digits of the id hash that spread the series of one length
+_BUCKETS = 3  # hex digits of the id hash that spread the series of one length
 
 
 def length_plan(histogram: list[tuple[int, int]], n_shards: int) -> list[tuple[int, int, int, int]]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.models.registry import forecast_path, get_model, split_families
-from panelcast.operators.prepare import union_parts
+from panelcast.operators.prepare import assert_one_row_per_period, union_parts
 from panelcast.operators.series import forecast_rows, series_rows
 
 
@@ -29,6 +29,18 @@ def native_forecast(
     return forecast_rows(series, paths, h, freq, last, actual)
 
 
+def variance_forecast(series: DataFrame, models: list[str], h: int, freq: str, values: str = "values") -> DataFrame:
+    """``unique_id, ds, model, variance`` of the volatility models."""
+    paths = {}
+    for name in models:
+        model = get_model(name)
+        if model.variance is None:
+            raise ValueError(f"{name} has no variance forecast")
+        paths[name] = model.variance(F.col(values), h)
+    out = forecast_rows(series, paths, h, freq, F.element_at("dates", -1))
+    return out.withColumnRenamed("prediction", "variance")
+
+
 def grouped_forecast(panel: DataFrame, model: str, h: int, freq: str, season: int) -> DataFrame:
     """User model on one series' pandas frame; a failure becomes a row with its message."""
     fn: Callable = get_model(model).build
@@ -53,9 +65,15 @@ def grouped_forecast(panel: DataFrame, model: str, h: int, freq: str, season: in
 
 
 def stats_forecast(
-    panel: DataFrame, models: list[str], h: int, freq: str, season: int
+    panel: DataFrame, models: list[str], h: int, freq: str, season: int, bounded: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions of all per-series models and the (series, model) pairs that gave none."""
+    """Predictions of all per-series models and the (series, model) pairs that gave none.
+
+    ``bounded`` says that the panel has one row per series and period, so that no
+    series outgrows the calendar; otherwise this is enforced while aggregating.
+    """
+    if not bounded:
+        panel = assert_one_row_per_period(panel)
     groups = split_families(models)
     if groups["global"]:
         raise ValueError(f"not per-series models: {groups['global']}")

@@ -11,7 +11,7 @@ from panelcast.functions.calendar import future_dates, next_period
 from panelcast.functions.text import normalize_model_name
 from panelcast.models.registry import FALLBACK_LABEL, forecast_path, get_model, split_families
 from panelcast.operators.features import FeatureSpec
-from panelcast.operators.prepare import tag_run_columns, union_parts
+from panelcast.operators.prepare import assert_one_row_per_period, tag_run_columns, union_parts
 from panelcast.operators.series import panel_rows, series_rows
 from panelcast.plans.audit import grouped_forecast, native_forecast
 from panelcast.plans.recursive import predict_recursive
@@ -142,7 +142,7 @@ def batch_forecast(
     no stored state: it is fitted again on the whole history.
     """
     if get_model(model_type).family == "native":
-        preds = native_forecast(series_rows(panel), [model_type], h, freq, season)
+        preds = native_forecast(series_rows(assert_one_row_per_period(panel)), [model_type], h, freq, season)
     else:
         model = model or load_champion_model(model_uri)
         window = series_rows(scoring_window(panel.select("unique_id", "ds", "y"), list(range(1, spec.history + 1)), h))

@@ -374,7 +374,7 @@ class GlobalSplit:
 
 def prepare_global(panel: DataFrame, config: GlobalConfig) -> GlobalSplit:
     """Clean, require unique dates, drop series no longer than the horizon, hold out the last rows."""
-    clean = pp.assert_one_row_per_period(pp.coerce_types(panel))
+    clean = pp.assert_one_row_per_period(pp.coerce_types(panel, config.freq))
     series = series_rows(clean).where(F.col("n") > config.horizon)
     split = materialize(
         hold_out(series, config.horizon).withColumn("train_dates", F.slice("dates", 1, F.col("n") - config.horizon))
@@ -584,15 +584,21 @@ def select_champion(
 
 
 def run_multi_model_single_fit(
-    spark: SparkSession, table: DataFrame | str, config: GlobalConfig, run_ts: dt.datetime, source_table: str = "panel"
+    spark: SparkSession,
+    table: DataFrame | str,
+    config: GlobalConfig,
+    run_ts: dt.datetime,
+    source_table: str = "panel",
+    output: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All models in one call; predictions wide with one column per model, best model named on each row."""
     split = prepare_global(src.read_panel(spark, table), config)
-    joined, _ = validation_forecast(split, list(config.models), config)
+    joined, fitted = validation_forecast(split, list(config.models), config)
     wide = materialize(
         joined.groupBy("unique_id", "ds", "y").pivot("model", list(config.models)).agg(F.first("prediction"))
     )
-    results = ev.multi_model_metrics(wide, list(config.models))
+    pp.require_non_empty(wide, "no overlapping rows between hold-out and predictions")
+    results = materialize(ev.multi_model_metrics(wide, list(config.models)))
     best = ch.select_global_champion(results).first()
     tagged = wide.withColumns(
         {
@@ -604,6 +610,12 @@ def run_multi_model_single_fit(
             "best_model": F.lit(best["model"]),
         }
     )
+    if output:
+        tables.write_table(tagged, f"{output}/predictions")
+        tables.write_csv(tagged, f"{output}/evaluation")
+        tables.write_json(results.withColumn("best_model", F.lit(best["model"])).coalesce(1), f"{output}/model_results")
+        for name, model in fitted.items():
+            tables.save_model(model, f"{output}/models", config.model_display_name, name)
     return tagged, results
 
 

@@ -85,12 +85,24 @@ def write_run_metadata(spark: SparkSession, record: dict, path: str) -> None:
     """One JSON record describing a training run."""
     names = [f.name for f in schemas.TRAINING_RESULT.fields]
     row = tuple(record.get(name) for name in names)
-    spark.createDataFrame([row], schemas.TRAINING_RESULT).coalesce(1).write.mode("overwrite").json(path)
+    write_json(spark.createDataFrame([row], schemas.TRAINING_RESULT).coalesce(1), path)
 
 
-def save_model(model: PipelineModel, base: str, display_name: str, model_type: str) -> str:
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).json(path)
+
+
+def save_model(
+    model: PipelineModel, base: str, display_name: str, model_type: str, fallback_base: str | None = None
+) -> str:
+    """Store a fitted pipeline; when ``base`` cannot be written, ``fallback_base`` is used. Returns where it went."""
     uri = f"{base.rstrip('/')}/{display_name}/{model_type}"
-    model.write().overwrite().save(uri)
+    try:
+        model.write().overwrite().save(uri)
+    except Exception:
+        if fallback_base is None:
+            raise
+        return save_model(model, fallback_base, display_name, model_type)
     return uri
 
 

@@ -9,7 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelcast import schemas
-from panelcast.catalogue.panels import demand_source, event_days, sales, sales_raw
+from panelcast.catalogue.panels import demand_source, event_days, event_raw, sales, sales_raw
+from panelcast.operators.prepare import aggregate_period
 from panelcast.plans import jobs
 from panelcast.plans.forecast import batch_forecast
 from panelcast.sources import panel as src
@@ -204,3 +205,36 @@ def test_parameters_are_bound_not_pasted(spark):
     assert out.first()["v"] == "x' OR '1'='1"
     with pytest.raises(PySparkException):
         src.parameterised_query(spark, "SELECT :missing AS v").collect()
+
+
+def test_hourly_panel(spark, sf_dir):
+    hourly = event_raw(spark, sf_dir, by_user=False)
+    config = jobs.GlobalConfig(freq="H", horizon=3, models=("naive", "ridge"), lags=(1, 2), date_features=(), profile="fast")
+    panel = aggregate_period(hourly, "H")
+    result = jobs.global_champion(panel, config, "events", RUN_TS)
+    assert result.results.count() == 2
+    assert dict(result.predictions.dtypes)["ds"] == "timestamp_ntz"
+
+
+def test_single_fit_writes(spark, sf_dir, tmp_path):
+    config = jobs.GlobalConfig(freq="MS", horizon=2, models=("ridge", "naive"), profile="fast")
+    out = str(tmp_path / "single")
+    wide, results = jobs.run_multi_model_single_fit(spark, sales(spark, sf_dir), config, RUN_TS, "sales", out)
+    best = results.orderBy("wmape", "model_ordinal").first()["model"]
+    assert [r[0] for r in tables.read_table(spark, f"{out}/predictions").select("best_model").distinct().collect()] == [best]
+    assert spark.read.json(f"{out}/model_results").count() == 2
+    assert Path(f"{out}/models/{config.model_display_name}/ridge").exists()
+    assert wide.count() > 0
+
+
+def test_hot_series_sums_exactly(spark):
+    """A third of all raw rows in one series: the panel is the same as computed by hand."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 500)).alias("unique_id"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 700).cast("int")).alias("ds"),
+        F.lit(1.0).alias("y"),
+    )
+    panel = aggregate_period(rows, "MS")
+    assert panel.where("unique_id = 'hot'").agg(F.sum("y")).first()[0] == 20_000
+    assert panel.agg(F.sum("y")).first()[0] == 60_000
+    assert panel.groupBy("unique_id").count().agg(F.max("count")).first()[0] <= 24

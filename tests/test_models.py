@@ -321,7 +321,8 @@ def test_ridge_closed_form_and_recursion(spark, panel):
 
 def test_short_history_gives_null(spark, panel):
     fitted = fit_global(training_rows(panel, SPEC), ["lr"], SPEC)
-    short = spark.createDataFrame([("s", [month(0), month(1)], [1.0, 2.0], month(1))], "unique_id string, dates array<date>, values array<double>, last_ds date")
+    schema = "unique_id string, dates array<date>, values array<double>, last_ds date"
+    short = spark.createDataFrame([("s", [month(0), month(1)], [1.0, 2.0], month(1))], schema)
     assert [r["prediction"] for r in predict_recursive(short, fitted, 2, "MS", SPEC).collect()] == [None, None]
 
 
