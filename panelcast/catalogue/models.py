@@ -492,9 +492,38 @@ def arima_order(spark, sf_dir):
     )
 
 
-@query("arima_forecast")
+def _back(j: int) -> str:
+    return f"(CASE WHEN {j} <= len(hist) THEN hist[-{j}] ELSE 0 END)"
+
+
+def _differenced(j: int) -> str:
+    return f"({_back(j)} - d * {_back(j + 1)} - seasonal * ({_back(j + 12)} - d * {_back(j + 13)}))"
+
+
+@query(
+    "arima_forecast",
+    f"""
+    WITH RECURSIVE {_DEMAND}, {_ARIMA}, best AS (
+      SELECT unique_id, arg_min(c, {{'a': aicc, 'p': p}}) AS c, arg_min(phi1, {{'a': aicc, 'p': p}}) AS phi1,
+             arg_min(phi2, {{'a': aicc, 'p': p}}) AS phi2
+      FROM orders_scored GROUP BY unique_id
+    ),
+    path AS (
+      SELECT lists.unique_id, last_ds, 0 AS k, y AS hist, d, seasonal, coalesce(c, whole_mean) AS c,
+             coalesce(phi1, 0) AS phi1, coalesce(phi2, 0) AS phi2
+      FROM lists JOIN picked ON picked.unique_id = lists.unique_id JOIN moments ON moments.unique_id = lists.unique_id
+      LEFT JOIN best ON best.unique_id = lists.unique_id
+      UNION ALL
+      SELECT unique_id, last_ds, k + 1, list_append(hist, c + phi1 * {_differenced(1)} + phi2 * {_differenced(2)}
+               + d * {_back(1)} + seasonal * {_back(12)} - d * seasonal * {_back(13)}),
+             d, seasonal, c, phi1, phi2
+      FROM path WHERE k < 12
+    )
+    SELECT unique_id, {_MONTHS} AS ds, round(hist[-1], 3) AS prediction FROM path WHERE k > 0
+    """,
+)
 def arima_forecast(spark, sf_dir):
-    return _forecast(demand_series(spark, sf_dir), "arima")
+    return _forecast(demand_series(spark, sf_dir), "arima", digits=3)
 
 
 _RESIDUALS = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelcast.catalogue.machine import H, split
-from panelcast.catalogue.panels import DEMAND, SALES, SALES_RAW, demand, sales, sales_raw, table
+from panelcast.catalogue.panels import DEMAND, SALES, SALES_RAW, demand, sales, sales_raw, split_sql, table
 from panelcast.catalogue.registry import query
 from panelcast.operators.features import FeatureSpec
 from panelcast.operators.series import panel_rows
@@ -96,7 +96,10 @@ def append_valid_rejects(spark, sf_dir):
     return kept.unionByName(left).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("model_round_trip")
+@query(
+    "model_round_trip",
+    f"WITH {DEMAND}, {split_sql('demand', H)} SELECT unique_id, ds, true AS same FROM ahead",
+)
 def model_round_trip(spark, sf_dir):
     """A stored model gives the forecasts of the fitted one."""
     spec = FeatureSpec([1, 2])
