@@ -445,9 +445,9 @@ moments AS (
   FROM w GROUP BY unique_id
 ),
 fits AS (
-  SELECT unique_id, n, whole_mean, 0 AS p, mz AS c, 0.0 AS phi1, 0.0 AS phi2, vz AS s2 FROM moments
+  SELECT unique_id, n, whole_mean, 0 AS p, mz AS c, CAST(0 AS DOUBLE) AS phi1, CAST(0 AS DOUBLE) AS phi2, vz AS s2 FROM moments
   UNION ALL
-  SELECT unique_id, n, whole_mean, 1, mz - cz1 / v1 * m1, cz1 / v1, 0.0, vz - cz1 * cz1 / v1 FROM moments WHERE v1 > 0
+  SELECT unique_id, n, whole_mean, 1, mz - cz1 / v1 * m1, cz1 / v1, CAST(0 AS DOUBLE), vz - cz1 * cz1 / v1 FROM moments WHERE v1 > 0
   UNION ALL
   SELECT unique_id, n, whole_mean, 2,
          mz - (cz1 * v2 - cz2 * c12) / (v1 * v2 - c12 * c12) * m1 - (cz2 * v1 - cz1 * c12) / (v1 * v2 - c12 * c12) * m2,
