@@ -119,7 +119,7 @@ def global_champion_predictions(spark, sf_dir):
 
 @query("training_fanout")
 def training_fanout(spark, sf_dir):
-    """Each model trained on its own, results collected, the best chosen; one fails on purpose."""
+    """Each model trained on its own, results collected, the best chosen."""
     config = jobs.GlobalConfig(freq="MS", horizon=3, lags=(1, 2, 3), profile="fast")
     keys = ["ridge", "croston", "theta", "seasonal_naive"]
     panel = materialize(sales(spark, sf_dir))
