@@ -130,15 +130,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
     items = (
         by_doc.join(members, "window_id")
-        .groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"))
+        .groupBy(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"))
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     spans = merged_spans(F.col("found"))
     counted = per_doc.withColumn("spans", F.when(F.size("found") > 0, spans).otherwise(F.array()))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
     out = (
-        counted.join(items, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("text_hash").eqNullSafe(F.col("_h")), "left")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        counted.join(items, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("text_hash").eqNullSafe(F.col("__h")), "left")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
         .withColumn("n_hit", n_hit)
     )
     return out.select(
@@ -155,23 +155,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without the contaminated ones, with their columns."""
     bad = contamination(docs, benchmark, window).where("contaminated")
-    bad = settle(bad.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
+    bad = settle(bad.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct(), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__h"))
     return docs.join(bad, same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with every hit passage cut out of ``text``, from its first word to its last."""
     hit = contamination(docs, benchmark, window).where("n_hit > 0")
-    hit = hit.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "spans").dropDuplicates(["_d", "_h"])
-    hit = settle(hit, "contaminated-spans").withColumnRenamed("spans", "_spans")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
+    hit = hit.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), "spans").dropDuplicates(["__d", "__h"])
+    hit = settle(hit, "contaminated-spans").withColumnRenamed("spans", "__spans")
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__h"))
     joined = docs.join(hit, same, "left")
     # The text splits into gap, word, gap, word, ..., gap; word i stands between gaps i and i + 1.
     gaps = F.split("text", RAW_WORD)
     words = raw_words(F.col("text"))
-    cut = lambda i: F.exists("_spans", lambda s: (s["first"] <= i) & (i < s["end"]))
-    inner = lambda i: F.exists("_spans", lambda s: (s["first"] < i) & (i < s["end"]))
+    cut = lambda i: F.exists("__spans", lambda s: (s["first"] <= i) & (i < s["end"]))
+    inner = lambda i: F.exists("__spans", lambda s: (s["first"] < i) & (i < s["end"]))
     pieces = F.transform(
         gaps,
         lambda gap, i: F.concat(
@@ -179,7 +179,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
             F.when(cut(i), F.lit("")).otherwise(F.coalesce(F.try_element_at(words, i + 1), F.lit(""))),
         ),
     )
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     return joined.withColumn("text", text).select(*docs.columns)
 
 

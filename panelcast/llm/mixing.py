@@ -40,20 +40,20 @@ def sainte_lague(shares: DataFrame, group: list[str], weight: str, seats: str, o
     all_rows = Window.partitionBy(*group)
     share = F.coalesce(F.try_divide(F.col(weight), F.sum(weight).over(all_rows)), F.lit(0.0))
     ranged = (
-        shares.withColumn("_share", share)
-        .withColumn("_n", F.count(F.lit(1)).over(all_rows))
-        .withColumn("_guess", F.floor(F.col(seats) * F.col("_share") + 0.5))
-        .withColumn("_reach", F.ceil(F.col("_share") * F.col("_n") / 2) + 1)
-        .withColumn("_low", F.greatest(F.col("_guess") - F.col("_reach"), F.lit(0)))
-        .withColumn("_rest", F.col(seats) - F.sum("_low").over(all_rows))
+        shares.withColumn("__share", share)
+        .withColumn("__n", F.count(F.lit(1)).over(all_rows))
+        .withColumn("__guess", F.floor(F.col(seats) * F.col("__share") + 0.5))
+        .withColumn("__reach", F.ceil(F.col("__share") * F.col("__n") / 2) + 1)
+        .withColumn("__low", F.greatest(F.col("__guess") - F.col("__reach"), F.lit(0)))
+        .withColumn("__rest", F.col(seats) - F.sum("__low").over(all_rows))
     )
-    quotients = ranged.withColumn("_k", F.explode(F.sequence("_low", F.col("_guess") + F.col("_reach")))).withColumn(
-        "_quotient", F.col(weight).cast("double") / (2 * F.col("_k") + 1)
+    quotients = ranged.withColumn("__k", F.explode(F.sequence("__low", F.col("__guess") + F.col("__reach")))).withColumn(
+        "__quotient", F.col(weight).cast("double") / (2 * F.col("__k") + 1)
     )
-    by_quotient = Window.partitionBy(*group).orderBy(F.desc("_quotient"), *[F.asc_nulls_last(c) for c in order])
-    won = ((F.row_number().over(by_quotient) <= F.col("_rest")) & (F.col("_quotient") > 0)).cast("long")
-    counted = quotients.withColumn("_won", won).groupBy(*shares.columns, "_low").agg(F.sum("_won").alias("_won"))
-    return counted.withColumn(out, F.col("_low") + F.col("_won")).drop("_low", "_won")
+    by_quotient = Window.partitionBy(*group).orderBy(F.desc("__quotient"), *[F.asc_nulls_last(c) for c in order])
+    won = ((F.row_number().over(by_quotient) <= F.col("__rest")) & (F.col("__quotient") > 0)).cast("long")
+    counted = quotients.withColumn("__won", won).groupBy(*shares.columns, "__low").agg(F.sum("__won").alias("__won"))
+    return counted.withColumn(out, F.col("__low") + F.col("__won")).drop("__low", "__won")
 
 
 def cycle_weights(sources: DataFrame) -> DataFrame:
@@ -74,14 +74,14 @@ def targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     everything = Window.partitionBy()
     levels = (
         sources.withColumn("cap", (max_repeats * F.col("source_size")).cast("double"))
-        .withColumn("_total", F.sum("source_size").over(everything).cast("double"))
-        .withColumn("_place", F.row_number().over(ordered))
-        .withColumn("_level", (F.col("_total") - before) / after)
+        .withColumn("__total", F.sum("source_size").over(everything).cast("double"))
+        .withColumn("__place", F.row_number().over(ordered))
+        .withColumn("__level", (F.col("__total") - before) / after)
     )
-    open_level = F.min(F.when(F.col("_level") < F.col("cap") / F.col("weight"), F.struct("_place", "_level"))).over(everything)
-    level = open_level["_level"]
+    open_level = F.min(F.when(F.col("__level") < F.col("cap") / F.col("weight"), F.struct("__place", "__level"))).over(everything)
+    level = open_level["__level"]
     target = F.when(level.isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), level * F.col("weight")))
-    return levels.withColumn("target", target).drop("cap", "_total", "_place", "_level")
+    return levels.withColumn("target", target).drop("cap", "__total", "__place", "__level")
 
 
 def seeded(text: Column) -> Column:
@@ -92,7 +92,7 @@ def seeded(text: Column) -> Column:
 def _in_pass(x: Column, block_words: int) -> Column:
     """Words of the first ``x`` words of a shard's line that the last, partial pass takes."""
     block = F.floor(x / block_words)
-    chosen = lambda b: F.floor((b * F.col("_blocks_left") + F.col("_offset")) / F.col("_blocks"))
+    chosen = lambda b: F.floor((b * F.col("__blocks_left") + F.col("__offset")) / F.col("__blocks"))
     return block_words * chosen(block) + (x - block * block_words) * (chosen(block + 1) - chosen(block))
 
 
@@ -102,48 +102,48 @@ def plan_shards(sized: DataFrame, weights: DataFrame | None, seed: str, block_wo
     if weights is None:
         sources = cycle_weights(sources)
     else:
-        w = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("weight"))
-        sources = sources.join(w, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+        w = weights.select(F.col("source").alias("__s"), F.col("weight").cast("double").alias("weight"))
+        sources = sources.join(w, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     side = F.ceil(F.sqrt(F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / shard_words)))
-    sources = targets(sources, max_repeats).withColumn("_side", side)
-    seats = sources.withColumn("_seats", F.floor(F.sum("target").over(Window.partitionBy()) / block_words + 0.5))
-    sources = settle(sainte_lague(seats, [], "target", "_seats", ["source"], "_quota").drop("_seats"), "mix-sources")
+    sources = targets(sources, max_repeats).withColumn("__side", side)
+    seats = sources.withColumn("__seats", F.floor(F.sum("target").over(Window.partitionBy()) / block_words + 0.5))
+    sources = settle(sainte_lague(seats, [], "target", "__seats", ["source"], "__quota").drop("__seats"), "mix-sources")
 
-    lines = _place(sized, sources, seed).groupBy("source", "_group", "_shard").agg(F.sum("size").alias("_words"))
+    lines = _place(sized, sources, seed).groupBy("source", "__group", "__shard").agg(F.sum("size").alias("__words"))
     lines = settle(lines, "mix-lines")
-    groups = lines.groupBy("source", "_group").agg(F.sum("_words").alias("_group_words"))
-    quotas = sources.select(F.col("source").alias("_s"), "_quota")
-    groups = groups.join(quotas, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    groups = sainte_lague(groups, ["source"], "_group_words", "_quota", ["_group"], "_group_quota")
-    groups = groups.select(F.col("source").alias("_s"), F.col("_group").alias("_g"), "_group_quota")
-    shards = lines.join(groups, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_group") == F.col("_g"))).drop("_s", "_g")
-    shards = sainte_lague(shards, ["source", "_group"], "_words", "_group_quota", ["_shard"], "_quota")
-
-    words, quota = F.col("_words"), F.col("_quota") * block_words
+    groups = lines.groupBy("source", "__group").agg(F.sum("__words").alias("__group_words"))
+    quotas = sources.select(F.col("source").alias("__s"), "__quota")
+    groups = groups.join(quotas, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    groups = sainte_lague(groups, ["source"], "__group_words", "__quota", ["__group"], "__group_quota")
+    groups = groups.select(F.col("source").alias("__s"), F.col("__group").alias("__g"), "__group_quota")
+    shards = lines.join(groups, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__group") == F.col("__g"))).drop("__s", "__g")
+    shards = sainte_lague(shards, ["source", "__group"], "__words", "__group_quota", ["__shard"], "__quota")
+
+    words, quota = F.col("__words"), F.col("__quota") * block_words
     passes = F.least(F.coalesce(F.floor(F.try_divide(quota, words)), F.lit(0)), F.lit(max_repeats))
     blocks = F.greatest(F.ceil(words / block_words), F.lit(1))
     left = F.floor((quota - F.col("passes") * words) / block_words + 0.5)
-    offset = seeded(F.concat_ws(":", F.lit(seed), "source", F.col("_group").cast("string"), F.col("_shard").cast("string")))
+    offset = seeded(F.concat_ws(":", F.lit(seed), "source", F.col("__group").cast("string"), F.col("__shard").cast("string")))
     shards = (
         shards.withColumn("passes", passes)
-        .withColumn("_blocks", blocks)
-        .withColumn("_blocks_left", F.when(F.col("passes") < max_repeats, F.least(left, blocks)).otherwise(F.lit(0)))
-        .withColumn("_offset", offset % F.col("_blocks"))
-        .drop("_words", "_group_quota", "_quota")
+        .withColumn("__blocks", blocks)
+        .withColumn("__blocks_left", F.when(F.col("passes") < max_repeats, F.least(left, blocks)).otherwise(F.lit(0)))
+        .withColumn("__offset", offset % F.col("__blocks"))
+        .drop("__words", "__group_quota", "__quota")
     )
     return sources, settle(shards, "mix-shards")
 
 
 def _place(sized: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
     """Add source columns, ``_group``, ``_shard`` and the seeded order ``_order``."""
-    table = sources.select(F.col("source").alias("_s"), "source_size", "target", "_side")
-    placed = sized.join(table, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    table = sources.select(F.col("source").alias("__s"), "source_size", "target", "__side")
+    placed = sized.join(table, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     order = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    spot = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long")
+    spot = F.conv(F.substring("__order", 1, 8), 16, 10).cast("long")
     return (
-        placed.withColumn("_order", order)
-        .withColumn("_group", spot % F.col("_side"))
-        .withColumn("_shard", F.floor(spot / F.col("_side")) % F.col("_side"))
+        placed.withColumn("__order", order)
+        .withColumn("__group", spot % F.col("__side"))
+        .withColumn("__shard", F.floor(spot / F.col("__side")) % F.col("__side"))
     )
 
 
@@ -167,21 +167,21 @@ def mix(
     docs = docs.drop(*[c for c in OUTPUT if c != "size"])
     sources, shards = plan_shards(docs.select("doc_id", "source", "size"), weights, seed, block_words, shard_words, max_repeats)
     shard = shards.select(
-        F.col("source").alias("_s"), F.col("_group").alias("_g"), F.col("_shard").alias("_h"),
-        "passes", "_blocks", "_blocks_left", "_offset",
+        F.col("source").alias("__s"), F.col("__group").alias("__g"), F.col("__shard").alias("__h"),
+        "passes", "__blocks", "__blocks_left", "__offset",
     )
-    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_group") == F.col("_g")) & (F.col("_shard") == F.col("_h"))
-    line = Window.partitionBy("source", "_group", "_shard").orderBy("_order", F.asc_nulls_last("doc_id"), "size")
+    same = F.col("source").eqNullSafe(F.col("__s")) & (F.col("__group") == F.col("__g")) & (F.col("__shard") == F.col("__h"))
+    line = Window.partitionBy("source", "__group", "__shard").orderBy("__order", F.asc_nulls_last("doc_id"), "size")
     end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    laid = _place(docs, sources, seed).withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("size"))
+    laid = _place(docs, sources, seed).withColumn("__end", end).withColumn("__start", F.col("__end") - F.col("size"))
     laid = laid.join(shard, same)
-    once = _in_pass(F.col("_end"), block_words) - _in_pass(F.col("_start"), block_words)
-    first, last = F.floor(F.col("_start") / block_words), F.floor((F.col("_end") - 1) / block_words)
-    chosen = lambda b: F.floor((b * F.col("_blocks_left") + F.col("_offset")) / F.col("_blocks"))
+    once = _in_pass(F.col("__end"), block_words) - _in_pass(F.col("__start"), block_words)
+    first, last = F.floor(F.col("__start") / block_words), F.floor((F.col("__end") - 1) / block_words)
+    chosen = lambda b: F.floor((b * F.col("__blocks_left") + F.col("__offset")) / F.col("__blocks"))
     picked = F.filter(F.sequence(first, F.greatest(first, last)), lambda b: chosen(b + 1) > chosen(b))
     piece = lambda b: F.struct(
-        (F.greatest(b * block_words, F.col("_start")) - F.col("_start")).alias("first"),
-        (F.least((b + 1) * block_words, F.col("_end")) - F.greatest(b * block_words, F.col("_start"))).alias("words"),
+        (F.greatest(b * block_words, F.col("__start")) - F.col("__start")).alias("first"),
+        (F.least((b + 1) * block_words, F.col("__end")) - F.greatest(b * block_words, F.col("__start"))).alias("words"),
     )
     spans = F.when(F.col("size") > 0, F.transform(picked, piece)).otherwise(F.array())
     return (

@@ -271,9 +271,9 @@ def replace_personal_data(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "t
         pseudonyms = Pseudonyms(key)
         return pd.DataFrame([pseudonymise(t, pseudonyms) for t in texts], columns=["text", "found"])
 
-    done = docs.withColumn("_done", run(F.col(text)))
-    out = [F.col("_done.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != found]
-    return done.select(*out, *([F.col("_done.found").alias(found)] if found else []))
+    done = docs.withColumn("__done", run(F.col(text)))
+    out = [F.col("__done.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != found]
+    return done.select(*out, *([F.col("__done.found").alias(found)] if found else []))
 
 
 def query(spark, sf_dir):

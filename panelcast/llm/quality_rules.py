@@ -93,9 +93,14 @@ def statistics(text: str | None) -> tuple[float, ...]:
     )
 
 
-@F.pandas_udf(", ".join(f"{s} double" for s in STATISTICS))
-def statistics_of(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([statistics(t) for t in texts], columns=list(STATISTICS), dtype="float64")
+def statistics_of(text: str) -> Column:
+    """A struct of the STATISTICS of a text column."""
+
+    @F.pandas_udf(", ".join(f"{s} double" for s in STATISTICS))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([statistics(t) for t in texts], columns=list(STATISTICS), dtype="float64")
+
+    return run(F.col(text))
 
 
 @dataclass(frozen=True)
@@ -152,11 +157,11 @@ def rules_of(forest) -> list[Rule]:
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, max_labels: int) -> DataFrame:
     """``doc_id, label`` and the statistics of a hash sample of the labelled documents, settled."""
-    known = labels.where(F.col(label).isNotNull()).select(F.col("doc_id").alias("_d"), F.col(label).cast("double").alias("label"))
+    known = labels.where(F.col(label).isNotNull()).select(F.col("doc_id").alias("__d"), F.col(label).cast("double").alias("label"))
     n = max(known.count(), 1)
-    drawn = known.where(F.pmod(F.xxhash64("_d", F.lit(11)), F.lit(n)) < max_labels) if n > max_labels else known
+    drawn = known.where(F.pmod(F.xxhash64("__d", F.lit(11)), F.lit(n)) < max_labels) if n > max_labels else known
     # About max_labels rows of two numbers: small by construction, so broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_d"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("__d"))
     return settle(rows.select("doc_id", "label", statistics_of("text").alias("s")).select("doc_id", "label", "s.*"), "rule-sample")
 
 
@@ -184,8 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labels:
 
 def score(docs: DataFrame, model: RuleEnsemble, out: str = "score") -> DataFrame:
     """``docs`` (with ``text``) and the score of every row, between 0 and 1."""
-    scored = docs.drop(out).withColumn("_statistics", statistics_of("text"))
-    return scored.withColumn(out, model.score(lambda s: F.col("_statistics")[s])).drop("_statistics")
+    scored = docs.drop(out).withColumn("__statistics", statistics_of("text"))
+    return scored.withColumn(out, model.score(lambda s: F.col("__statistics")[s])).drop("__statistics")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -199,8 +204,8 @@ def fit_contract(docs: DataFrame, labels: DataFrame) -> RuleEnsemble:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their columns."""
-    scored = score(docs, fit_contract(docs, labels), "_score")
-    return scored.where(F.col("_score") >= threshold).select(*docs.columns)
+    scored = score(docs, fit_contract(docs, labels), "__score")
+    return scored.where(F.col("__score") >= threshold).select(*docs.columns)
 
 
 def query(spark, sf_dir):

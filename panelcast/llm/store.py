@@ -20,3 +20,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def open_store(uri: str):
+    """(file system, path) of a URI in the shared folder, in a task or on the driver."""
+    import re
+
+    from pyarrow import fs
+
+    uri = re.sub(r"^file:/+", "/", uri)
+    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
