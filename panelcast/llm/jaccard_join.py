@@ -4,15 +4,17 @@ A prefix-filtered self-join (Xiao et al. 2011), arranged so that no step emits a
 
 1. Shingle frequencies are counted over all documents into a table of fixed size; they order shingles rare first.
 2. One pass gives every document its set size and a class (documents with equal sets are one class) and sends the
-   prefix of each class, the shingles one of which two similar sets must share, to shards by hash. A block of documents
-   sends a shingle once, however many of its documents hold it; the others follow by a join that Spark can split.
+   prefix of each class to shards by hash. The prefix is longer than needed for one common shingle, so that two similar
+   sets share a tenth of their size of it. A block of documents sends a shingle once, however many of its documents hold
+   it; the others follow by a join that Spark can split.
 3. A shard drops shingles of a single class; the classes that share one become members of that shingle's hub, its least
-   class. So two similar classes always meet under some hub.
+   class. So two similar classes always meet under some hub. Classes that share less of their prefix with all others
+   together than a similar set would are left out: most documents that have only a passage in common end here.
 4. The members of a hub are compared in units of bounded size. In a unit a class is probed against the prefix index;
    candidates pass the length, the positional and the suffix filter and are then verified once, by exact intersection.
    Classes that are already connected to the unit's main component need no probe of their own.
-5. Hubs with more than one unit: classes that are still outside their hub's component are probed against the other
-   units.
+5. Hubs with more than one unit: classes that are still outside the component of the hub's least member, which is in
+   all its units, are probed against the other units.
 6. The links (a forest per unit) are closed to components.
 
 Defined cases: texts without words (null, empty, blanks) have an empty set, are linked with nothing and are their own
@@ -35,10 +37,12 @@ from panelcast.llm.store import settle
 from panelcast.llm.words import mix, shingle_hashes, word_hashes
 
 SHINGLE, PERCENT = 5, 80
+#: How much longer than necessary prefixes are, in percent of the set.
+EXTRA = 10
 #: Buckets of the frequency table (a power of two): 4 MB on each worker, whatever the size of the corpus.
 FREQUENCY_BITS, SLICES, LANES = 20, 64, 256
 #: Prefix entries per block and per shard, shingles per unit, characters that are hashed at once.
-BLOCK_ENTRIES, SHARD_ENTRIES, UNIT_SHINGLES, CHUNK_CHARS = 1 << 20, 1 << 20, 1 << 20, 1 << 22
+BLOCK_ENTRIES, SHARD_ENTRIES, UNIT_SHINGLES, CHUNK_CHARS = 1 << 20, 1 << 20, 1 << 19, 1 << 20
 RANGES = 64
 HUB, MEMBER, OTHER, DOCUMENT = 0, 1, 2, 3
 
@@ -106,8 +110,9 @@ class Sets:
         self.n = np.bincount(self.owner, minlength=len(texts)).astype(np.int64)
         self.begin = np.cumsum(self.n) - self.n
         self.place = np.arange(len(self.hashes)) - self.begin[self.owner]
-        # Sets of n elements that are similar enough share one of the first n - ceil(percent * n / 100) + 1.
-        self.prefix = self.n + (-percent * self.n) // 100 + (self.n > 0)
+        # Sets of n elements that are similar enough share one of the first n - ceil(percent * n / 100) + 1 and, as both
+        # prefixes cut the same order, at least max(1, extra) when these are extended by extra.
+        self.prefix = np.minimum(self.n, self.n + (-percent * self.n) // 100 + (self.n > 0) + EXTRA * self.n // 100)
         self.in_prefix = self.place < self.prefix[self.owner]
 
     def classes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -324,7 +329,7 @@ def near_duplicates(
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = shingle_frequencies(docs, shingle)
-    entries = int(counts.sum(dtype=np.int64)) * (100 - percent) // 100
+    entries = int(counts.sum(dtype=np.int64)) * (100 - percent + EXTRA) // 100
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / SHARD_ENTRIES))
     frequency = spark.sparkContext.broadcast(counts)
     rows = settle(shared_entries(prefixes(docs, frequency, shards, shingle, percent)), "jaccard-entries")
@@ -335,28 +340,33 @@ def near_duplicates(
     hubs = rows.where(F.col("kind") == HUB).select(F.col("a").alias("hash"), F.col("b").alias("hub"))
     others = rows.where(F.col("kind") == OTHER).select(F.col("a").alias("hash"), F.col("b").alias("class"))
     members = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("hub"), F.col("b").alias("class"))
+    shared = members.select("class").unionByName(others.select("class")).groupBy("class").agg(F.count(F.lit(1)).alias("shared"))
+    enough = shared.join(first, "class").where(F.col("shared") >= F.greatest(F.lit(1), F.floor(F.col("n") * EXTRA / 100)))
+    enough = settle(enough.select("class", "n", "doc_id"), "jaccard-enough")
     members = members.unionByName(others.join(hubs, "hash").select("hub", "class")).distinct()
 
-    sized = members.join(first.select("class", "n"), "class")
-    loads = sized.groupBy("hub").agg(F.ceil(F.sum("n") / unit_shingles).alias("units"), F.count("class").alias("size"))
-    members = settle(sized.join(loads.where("size > 1"), "hub").select("hub", "class", "units"), "jaccard-members")
+    sized = settle(members.join(enough.select("class", "n"), "class"), "jaccard-members")
+    loads = sized.groupBy("hub").agg(
+        F.ceil(F.sum("n") / unit_shingles).alias("units"), F.count("class").alias("size"), F.min("class").alias("lead")
+    )
+    members = settle(sized.join(loads.where("size > 1"), "hub").select("hub", "class", "units", "lead"), "jaccard-units")
     block = F.pmod(F.xxhash64("class"), F.col("units"))
-    inside = members.where(F.col("hub") != F.col("class")).select("class", "hub", block.alias("unit"))
-    leads = members.where(F.col("hub") == F.col("class")).select("class", "hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1)).alias("unit"))
+    inside = members.where(F.col("lead") != F.col("class")).select("class", "hub", block.alias("unit"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1))
+    leads = members.where(F.col("lead") == F.col("class")).select("class", "hub", every.alias("unit"))
     routes = inside.unionByName(leads).withColumn("probe", F.lit(None).cast("boolean"))
-    ids = first.select("class", "doc_id")
+    ids = enough.select("class", "doc_id")
     links = settle(compare(docs, routes, ids, frequency, shingle, percent), "jaccard-links")
 
     large = members.where("units > 1")
     if not large.isEmpty():
         label = components(links)
         of = lambda c: label.select(F.col("node").alias(f"__{c}"), F.col("component").alias(f"{c}_component"))
-        labelled = large.join(of("class"), F.col("class") == F.col("__class"), "left").join(of("hub"), F.col("hub") == F.col("__hub"), "left")
-        inner = F.coalesce("class_component", "class") == F.coalesce("hub_component", "hub")
+        labelled = large.join(of("class"), F.col("class") == F.col("__class"), "left").join(of("lead"), F.col("lead") == F.col("__lead"), "left")
+        inner = F.coalesce("class_component", "class") == F.coalesce("lead_component", "lead")
         labelled = settle(labelled.select("hub", "class", "units", block.alias("block"), (~inner).alias("outside")), "jaccard-outside")
         outside = labelled.where("outside")
         lines = outside.select("hub", F.col("block").alias("row")).distinct()
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1))
         probes = outside.select("class", "hub", "units", F.col("block").alias("row"), every.alias("column")).where(F.col("row") != F.col("column"))
         bases = labelled.join(lines, "hub").select("class", "hub", "units", "row", F.col("block").alias("column")).where(F.col("row") != F.col("column"))
         unit = (F.col("row") * F.col("units") + F.col("column")).alias("unit")
@@ -364,7 +374,7 @@ def near_duplicates(
         links = settle(links.unionByName(compare(docs, second, ids, frequency, shingle, percent)), "jaccard-links")
 
     label = components(links).select(F.col("node").alias("class"), F.col("component").alias("__component"))
-    of_class = ids.join(label, "class", "left").withColumn("__component", F.coalesce("__component", "class"))
+    of_class = first.select("class", "doc_id").join(label, "class", "left").withColumn("__component", F.coalesce("__component", "class"))
     least = of_class.groupBy("__component").agg(F.min("doc_id").alias("component_id"))
     named = of_class.join(least, "__component").select(F.col("class").alias("__class"), "component_id")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
