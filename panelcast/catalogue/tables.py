@@ -30,7 +30,7 @@ def append_table(spark, sf_dir):
     tables.write_table(panel.withColumn("batch", F.lit("first")), path)
     tables.write_table(panel.withColumns({"batch": F.lit("second"), "note": F.lit("x")}), path, evolve=True)
     return (
-        tables.read_table(spark, path)
+        tables.read_table(spark, path, evolved=True)
         .groupBy("batch")
         .agg(F.count("*").alias("n"), F.sum("y").alias("total"), F.count("note").alias("notes"))
     )

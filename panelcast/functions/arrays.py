@@ -57,12 +57,7 @@ def head(a: Column, k: Column | int) -> Column:
 
 
 def push(window: Column, value: Column, k: int) -> Column:
-    """Fixed-length history: drop the oldest of ``k`` values, append the newest.
-
-    Short windows are written out: inside a fold that is about twice as fast as slicing.
-    """
-    if k <= 64:
-        return F.array(*[F.get(window, F.lit(i)) for i in range(1, k)], value)
+    """Fixed-length history: drop the oldest of ``k`` values, append the newest."""
     return F.concat(F.slice(window, 2, k - 1), F.array(value))
 
 
@@ -116,9 +111,11 @@ def solve(system: Column, k: int) -> Column:
     return let(system, run)
 
 
-def least_squares(regressors: list[Column], target: Column) -> Column:
+def least_squares(regressors: list[Column], target: Column, alpha: float = 0.0) -> Column:
     """[intercept, slopes...] of ``target`` on ``regressors``, arrays of equal length.
 
+    ``alpha`` is the penalty on the squared slopes.
+
     Columns are centred before the products are summed, which keeps the normal
     equations well conditioned.
     """
@@ -127,7 +124,9 @@ def least_squares(regressors: list[Column], target: Column) -> Column:
         return F.array(mean(target))
 
     def slopes(x: Column) -> Column:
-        rows = [[dot(at(x, i), at(x, j)) for j in [*range(1, k + 1), 0]] for i in range(1, k + 1)]
+        rows = [
+            [dot(at(x, i), at(x, j)) + (alpha if i == j else 0.0) for j in [*range(1, k + 1), 0]] for i in range(1, k + 1)
+        ]
         return solve(F.array(*[F.array(*row) for row in rows]), k)
 
     def fit(x: Column, mu: Column) -> Column:

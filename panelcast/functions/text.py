@@ -26,15 +26,9 @@ def check_identifier(name: str, what: str = "identifier") -> str:
 
 
 def normalize_model_name(label: Column) -> Column:
-    """Trim a model label and fold its parametrised spellings into the base name."""
-    name = F.trim(label)
-    compact = F.replace(name, F.lit(" "), F.lit(""))
-    return (
-        F.when(compact.startswith("ARCH("), F.lit("ARCH"))
-        .when(compact.startswith("GARCH("), F.lit("GARCH"))
-        .when(name == "NaiveFallback", F.lit("Naive_Fallback"))
-        .otherwise(name)
-    )
+    """Base name of a model label: no outer blanks, no bracketed orders, one spelling of the fallback."""
+    without_orders = F.regexp_replace(F.trim(label), r"^(G?ARCH) *\(.*$", "$1")
+    return F.regexp_replace(without_orders, "^Naive_?Fallback$", "Naive_Fallback")
 
 
 def metric_column(model: str, suffix: str = "RMSE") -> str:

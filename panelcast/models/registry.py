@@ -98,7 +98,7 @@ def _orders(key: str, prefix: str, count: int) -> list[int] | None:
     return None
 
 
-def get_model(key: str, profile: str = "default") -> Model:
+def get_model(key: str, profile: str = "library") -> Model:
     """Model for a registry key or an audit label; unknown names raise with the supported keys."""
     if key in _custom:
         return _custom[key]
@@ -123,13 +123,40 @@ def _arch_variance(y: Column, h: int, p: int) -> Column:
     return volatility.arch_variance(y, h, p)
 
 
-def forecast_path(name: str, y: Column, h: int, m: int) -> Column:
-    """Forecast of a native model, one value per step; NULLs where it cannot be computed."""
+def linear_penalty(name: str, profile: str = "library") -> float | None:
+    """Penalty on the squared coefficients of a linear model; None if the model is not linear."""
+    key = get_model(name, profile).key
+    return {"lr": 0.0, "ridge": global_ml.params("ridge", profile).get("alpha", 1.0)}.get(key)
+
+
+# Periods in a year, week or day by frequency; periods some profiles give single models (fixed values).
+SEASONS = {"MS": 12, "QS": 4, "YS": 1, "W": 52, "D": 7, "H": 24}
+PROFILE_SEASONS = {
+    "library": {"arima": 12, "ets": 12, "mstl": 24},
+    "parallel": {"mstl": 24},
+}
+_SEASONAL_ONLY = ("mstl", "seasonal_naive")
+
+
+def season_of(name: str, profile: str, freq: str) -> int:
+    """Season length of a model: what its profile says, else the one of the frequency."""
+    key = _LABELS.get(name, name)
+    return PROFILE_SEASONS.get(profile, {}).get(key, SEASONS[freq])
+
+
+def forecast_path(name: str, y: Column, h: int, m) -> Column:
+    """Forecast of a native model, one value per step; NULLs where it cannot be computed.
+
+    ``m`` is the season length or a function from the model's name to it.
+    """
+    m = m(name) if callable(m) else m
+    if m <= 1 and _LABELS.get(name, name) in _SEASONAL_ONLY:
+        raise ValueError(f"{name} needs a season of more than one period")
     path = get_model(name).build(y, h, m)
     return F.coalesce(path, F.array_repeat(F.lit(None).cast("double"), h))
 
 
-def split_families(names: list[str], profile: str = "default") -> dict[str, list[str]]:
+def split_families(names: list[str], profile: str = "library") -> dict[str, list[str]]:
     groups: dict[str, list[str]] = {"native": [], "global": [], "grouped": []}
     for name in names:
         groups[get_model(name, profile).family].append(name)

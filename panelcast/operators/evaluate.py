@@ -63,6 +63,11 @@ def join_metrics_champion(wide: DataFrame, champions: DataFrame) -> DataFrame:
     return wide.join(best, "unique_id", "left")
 
 
+def sort_metrics(metrics: DataFrame, keys: tuple[str, ...] = ("unique_id", "rmse", "model")) -> DataFrame:
+    """Metric rows in report order; a missing metric comes after every number."""
+    return metrics.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+
+
 # -- scores ---------------------------------------------------------------------------------
 
 

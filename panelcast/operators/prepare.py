@@ -124,15 +124,13 @@ def flag_history(df: DataFrame, min_history: int) -> DataFrame:
     return series_counts(df).withColumn("is_eligible", F.col("n_obs") >= min_history)
 
 
-def take_ordered(df: DataFrame, n: int, order: list[Column], single_task_rows: int = 100_000) -> DataFrame:
-    """The first ``n`` rows in an order that has no ties.
+def take_ordered(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows in an order; rows that tie in it go by their other columns.
 
-    A small ``n`` is a top-n in one task. A large one is ranked in parallel: rows
-    are range-partitioned, numbered inside each part and shifted by the sizes of
-    the parts before it.
+    Ranked in parallel for any ``n``: rows are range-partitioned, numbered inside each part and shifted by the sizes
+    of the parts before it.
     """
-    if n <= single_task_rows:
-        return df.orderBy(*order).limit(n)
+    order = [*order, *[F.col(f"`{c}`").asc_nulls_last() for c in df.columns]]
     parts = materialize(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: the only global window, over a table as long as the cluster is wide.
@@ -192,17 +190,27 @@ def holdout_split(df: DataFrame, h: int, bounded: bool = True) -> DataFrame:
         n = F.count("*").over(Window.partitionBy("unique_id"))
         ranked = recency_rank(df).withColumn("__n", n).where(F.col("__n") > h)
         return ranked.withColumn("is_valid", F.col("rn") <= h).drop("rn", "__n")
-    cutoff = (
-        top_k_per_series(df.select("unique_id", "ds"), h + 1)
+    # Rows of one date are told apart by all their columns; equal rows share a number and are counted.
+    same = [c for c in df.columns if c not in ("unique_id", "ds")]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in same]) if same else F.lit(0).cast("long")
+    marked = df.withColumn("__tie", tie)
+    newest = Window.partitionBy("unique_id").orderBy(F.col("ds").desc(), F.col("__tie").desc())
+    last = (
+        marked.select("unique_id", "ds", "__tie")
+        .withColumn("rn", F.row_number().over(newest))
+        .where(F.col("rn") <= h + 1)
         .groupBy("unique_id")
-        .agg(F.count("*").alias("n"), F.min(F.when(F.col("rn") <= h, F.col("ds"))).alias("first_valid"))
-        .where(F.col("n") > h)
-        .select("unique_id", "first_valid")
+        .agg(
+            F.count("*").alias("__n"),
+            F.min(F.when(F.col("rn") <= h, F.struct("ds", "__tie"))).alias("__first"),
+        )
+        .where(F.col("__n") > h)
+        .select("unique_id", "__first")
     )
     return (
-        df.join(cutoff, "unique_id")
-        .withColumn("is_valid", F.col("ds") >= F.col("first_valid"))
-        .drop("first_valid")
+        marked.join(last, "unique_id")
+        .withColumn("is_valid", F.struct("ds", "__tie") >= F.col("__first"))
+        .drop("__first", "__tie")
     )
 
 

@@ -74,24 +74,26 @@ def forecast_rows(
     freq: str,
     last_ds: Column,
     actual: tuple[str, str] | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``unique_id, ds, model, prediction`` from one array of ``h`` values per model.
+    """``unique_id, ds, model, prediction`` from one array of ``h`` values per model, and kept columns.
 
     ``actual`` names the date and value arrays of the hold-out; they are looked up
     inside the row, which joins predictions with actuals without a shuffle. The
     outer explodes keep the optimizer from repeating model expressions in a filter.
     """
     models = F.array(*[F.struct(F.lit(name).alias("model"), path.alias("path")) for name, path in paths.items()])
-    columns = ["unique_id", F.explode_outer(models).alias("m")]
+    keep = keep or []
+    columns = ["unique_id", *keep, F.explode_outer(models).alias("m")]
     steps = [F.col("ahead").alias("ds"), F.col("m.path").alias("prediction")]
     if actual:
         known = F.map_from_arrays(*actual)
         columns.append(known.alias("known"))
         steps.append(F.transform("ahead", lambda d: F.try_element_at("known", d)).alias("y"))
     exploded = series.select(*columns, future_dates(last_ds, h, freq).alias("ahead")).select(
-        "unique_id", F.col("m.model").alias("model"), F.explode_outer(F.arrays_zip(*steps)).alias("p")
+        "unique_id", *keep, F.col("m.model").alias("model"), F.explode_outer(F.arrays_zip(*steps)).alias("p")
     )
-    out = ["unique_id", F.col("p.ds").alias("ds"), "model", F.col("p.prediction").alias("prediction")]
+    out = ["unique_id", *keep, F.col("p.ds").alias("ds"), "model", F.col("p.prediction").alias("prediction")]
     return exploded.select(*out, *([F.col("p.y").alias("y")] if actual else []))
 
 

@@ -42,15 +42,19 @@ def variance_forecast(series: DataFrame, models: list[str], h: int, freq: str, v
 
 
 def grouped_forecast(panel: DataFrame, model: str, h: int, freq: str, season: int) -> DataFrame:
-    """User model on one series' pandas frame; a failure becomes a row with its message."""
+    """User model on one series' pandas frame; a failure becomes a row with its message.
+
+    The panel has one row per series and period, which bounds the frame by the calendar.
+    """
     fn: Callable = get_model(model).build
+    ds_type = panel.schema["ds"].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         uid = pdf["unique_id"].iloc[0]
         try:
             out = fn(pdf.sort_values("ds").reset_index(drop=True), h, freq, season)
             out = out.assign(unique_id=uid, model=model, error=None)
-            out["ds"] = pd.to_datetime(out["ds"]).dt.date
+            out["ds"] = pd.to_datetime(out["ds"]).dt.date if ds_type == "date" else pd.to_datetime(out["ds"])
             return out[["unique_id", "ds", "model", "prediction", "error"]]
         except Exception as failure:  # one series must not fail the job
             return pd.DataFrame(
@@ -60,17 +64,17 @@ def grouped_forecast(panel: DataFrame, model: str, h: int, freq: str, season: in
     return (
         panel.select("unique_id", "ds", "y")
         .groupBy("unique_id")
-        .applyInPandas(run, "unique_id string, ds date, model string, prediction double, error string")
+        .applyInPandas(run, f"unique_id string, ds {ds_type}, model string, prediction double, error string")
     )
 
 
 def stats_forecast(
-    panel: DataFrame, models: list[str], h: int, freq: str, season: int, bounded: bool = True
+    panel: DataFrame, models: list[str], h: int, freq: str, season: int, bounded: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions of all per-series models and the (series, model) pairs that gave none.
 
-    ``bounded`` says that the panel has one row per series and period, so that no
-    series outgrows the calendar; otherwise this is enforced while aggregating.
+    One row per series and period is enforced while grouping; ``bounded`` says that the panel comes from an
+    aggregation that already made it so.
     """
     if not bounded:
         panel = assert_one_row_per_period(panel)

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import future_dates, next_period
 from panelcast.functions.text import normalize_model_name
-from panelcast.models.registry import FALLBACK_LABEL, forecast_path, get_model, split_families
+from panelcast.models.registry import FALLBACK_LABEL, forecast_path, get_model, linear_penalty, split_families
 from panelcast.operators.features import FeatureSpec
 from panelcast.operators.prepare import assert_one_row_per_period, tag_run_columns, union_parts
-from panelcast.operators.series import panel_rows, series_rows
+from panelcast.operators.series import forecast_rows, panel_rows, series_rows
 from panelcast.plans.audit import grouped_forecast, native_forecast
-from panelcast.plans.recursive import predict_recursive
-from panelcast.plans.training import fit_global, training_rows
+from panelcast.plans.recursive import linear_path, predict_paths, predict_recursive
+from panelcast.plans.training import fit_global, training_rows_of
 from panelcast.sources.panel import recent_rows, scoring_window
 from panelcast.sources.tables import load_champion_model
 
@@ -58,13 +58,15 @@ def refit_and_forecast(
     freq: str,
     season: int,
     spec: FeatureSpec | None = None,
-    profile: str = "default",
+    profile: str = "library",
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Refit each series' champion on all its data and forecast ``h`` steps.
 
-    Global champions are refitted once on the history of all series and score
-    the series that chose them. Only models some series chose are fitted.
+    Linear champions are refitted on the series alone, in closed form. Other global
+    champions, and linear ones on histories that do not identify them, are refitted
+    once on the history of all series and score the series that chose them. Only
+    models some series chose are fitted.
     """
     # At most one name per model comes back; models no series chose are neither fitted nor planned.
     wanted = {r[0] for r in chosen.select("best_model_name").distinct().collect()}
@@ -72,25 +74,32 @@ def refit_and_forecast(
     pooled = [*families["global"], *families["grouped"]]
     is_pooled = F.col("best_model_name").isin(pooled) if pooled else F.lit(False)
     parts = [champion_paths(chosen.where(~is_pooled), families["native"], h, freq, season, keep)]
-    keys = chosen.select("unique_id", *(keep or []))
     if families["global"]:
-        fitted = fit_global(training_rows(panel_rows(chosen), spec), families["global"], spec, profile)
+        fitted = fit_global(training_rows_of(chosen, spec), families["global"], spec, profile)
         state = chosen.withColumn("last_ds", F.element_at("dates", -1))
         for name, model in fitted.items():
-            mine = state.where(F.col("best_model_name") == name)
-            parts.append(_as_forecast(predict_recursive(mine, {name: model}, h, freq, spec), keys, keep))
+            mine = predict_paths(state.where(F.col("best_model_name") == name), {"__pooled": model}, h, freq, spec)
+            path = F.col("__pooled")
+            if (alpha := linear_penalty(name, profile)) is not None:
+                ahead = future_dates(F.col("last_ds"), h, freq)
+                path = F.coalesce(linear_path(spec, F.col("dates"), F.col("values"), ahead, h, alpha), path)
+            out = forecast_rows(mine.withColumn("__path", path), {name: F.col("__path")}, h, freq, F.col("last_ds"), keep=keep)
+            parts.append(_as_forecast(out, keep))
     for name in families["grouped"]:
         mine = panel_rows(chosen.where(F.col("best_model_name") == name))
         out = grouped_forecast(mine, name, h, freq, season).where("error IS NULL")
-        parts.append(_as_forecast(out, keys, keep))
+        parts.append(_as_forecast(out.join(chosen.select("unique_id", *(keep or [])), "unique_id"), keep))
     return union_parts(parts)
 
 
-def _as_forecast(preds: DataFrame, keys: DataFrame, keep: list[str] | None) -> DataFrame:
-    out = preds.select(
-        "unique_id", "ds", F.col("prediction").alias("Forecast"), F.col("model").alias("Best_model_name")
+def _as_forecast(preds: DataFrame, keep: list[str] | None) -> DataFrame:
+    return preds.select(
+        "unique_id",
+        *(keep or []),
+        "ds",
+        F.col("prediction").alias("Forecast"),
+        F.col("model").alias("Best_model_name"),
     )
-    return out.join(keys, "unique_id") if keep else out
 
 
 def drift_stub_forecast(

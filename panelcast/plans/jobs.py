@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from panelcast.functions.arrays import let
 from panelcast.functions.calendar import check_freq, future_dates
 from panelcast.functions.text import metric_column
-from panelcast.models.registry import AUDIT_LABELS, FALLBACK_LABEL, ML_LABELS, forecast_path, get_model, split_families
+from panelcast.models.registry import (
+    AUDIT_LABELS,
+    FALLBACK_LABEL,
+    ML_LABELS,
+    forecast_path,
+    get_model,
+    season_of,
+    split_families,
+)
 from panelcast.operators import champion as ch
 from panelcast.operators import evaluate as ev
 from panelcast.operators import prepare as pp
@@ -23,14 +31,18 @@ from panelcast.operators.shards import balanced_shards
 from panelcast.plans.audit import grouped_forecast, native_forecast
 from panelcast.plans.forecast import batch_forecast, refit_and_forecast
 from panelcast.plans.recursive import predict_paths, predict_recursive
-from panelcast.plans.training import fit_global, fit_sharded, training_rows
+from panelcast.plans.training import fit_global, fit_sharded, training_rows_of
 from panelcast.sources import panel as src
 from panelcast.sources import tables
-from panelcast.staging import materialize
+from panelcast.staging import materialize, materialize_by
 
 NAIVE_MODELS = ["Naive", "SeasonalNaive"]
 
 
+def now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 # -- per-series champion ----------------------------------------------------------------------
 
 
@@ -49,7 +61,7 @@ class SeriesConfig:
     stats_models: tuple[str, ...] = tuple(AUDIT_LABELS)
     ml_models: tuple[str, ...] = tuple(ML_LABELS)
     date_features: tuple[str, ...] = ("month", "quarter", "year")
-    profile: str = "ray"
+    profile: str = "audit"
     fallback_unscored: bool = False
 
     def __post_init__(self):
@@ -200,13 +212,13 @@ def _ml_paths(split: DataFrame, eligible: DataFrame, config: SeriesConfig):
     """Validation forecasts of the global models as array columns next to each series."""
     spec, h = config.features, config.validation_horizon
     train = eligible.withColumn("train_dates", F.slice("dates", 1, F.greatest(F.col("n") - h, F.lit(0))))
-    rows = training_rows(panel_rows(train, "train_dates", "train"), spec)
+    rows = training_rows_of(train, spec, "train_dates", "train")
     names = list(config.ml_models)
     columns = {name: f"path_{i}" for i, name in enumerate(names)}
     if config.ml_shards > 1:
         shards = materialize(balanced_shards(panel_rows(train, "train_dates", "train"), config.ml_shards))
         fitted = fit_sharded(rows, shards, names, spec, config.profile)
-        marked = split.join(shards.select("unique_id", "shard"), "unique_id", "left")
+        marked = materialize_by(split.join(shards.select("unique_id", "shard"), "unique_id", "left"), "shard")
         parts = [marked.where(F.col("shard").isNull())]
         for number, models in fitted.items():
             parts.append(
@@ -223,9 +235,10 @@ def _ml_paths(split: DataFrame, eligible: DataFrame, config: SeriesConfig):
         return materialize(pp.union_parts(parts).drop("shard")), columns, len(fitted)
     fitted = fit_global(rows, names, spec, config.profile)
     out = predict_paths(
-        split, {columns[k]: v for k, v in fitted.items()}, h, config.freq, spec, values="train", last_ds="train_end"
+        eligible, {columns[k]: v for k, v in fitted.items()}, h, config.freq, spec, values="train", last_ds="train_end"
     )
-    return materialize(out), columns, 1
+    audited = (F.col("n") >= config.min_history) & (F.col("n") > h)
+    return materialize(pp.union_parts([out, split.where(~audited)])), columns, 1
 
 
 def run_series_champion(
@@ -238,25 +251,26 @@ def run_series_champion(
     uid_delimiter: str = "_",
     sys_id_value: str | None = None,
     output: str | None = None,
-    run_id: str = "manual",
+    run_id: str | None = None,
     run_ts: dt.datetime | None = None,
 ) -> SeriesChampionResult:
-    """The whole job on a user-mapped table; with ``output`` the four result tables are written."""
+    """The whole job on a user-mapped table; with ``output`` the four result tables are written.
+
+    Rows are stored by run and tenant. ``run_id`` defaults to the time stamp and the tenant, so a run never replaces
+    another one's rows unless it is given the same id.
+    """
     started = time.perf_counter()
-    panel = src.read_mapped_panel(spark, table, uid_col, date_col, target_col, uid_delimiter, sys_id_value)
-    pp.require_non_empty(panel, f"no rows for sys_id={sys_id_value}")
+    panel = src.read_mapped_panel(
+        spark, table, uid_col, date_col, target_col, uid_delimiter, sys_id_value, freq=config.freq
+    )
+    pp.require_non_empty(panel, f"no rows to train on (tenant: {sys_id_value or 'all'})")
     result = series_champion(panel, config)
     if output:
-        run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        run_ts = run_ts or now()
+        run_id = run_id or tables.run_id_of(run_ts, sys_id_value)
         t0 = time.perf_counter()
-        stamp = {"created_at": F.lit(run_ts).cast("timestamp_ntz"), "run_id": F.lit(run_id)}
-        for name, df, by in (
-            ("metrics", result.metrics, ["sys_id"]),
-            ("champions", result.champions, ["run_id"]),
-            ("forecasts", result.forecasts, ["run_id"]),
-        ):
-            # Overwriting only this run's partition makes a repeated run replace its rows.
-            tables.write_table(df.withColumns(stamp), f"{output}/{name}", "overwrite", partition_by=by)
+        for name, df in (("metrics", result.metrics), ("champions", result.champions), ("forecasts", result.forecasts)):
+            tables.write_run(df.withColumn("created_at", F.lit(run_ts).cast("timestamp_ntz")), tables.target(output, name), run_id)
         result.seconds["write_seconds"] = round(time.perf_counter() - t0, 3)
         counts = result.audited.agg(
             F.count("*").alias("series_count"),
@@ -270,16 +284,18 @@ def run_series_champion(
         ).first()
         summary = {
             "sys_id": sys_id_value or "*",
+            "run_id": run_id,
             "max_series": config.max_series,
             **counts.asDict(),
-            "forecast_rows": tables.read_table(spark, f"{output}/forecasts").where(F.col("run_id") == run_id).count(),
+            "forecast_rows": tables.read_table(spark, tables.target(output, "forecasts")).where(F.col("run_id") == run_id).count(),
             "ml_audit_shards_used": result.shards_used,
             "profile": config.profile,
             **result.seconds,
             "run_started_at": run_ts,
+            "run_finished_at": run_ts + dt.timedelta(seconds=time.perf_counter() - started),
             "run_duration_seconds": round(time.perf_counter() - started, 3),
         }
-        tables.append_run_log(spark, summary, f"{output}/run_logs", run_ts)
+        tables.append_run_log(spark, summary, tables.target(output, "run_logs"), run_ts)
     return result
 
 
@@ -300,25 +316,26 @@ def run_series_champion_ml(
     date_features: tuple[str, ...] = ("month", "quarter", "year"),
     uid_delimiter: str = "_",
     sys_id_value: str | None = None,
-    profile: str = "nb1",
+    profile: str = "series_ml",
     output: str | None = None,
     run_ts: dt.datetime | None = None,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Champion per series by RMSE, MAE, WMAPE among global models; series need more than two dates."""
     spec = FeatureSpec(list(lags), {}, list(date_features))
-    raw = src.read_mapped_panel(spark, table, uid_col, date_col, target_col, uid_delimiter, sys_id_value)
+    raw = src.read_mapped_panel(spark, table, uid_col, date_col, target_col, uid_delimiter, sys_id_value, freq=freq)
     panel = pp.aggregate_same_ts(raw, ["sys_id"])
     series = materialize(series_rows(panel, ["sys_id"]).where(F.col("n") > 2))
-    pp.require_non_empty(series, "no eligible series after aggregation")
+    pp.require_non_empty(series, "every series has two dates or fewer")
     split = hold_out(series, validation_horizon).where(F.col("n") > validation_horizon)
-    pp.require_non_empty(split, "not enough history for a hold-out")
+    pp.require_non_empty(split, "no series is longer than the hold-out")
     train = split.withColumn("train_dates", F.slice("dates", 1, F.col("n") - validation_horizon))
-    fitted = fit_global(training_rows(panel_rows(train, "train_dates", "train"), spec), models, spec, profile)
+    fitted = fit_global(training_rows_of(train, spec, "train_dates", "train"), models, spec, profile)
     joined = predict_recursive(
         split, fitted, validation_horizon, freq, spec, "train", "train_end", ("valid_dates", "valid")
     ).where(F.col("y").isNotNull())
     metrics = materialize(ev.series_metrics(joined))
-    pp.require_non_empty(metrics, "no validation metrics were produced")
+    pp.require_non_empty(metrics, "no model could be scored on the hold-out")
     champions = ch.series_champion_multi(metrics, models)
     chosen = series.join(
         champions.select("unique_id", F.col("champion_model").alias("best_model_name")), "unique_id"
@@ -333,9 +350,10 @@ def run_series_champion_ml(
         "forecasts": forecasts,
     }
     if output:
-        run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        run_ts = run_ts or now()
+        run_id = run_id or tables.run_id_of(run_ts, sys_id_value)
         for name, df in out.items():
-            tables.write_table(df.withColumn("created_at", F.lit(run_ts).cast("timestamp")), f"{output}/{name}")
+            tables.write_run(df.withColumn("created_at", F.lit(run_ts).cast("timestamp_ntz")), tables.target(output, name), run_id)
     return out
 
 
@@ -352,8 +370,8 @@ class GlobalConfig:
     date_features: tuple[str, ...] = ("dayofweek", "month")
     models: tuple[str, ...] = ("lgbm", "xgb", "rf", "et", "ridge")
     champion_metric: str = "wmape"
-    profile: str = "main"
-    season_length: int = 1
+    profile: str = "panel"
+    season_length: int | None = None
     model_display_name: str = "panel-forecast"
     wmape: str = "fraction"
     on_empty: str = "skip"
@@ -362,6 +380,10 @@ class GlobalConfig:
     def features(self) -> FeatureSpec:
         return FeatureSpec(list(self.lags), {}, list(self.date_features))
 
+    def season(self, model: str) -> int:
+        """The given season length, else that of the model's profile or of the frequency."""
+        return self.season_length or season_of(model, self.profile, self.freq)
+
 
 @dataclass
 class GlobalSplit:
@@ -379,7 +401,7 @@ def prepare_global(panel: DataFrame, config: GlobalConfig) -> GlobalSplit:
     split = materialize(
         hold_out(series, config.horizon).withColumn("train_dates", F.slice("dates", 1, F.col("n") - config.horizon))
     )
-    pp.require_non_empty(split, "no series left after filtering short series")
+    pp.require_non_empty(split, "no series is longer than the horizon")
     return GlobalSplit(
         split,
         panel_rows(split, "train_dates", "train"),
@@ -400,12 +422,13 @@ def validation_forecast(
     where = {"values": "train", "last_ds": "train_end", "actual": ("valid_dates", "valid")}
     parts, fitted = [], {}
     if families["global"]:
-        fitted = fit_global(training_rows(split.train_rows, spec), families["global"], spec, config.profile)
+        rows = training_rows_of(split.series, spec, "train_dates", "train")
+        fitted = fit_global(rows, families["global"], spec, config.profile)
         parts.append(predict_recursive(split.series, fitted, h, freq, spec, **where))
     if families["native"]:
-        parts.append(native_forecast(split.series, families["native"], h, freq, config.season_length, **where))
+        parts.append(native_forecast(split.series, families["native"], h, freq, config.season, **where))
     for name in families["grouped"]:
-        out = grouped_forecast(split.train_rows, name, h, freq, config.season_length)
+        out = grouped_forecast(split.train_rows, name, h, freq, config.season(name))
         parts.append(ev.join_actual_pred(split.valid, out.where("error IS NULL").drop("error")))
     return pp.union_parts(parts).where(F.col("y").isNotNull()), fitted
 
@@ -451,8 +474,8 @@ def global_champion(panel: DataFrame, config: GlobalConfig, source_table: str, r
     found = {r["model_type"] for r in results.select("model_type").collect()}
     missing = [m for m in config.models if m not in found]
     if missing and config.on_empty == "raise":
-        raise ValueError(f"no overlapping predictions for {missing}")
-    pp.require_non_empty(results, "all models failed to produce overlapping predictions")
+        raise ValueError(f"these models forecast none of the held-out dates: {', '.join(missing)}")
+    pp.require_non_empty(results, "no model forecasts any of the held-out dates")
     counts = split.series.agg(F.count("*").alias("series"), F.sum(F.size("train")).alias("rows")).first()
     best = ch.select_global_champion(ch.valid_results(results, config.champion_metric), config.champion_metric)
     payload = results.agg(F.to_json(F.array_sort(F.collect_list(F.struct("model_ordinal", "model_type", "rmse", "mae", "wmape")))))
@@ -492,14 +515,19 @@ def run_global_champion(
     run_ts: dt.datetime | None = None,
     output: str | None = None,
     batch: bool = False,
+    run_id: str | None = None,
 ) -> GlobalChampionResult:
-    """Train, score and choose; with ``output`` write predictions, champion, model and batch forecast."""
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    panel = src.read_panel(spark, table)
-    pp.require_non_empty(panel, "no rows in the source table")
+    """Train, score and choose; with ``output`` write predictions, champion, model and batch forecast.
+
+    ``run_id`` defaults to the time stamp and the display name; a run that is repeated replaces its rows.
+    """
+    run_ts = run_ts or now()
+    run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
+    panel = pp.coerce_types(src.read_panel(spark, table), config.freq)
+    pp.require_non_empty(panel, "the source table has no complete row")
     result = global_champion(panel, config, source_table, run_ts)
     if output:
-        tables.write_table(result.predictions, f"{output}/predictions")
+        tables.write_run(result.predictions, tables.target(output, "predictions"), run_id)
         uri = None
         if result.model is not None:
             uri = tables.save_model(result.model, f"{output}/models", config.model_display_name, result.model_type)
@@ -517,12 +545,10 @@ def run_global_champion(
             f"{output}/metadata/{config.model_display_name}/{result.model_type}",
         )
         champion = result.champion.withColumn("champion_model_uri", F.lit(uri).cast("string"))
-        tables.append_valid(
-            champion,
-            f"{output}/champion",
-            ["run_ts", "champion_model_type", "champion_metric_name"],
-            raise_on_reject=True,
-        )
+        required = ["run_ts", "champion_model_type", "champion_metric_name"]
+        if not tables.split_valid(champion, required).where("NOT is_valid_row").isEmpty():
+            raise ValueError(f"the champion lacks one of {', '.join(required)}")
+        tables.write_run(champion, tables.target(output, "champion"), run_id)
         if batch:
             forecasts = batch_forecast(
                 panel,
@@ -532,10 +558,10 @@ def run_global_champion(
                 config.features,
                 run_ts,
                 source_table,
-                config.season_length,
+                config.season,
                 model=result.model,
             )
-            tables.write_table(forecasts, f"{output}/batch_forecasts")
+            tables.write_run(forecasts, tables.target(output, "batch_forecasts"), run_id)
     return result
 
 
@@ -546,6 +572,7 @@ def train_one_model(
     source_table: str = "panel",
     run_ts: dt.datetime | None = None,
     output: str | None = None,
+    run_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and score one model; returns (joined predictions, one result row).
 
@@ -553,19 +580,21 @@ def train_one_model(
     """
     one = GlobalConfig(**{**config.__dict__, "models": (key,)})
     get_model(key, config.profile)
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or now()
     spark = panel.sparkSession
     try:
         result = global_champion(panel, GlobalConfig(**{**one.__dict__, "on_empty": "raise"}), source_table, run_ts)
     except Exception as failure:  # the other models of a fan-out go on
-        message = str(failure).splitlines()[0][:500] if str(failure) else repr(failure)
+        message = str(failure) or repr(failure)
         row = spark.createDataFrame(
             [(key, message, ch.ERROR_WMAPE)], "model_type string, error string, wmape double"
         )
-        empty = spark.createDataFrame([], "unique_id string, ds date, y double, prediction double")
+        ds_type = "timestamp_ntz" if config.freq == "H" else "date"
+        empty = spark.createDataFrame([], f"unique_id string, ds {ds_type}, y double, prediction double")
         return empty, row
     if output:
-        tables.write_table(result.predictions, f"{output}/predictions")
+        run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
+        tables.write_run(result.predictions, tables.target(output, "predictions"), f"{run_id}-{key}")
         tables.write_csv(result.predictions, f"{output}/evaluation/{key}")
         if result.model is not None:
             tables.save_model(result.model, f"{output}/models", config.model_display_name, key)
@@ -579,7 +608,7 @@ def select_champion(
     results = ch.collect_training_results(parts).withColumn(
         "model_ordinal", ch.model_ordinal(F.col("model_type"), models)
     )
-    valid = pp.require_non_empty(ch.valid_results(results, metric), f"no result has a value for {metric}")
+    valid = pp.require_non_empty(ch.valid_results(results, metric), f"{metric} is missing in every result")
     return ch.select_global_champion(valid, metric)
 
 
@@ -590,6 +619,7 @@ def run_multi_model_single_fit(
     run_ts: dt.datetime,
     source_table: str = "panel",
     output: str | None = None,
+    run_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All models in one call; predictions wide with one column per model, best model named on each row."""
     split = prepare_global(src.read_panel(spark, table), config)
@@ -597,7 +627,7 @@ def run_multi_model_single_fit(
     wide = materialize(
         joined.groupBy("unique_id", "ds", "y").pivot("model", list(config.models)).agg(F.first("prediction"))
     )
-    pp.require_non_empty(wide, "no overlapping rows between hold-out and predictions")
+    pp.require_non_empty(wide, "no forecast meets a held-out date")
     results = materialize(ev.multi_model_metrics(wide, list(config.models)))
     best = ch.select_global_champion(results).first()
     tagged = wide.withColumns(
@@ -611,7 +641,8 @@ def run_multi_model_single_fit(
         }
     )
     if output:
-        tables.write_table(tagged, f"{output}/predictions")
+        run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
+        tables.write_run(tagged, tables.target(output, "predictions"), run_id)
         tables.write_csv(tagged, f"{output}/evaluation")
         tables.write_json(results.withColumn("best_model", F.lit(best["model"])).coalesce(1), f"{output}/model_results")
         for name, model in fitted.items():
@@ -628,14 +659,14 @@ def run_monthly_ml(
     freq: str = "MS",
     lags: tuple[int, ...] = (1, 12),
     min_history: int = 24,
-    profile: str = "clean",
+    profile: str = "monthly",
     output_csv: str | None = None,
 ) -> DataFrame:
     """Aggregate, keep long series, fit on everything, forecast; one column per model."""
     spec = FeatureSpec(list(lags))
     panel = pp.aggregate_period(pp.drop_null_keys(src.read_renamed_panel(spark, table, mapping)), freq)
     series = materialize(series_rows(panel).where(F.col("n") >= min_history))
-    fitted = fit_global(training_rows(panel_rows(series), spec), list(models), spec, profile)
+    fitted = fit_global(training_rows_of(series, spec), list(models), spec, profile)
     state = series.withColumn("last_ds", F.element_at("dates", -1))
     wide = predict_paths(state, {f"path_{m}": v for m, v in fitted.items()}, horizon, freq, spec)
     zipped = F.arrays_zip(
@@ -656,26 +687,32 @@ def run_batch_forecast(
     source_table: str = "panel",
     output: str | None = None,
     fallback_table: DataFrame | str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Forecast with the newest champion of the champion table.
+    """Forecast with the newest champion of the configured display name.
 
     When the current rows cannot be scored, ``fallback_table`` (the rows the
-    model was trained on) takes their place.
+    model was trained on) takes their place. Without one, the table the champion
+    was trained on, as its row names it, does, if that is another table that can be read.
     """
-    row = src.champion_history(spark, champion_table, 1).first()
+    row = src.champion_history(spark, champion_table, 1, config.model_display_name).first()
     if row is None:
-        raise ValueError("the champion table is empty")
+        raise ValueError(f"no champion is stored for {config.model_display_name}")
+    if fallback_table is None and isinstance(table, str) and row["source_table"] != table:
+        named = row["source_table"]
+        if named and tables.existing_schema(spark, named) is not None:
+            fallback_table = named
 
     def forecast(panel):
         out = batch_forecast(
-            panel,
+            pp.coerce_types(panel, config.freq),
             row["champion_model_type"],
             config.horizon,
             config.freq,
             config.features,
             run_ts,
             source_table,
-            config.season_length,
+            config.season,
             model_uri=row["champion_model_uri"],
         )
         return materialize(out) if fallback_table is not None else out
@@ -687,5 +724,6 @@ def run_batch_forecast(
             raise
         out = forecast(src.read_panel(spark, fallback_table))
     if output:
-        tables.write_table(out, f"{output}/batch_forecasts")
+        run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
+        tables.write_run(out, tables.target(output, "batch_forecasts"), run_id)
     return out

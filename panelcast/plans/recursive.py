@@ -11,9 +11,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import mean, tail
+from panelcast.functions.arrays import least_squares, let, mean, tail
 from panelcast.functions.calendar import date_feature, next_period
-from panelcast.operators.features import FeatureSpec, rolling_name
+from panelcast.operators.features import FeatureSpec, feature_at, rolling_name
 from panelcast.operators.series import forecast_rows
 from panelcast.staging import materialize
 
@@ -31,6 +31,33 @@ def _step_features(spec: FeatureSpec, hist: Column, ds: Column) -> dict[str, Col
     return columns
 
 
+def linear_path(
+    spec: FeatureSpec, dates: Column, values: Column, ahead: Column, h: int, alpha: float = 0.0
+) -> Column:
+    """``h`` steps of a linear model fitted on one series alone; NULL where its history does not identify the model."""
+    n = F.size(values)
+    index = F.when(n > spec.warm_up, F.sequence(F.lit(spec.warm_up), F.greatest(n - 1, F.lit(spec.warm_up))))
+    names = spec.columns
+
+    def column(name: str) -> Column:
+        return F.transform(index, lambda i: feature_at(spec, values, dates, i)[name].cast("double"))
+
+    target = F.transform(index, lambda i: F.get(values, i))
+    coef = least_squares([column(name) for name in names], target, alpha)
+
+    def run(b: Column) -> Column:
+        def step(hist: Column, ds: Column) -> Column:
+            features = _step_features(spec, hist, ds)
+            value = F.get(b, F.lit(0))
+            for k, name in enumerate(names, 1):
+                value = value + F.get(b, F.lit(k)) * features[name]
+            return F.concat(hist, F.array(value))
+
+        return tail(F.aggregate(ahead, tail(values, spec.history), step), h)
+
+    return F.when(n > spec.warm_up + len(names), let(coef, lambda b: F.when(~F.exists(b, lambda v: v.isNull()), run(b))))
+
+
 def predict_paths(
     series: DataFrame,
     models: dict[str, PipelineModel],

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.models.registry import get_model
-from panelcast.operators.features import FeatureSpec, build_features
+from panelcast.operators.features import FeatureSpec, build_features, series_features
 from panelcast.operators.prepare import union_parts
 from panelcast.plans.recursive import predict_recursive
+from panelcast.staging import materialize_by
 
 
 def training_rows(panel: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -21,6 +22,13 @@ def training_rows(panel: DataFrame, spec: FeatureSpec) -> DataFrame:
     return build_features(panel, spec, drop_incomplete=True).select("unique_id", *keep, "y", *spec.columns)
 
 
+def training_rows_of(
+    series: DataFrame, spec: FeatureSpec, dates: str = "dates", values: str = "values"
+) -> DataFrame:
+    """The same rows from the series layout, without a shuffle."""
+    return series_features(series, spec, dates, values).select("unique_id", "y", *spec.columns)
+
+
 def _fit_all(tasks: dict, parallelism: int) -> dict:
     """Fit several pipelines at once: boosting is a chain of short jobs that alone leave cores idle."""
 
@@ -38,7 +46,7 @@ def _fit_all(tasks: dict, parallelism: int) -> dict:
 
 
 def fit_global(
-    rows: DataFrame, models: list[str], spec: FeatureSpec, profile: str = "default", parallelism: int = 4
+    rows: DataFrame, models: list[str], spec: FeatureSpec, profile: str = "library", parallelism: int = 4
 ) -> dict[str, PipelineModel]:
     """Fit each model on the feature rows of all series; rows are kept once for all models."""
     rows = rows.persist()
@@ -53,20 +61,18 @@ def fit_sharded(
     shards: DataFrame,
     models: list[str],
     spec: FeatureSpec,
-    profile: str = "default",
+    profile: str = "library",
     parallelism: int = 4,
 ) -> dict[int, dict[str, PipelineModel]]:
-    """One model set per shard of series. The number of shards is small and chosen by the caller."""
-    marked = rows.join(shards.select("unique_id", "shard"), "unique_id").persist()
-    try:
-        numbers = [r["shard"] for r in marked.select("shard").distinct().orderBy("shard").collect()]
-        tasks = {
-            (i, name): (name, profile, spec, marked.where(F.col("shard") == i)) for i in numbers for name in models
-        }
-        fits = _fit_all(tasks, parallelism)
-        return {i: {name: fits[i, name] for name in models} for i in numbers}
-    finally:
-        marked.unpersist()
+    """One model set per shard of series. The number of shards is small and chosen by the caller.
+
+    The rows are written by shard, so that a fit reads its own shard only.
+    """
+    marked = materialize_by(rows.join(shards.select("unique_id", "shard"), "unique_id"), "shard")
+    numbers = [r["shard"] for r in marked.select("shard").distinct().orderBy("shard").collect()]
+    tasks = {(i, name): (name, profile, spec, marked.where(F.col("shard") == i)) for i in numbers for name in models}
+    fits = _fit_all(tasks, parallelism)
+    return {i: {name: fits[i, name] for name in models} for i in numbers}
 
 
 def predict_sharded(
@@ -78,7 +84,7 @@ def predict_sharded(
     spec: FeatureSpec,
     **columns: str,
 ) -> DataFrame:
-    marked = series.join(shards.select("unique_id", "shard"), "unique_id")
+    marked = materialize_by(series.join(shards.select("unique_id", "shard"), "unique_id"), "shard")
     return union_parts(
         [
             predict_recursive(marked.where(F.col("shard") == i), models, h, freq, spec, **columns)

@@ -22,6 +22,7 @@ PREDICTIONS = _schema(
         "source_table": _S,
         "forecast_freq": _S,
         "horizon": _L,
+        "run_id": _S,
     },
 )
 # One schema for both champion layouts: the second block is filled by the global job only.
@@ -43,6 +44,7 @@ CHAMPION = _schema(
         "mae": _D,
         "wmape": _D,
         "all_results": _S,
+        "run_id": _S,
     },
 )
 BATCH_FORECASTS = _schema(
@@ -54,11 +56,13 @@ BATCH_FORECASTS = _schema(
         "forecast_freq": _S,
         "horizon": _L,
         "is_future": _B,
+        "run_id": _S,
     },
 )
 RUN_LOG = _schema(
     {"sys_id": _S, "created_at": T.TimestampNTZType()},
     {
+        "run_id": _S,
         "max_series": _L,
         "series_count": _L,
         "eligible_ids_for_full_audit": _L,

@@ -44,15 +44,19 @@ def read_mapped_panel(
     uid_delimiter: str = "_",
     sys_id_value: str | None = None,
     max_series: int = 0,
+    freq: str = "D",
 ) -> DataFrame:
-    """Any table as ``unique_id, ds, y, sys_id``; rows with a NULL in a mapped column are left out."""
+    """Any table as ``unique_id, ds, y, sys_id``; rows with a NULL in a mapped column are left out.
+
+    ``ds`` is a date, or a time stamp for hourly data.
+    """
     df = resolve(spark, table)
     require_columns(df, [uid_col, date_col, target_col])
     panel = (
         df.dropna(subset=[uid_col, date_col, target_col])
         .select(
             F.col(uid_col).cast("string").alias("unique_id"),
-            F.to_date(F.col(date_col)).alias("ds"),
+            (F.col(date_col).cast("timestamp_ntz") if freq == "H" else F.to_date(F.col(date_col))).alias("ds"),
             F.col(target_col).cast("double").alias("y"),
         )
         .withColumn("sys_id", tenant_of(F.col("unique_id"), uid_delimiter))
@@ -73,7 +77,7 @@ def read_renamed_panel(spark: SparkSession, table: DataFrame | str, mapping: dic
 
 
 def recent_rows(df: DataFrame, n: int = 1000) -> DataFrame:
-    """The newest ``n`` rows of the whole table."""
+    """The newest ``n`` rows of the whole table; rows of one date go by id, then by their other columns."""
     return take_ordered(df, n, [F.col("ds").desc(), F.col("unique_id").asc()])
 
 
@@ -93,8 +97,15 @@ def scoring_window(df: DataFrame, lags: list[int], horizon: int) -> DataFrame:
     )
 
 
-def champion_history(spark: SparkSession, table: DataFrame | str, n: int = 10) -> DataFrame:
-    return resolve(spark, table).orderBy(F.col("run_ts").desc()).limit(n)
+def champion_history(
+    spark: SparkSession, table: DataFrame | str, n: int = 10, model_display_name: str | None = None
+) -> DataFrame:
+    """The newest ``n`` champions, of one display name if given; runs of one time stamp go by model type."""
+    rows = resolve(spark, table)
+    if model_display_name is not None:
+        rows = rows.where(F.col("model_display_name") == model_display_name)
+    ties = [F.col(c).asc_nulls_last() for c in ("champion_model_type", "champion_model_uri") if c in rows.columns]
+    return rows.orderBy(F.col("run_ts").desc(), *ties).limit(n)
 
 
 def table_row_count(spark: SparkSession, table: DataFrame | str) -> DataFrame:

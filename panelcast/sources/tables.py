@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -12,43 +13,99 @@ from pyspark.sql import types as T
 
 from panelcast import schemas
 from panelcast.functions.text import check_identifier
+from panelcast.staging import materialize
 
 
-def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
+def is_folder(table: str) -> bool:
+    """A path; everything else names a catalog table."""
+    return "/" in table
+
+
+def existing_schema(spark: SparkSession, table: str, evolved: bool = False) -> T.StructType | None:
+    """Schema of a table, from the catalog or from one file of the folder; None if there is no such table.
+
+    ``evolved`` looks into all files of the folder.
+    """
     try:
-        return spark.read.option("mergeSchema", True).parquet(path).schema
+        folder = spark.read.option("mergeSchema", evolved)
+        return (folder.parquet(table) if is_folder(table) else spark.table(table)).schema
     except AnalysisException:
         return None
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """Inserts into catalog tables know the mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_table(
     df: DataFrame,
-    path: str,
+    table: str,
     mode: str = "append",
     evolve: bool = False,
     partition_by: list[str] | None = None,
 ) -> None:
-    """Append to or replace a table.
+    """Append to or replace a table, a folder or a catalog table.
 
-    ``evolve`` lets an append bring new columns. With ``partition_by`` an
+    ``evolve`` lets an append to a folder bring new columns. With ``partition_by`` an
     overwrite replaces only the partitions present in ``df``: a job that stores
-    its rows under its own run or tenant can be repeated without double rows.
+    its rows under its own run or tenant can be repeated without double rows. Rows of a partition are brought together
+    first, and large partitions are split again, so that each gets few files.
     """
-    if mode == "append" and not evolve:
-        present = existing_schema(df.sparkSession, path)
-        if present is not None and (extra := set(df.columns) - set(present.names)):
+    spark = df.sparkSession
+    present = None if evolve and is_folder(table) else existing_schema(spark, table)
+    if mode == "append" and present is not None and set(df.columns) - set(present.names):
+        # Only now are all footers read: an earlier append may have brought the columns.
+        if extra := set(df.columns) - set(existing_schema(spark, table, evolved=True).names):
             raise ValueError(f"columns not in the table: {sorted(extra)}")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if not is_folder(table) and present is not None:
+        missing = [f for f in present.fields if f.name not in df.columns]
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present.fields])
+        with _overwrite_mode(spark, "dynamic" if partition_by else "static"):
+            df.write.insertInto(table, overwrite=mode == "overwrite")
+        return
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if is_folder(table):
+        writer.parquet(table)
+    else:
+        writer.format("parquet").saveAsTable(table)
+
 
+def read_table(spark: SparkSession, table: str, evolved: bool = False) -> DataFrame:
+    """Read a table. ``evolved`` opens the footers of all files to find the columns any append brought."""
+    if not is_folder(table):
+        return spark.table(table)
+    return spark.read.option("mergeSchema", evolved).parquet(table)
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read with all columns any append brought."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+
+def write_run(df: DataFrame, table: str, run_id: str) -> None:
+    """Store a run's rows under its id (and tenant, where there is one); the same run again replaces them."""
+    keys = ["run_id", *[c for c in ("sys_id",) if c in df.columns]]
+    write_table(df.withColumn("run_id", F.lit(run_id)), table, "overwrite", partition_by=keys)
+
+
+def target(output: str, name: str) -> str:
+    """Where a job stores a result table: under a folder, or in a database of the catalog."""
+    return f"{output.rstrip('/')}/{name}" if is_folder(output) else f"{output}.{name}"
+
+
+def run_id_of(run_ts: dt.datetime, *names: str | None) -> str:
+    """The id of a run that was given none: its time stamp and what it ran on."""
+    return "-".join([run_ts.strftime("%Y%m%dT%H%M%S%f"), *[n for n in names if n]])
 
 
 def split_valid(df: DataFrame, required: list[str]) -> DataFrame:
@@ -62,18 +119,20 @@ def split_valid(df: DataFrame, required: list[str]) -> DataFrame:
 def append_valid(
     df: DataFrame, path: str, required: list[str], rejects_path: str | None = None, raise_on_reject: bool = False
 ) -> tuple[int, int]:
-    """Append the rows that fit, keep the others apart; returns (written, rejected)."""
-    marked = split_valid(df, required)
-    write_table(marked.where("is_valid_row").drop("is_valid_row"), path)
-    rejected = marked.where("NOT is_valid_row").drop("is_valid_row")
+    """Append the rows that fit, keep the others apart; returns (written, rejected).
+
+    The rows are computed once and counted first: with ``raise_on_reject`` nothing is appended.
+    """
+    marked = materialize(split_valid(df, required))
     counts = marked.agg(
         F.count_if("is_valid_row").alias("written"), F.count_if(~F.col("is_valid_row")).alias("rejected")
     ).first()
     if counts["rejected"]:
         if rejects_path:
-            write_table(rejected, rejects_path, evolve=True)
+            write_table(marked.where("NOT is_valid_row").drop("is_valid_row"), rejects_path, evolve=True)
         if raise_on_reject:
-            raise ValueError(f"{counts['rejected']} rows were rejected")
+            raise ValueError(f"{counts['rejected']} rows were rejected, none were written")
+    write_table(marked.where("is_valid_row").drop("is_valid_row"), path)
     return counts["written"], counts["rejected"]
 
 
@@ -117,7 +176,8 @@ def ensure_tables(spark: SparkSession, database: str, tables: dict[str, T.Struct
     names = []
     for name, schema in (tables or schemas.OUTPUT_TABLES).items():
         check_identifier(name, "table")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_ddl(schema)}) USING parquet")
+        by_run = " PARTITIONED BY (run_id)" if "run_id" in schema.names else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_ddl(schema)}) USING parquet{by_run}")
         names.append(f"{database}.{name}")
     return names
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -37,6 +38,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_by(df: DataFrame, column: str) -> DataFrame:
+    """The same, stored by the values of a column: a filter on it reads only the rows it keeps."""
+    path = scratch_path(df.sparkSession, f"by-{column}")
+    df.write.partitionBy(column).parquet(path)
+    schema = [*[f for f in df.schema.fields if f.name != column], df.schema[column]]
+    return df.sparkSession.read.schema(T.StructType(schema)).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, for tables a query writes and reads back."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

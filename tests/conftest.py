@@ -13,7 +13,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def build_session() -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="panelcast-test-")
     spark = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("panelcast-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
@@ -22,6 +22,7 @@ def build_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()

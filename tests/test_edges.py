@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import floor_period, next_period, select_date_features
 from panelcast.functions.text import check_identifier, metric_column, normalize_model_name, tenant_of
+from panelcast.models.registry import forecast_path, season_of
 from panelcast.operators import champion as ch
 from panelcast.operators import evaluate as ev
 from panelcast.operators import prepare as pp
-from panelcast.operators.features import FeatureSpec, build_features, default_lag_transforms
+from panelcast.operators.features import FeatureSpec, build_features, default_lag_transforms, series_features
 from panelcast.operators.series import fill_gaps, hold_out, panel_rows, rmse_of, series_rows
 from panelcast.operators.shards import balanced_shards, length_plan
 from panelcast.plans.audit import native_forecast
@@ -78,7 +79,7 @@ def test_parallel_top_n_equals_single_task(spark):
     df = panel(spark, [3, 7, 12, 24, 40]).repartition(7)
     order = [F.col("unique_id").desc(), F.col("ds").desc()]
     for n in (1, 30, 60, 86, 500):
-        parallel = pp.take_ordered(df, n, order, single_task_rows=0)
+        parallel = pp.take_ordered(df, n, order)
         assert sorted(parallel.collect()) == sorted(df.orderBy(*order).limit(n).collect())
 
 
@@ -230,3 +231,46 @@ def test_hot_series_holdout_sends_few_rows(spark):
     """The rank limit sits below the shuffle, so a hot series ships only h + 1 rows per map task."""
     plan = pp.holdout_split(panel(spark, [30]), 12, bounded=False)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_raw_hold_out_counts_rows_that_share_dates(spark):
+    rows = [("a", dt.date(2024, 1, 1 + i // 4), float(i)) for i in range(20)] + [("b", dt.date(2024, 1, 1), 1.0)] * 4
+    df = spark.createDataFrame(rows, "unique_id string, ds date, y double")
+    for h in (1, 3, 4, 7):
+        valid = pp.valid_part(pp.holdout_split(df, h, bounded=False)).where("unique_id = 'a'")
+        assert valid.count() == h
+        assert valid.agg(F.min("ds")).first()[0] == dt.date(2024, 1, 5 - (h - 1) // 4)
+
+
+def test_take_ordered_breaks_ties_by_all_columns(spark):
+    df = spark.createDataFrame([(1, i % 3, i) for i in range(50)], "a int, b int, c int").repartition(5)
+    want = sorted((1, i % 3, i) for i in range(50))[:17]
+    assert sorted(tuple(r) for r in pp.take_ordered(df, 17, [F.col("a").asc()]).collect()) == want
+
+
+def test_series_features_equal_window_features(spark):
+    df = panel(spark, [3, 7, 12, 24, 40])
+    spec = FeatureSpec([1, 3], {1: [3], 3: [2, 4]}, ["month", "quarter"])
+    a = build_features(df, spec, drop_incomplete=True).select("unique_id", "ds", "y", *spec.columns)
+    b = series_features(series_rows(df), spec).select("unique_id", "ds", "y", *spec.columns)
+    rounded = lambda x: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in x.collect())
+    assert rounded(a) == rounded(b)
+    plan = series_features(series_rows(df), spec)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == series_rows(df)._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+@pytest.mark.parametrize(
+    "label,base",
+    [("ARCH(1)", "ARCH"), (" GARCH (1, 1) ", "GARCH"), ("NaiveFallback", "Naive_Fallback"), ("Naive_Fallback", "Naive_Fallback"),
+     ("AutoARIMA", "AutoARIMA"), ("", ""), (None, None), ("MyARCH(1)", "MyARCH(1)"), ("ARCH", "ARCH")],
+)
+def test_model_labels(spark, label, base):
+    df = spark.createDataFrame([(label,)], "l string")
+    assert df.select(normalize_model_name(F.col("l"))).first()[0] == base
+
+
+def test_seasonal_models_need_a_season(spark):
+    for name in ("mstl", "SeasonalNaive"):
+        with pytest.raises(ValueError, match="season"):
+            forecast_path(name, F.col("values"), 3, 1)
+    assert (season_of("mstl", "library", "MS"), season_of("MSTL", "panel", "MS"), season_of("ets", "panel", "D")) == (24, 12, 7)

@@ -263,7 +263,7 @@ def test_singular_regression_is_null(spark):
 def test_registry():
     assert len(REGISTRY_KEYS) == 25
     for key in [*REGISTRY_KEYS, "lr", "naive", "seasonal_naive", "ARCH(1)", "GARCH(1,1)", "XGBoost", "arch_4", "garch_1_4"]:
-        assert get_model(key, "fan").family in ("native", "global")
+        assert get_model(key, "parallel").family in ("native", "global")
     assert get_model("garch_2_1").key == "garch_2_1"
     with pytest.raises(ValueError, match="supported"):
         get_model("prophet")
