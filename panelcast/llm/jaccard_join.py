@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ FREQUENCY_BITS, SLICES, LANES = 20, 64, 256
 #: Prefix entries per block and per shard, shingles per unit, characters that are hashed at once.
 BLOCK_ENTRIES, SHARD_ENTRIES, UNIT_SHINGLES, CHUNK_CHARS = 1 << 20, 1 << 20, 1 << 19, 1 << 20
 RANGES = 64
+#: Bits of the filter of document ids (2 MB on each worker); with more ids than bits it lets more texts through.
+FILTER_BITS = 24
 HUB, MEMBER, OTHER, DOCUMENT = 0, 1, 2, 3
 
 
@@ -294,6 +297,44 @@ def unit_links(classes: np.ndarray, sets: Sets, probe: np.ndarray | None, percen
     return links
 
 
+def id_filter(ids: DataFrame):
+    """A test that a column may hold one of the ``doc_id`` of a table: a bitmap of fixed size, never wrong on a member."""
+
+    def place(values: np.ndarray) -> np.ndarray:
+        return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+    def mark(batches):
+        from pyspark import TaskContext
+
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[place(batch.column("doc_id").drop_null().to_numpy())] = True
+        lane = TaskContext.get().partitionId() % LANES
+        for i, part in enumerate(np.packbits(bits).reshape(SLICES, -1)):
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([lane]), pa.array([part.tobytes()])], ["slice", "lane", "bits"])
+
+    def either(table: pa.Table) -> pa.Table:
+        total = 0
+        for blob in table.column("bits"):
+            total = total | np.frombuffer(blob.as_py(), np.uint8)
+        return pa.table({"slice": table.column("slice")[:1], "lane": table.column("lane")[:1], "bits": pa.array([total.tobytes()])})
+
+    schema = "slice long, lane long, bits binary"
+    parts = ids.select("doc_id").mapInArrow(mark, schema)
+    parts = parts.groupBy("slice", "lane").applyInArrow(either, schema).groupBy("slice").applyInArrow(either, schema)
+    rows = sorted(parts.collect(), key=lambda r: r["slice"])  # SLICES rows of fixed size
+    bitmap = b"".join(r["bits"] for r in rows) or bytes((1 << FILTER_BITS) // 8)
+    given = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def marked(values: pd.Series) -> pd.Series:
+        bits = np.frombuffer(given.value, np.uint8)
+        at = place(values.to_numpy())
+        return pd.Series((bits[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return lambda c: F.col(c).isNull() | marked(F.coalesce(c, F.lit(0)))
+
+
 def compare(docs: DataFrame, routes: DataFrame, first: DataFrame, frequency, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) of all units. ``routes``: class, hub, unit, probe (null: all); ``first``: class, doc_id."""
 
@@ -313,8 +354,10 @@ def compare(docs: DataFrame, routes: DataFrame, first: DataFrame, frequency, shi
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     wanted = routes.join(first, "class").groupBy("doc_id", "class").agg(F.collect_set(F.struct("hub", "unit", "probe")).alias("units"))
-    wanted = settle(wanted.withColumnRenamed("doc_id", "__d"), "jaccard-wanted")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__d"))).select("class", "text", F.explode("units").alias("u"))
+    wanted = settle(wanted, "jaccard-wanted")
+    some = docs.where(id_filter(wanted)("doc_id"))  # before the texts are shuffled
+    wanted = wanted.withColumnRenamed("doc_id", "__d")
+    texts = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("__d"))).select("class", "text", F.explode("units").alias("u"))
     texts = texts.select("class", "text", "u.hub", "u.unit", "u.probe")
     return texts.groupBy("hub", "unit").applyInArrow(run, "a long, b long")
 
@@ -349,7 +392,8 @@ def near_duplicates(
     loads = sized.groupBy("hub").agg(
         F.ceil(F.sum("n") / unit_shingles).alias("units"), F.count("class").alias("size"), F.min("class").alias("lead")
     )
-    members = settle(sized.join(loads.where("size > 1"), "hub").select("hub", "class", "units", "lead"), "jaccard-units")
+    loads = settle(loads.where("size > 1"), "jaccard-loads")
+    members = settle(sized.join(loads, "hub").select("hub", "class", "units", "lead"), "jaccard-units")
     block = F.pmod(F.xxhash64("class"), F.col("units"))
     inside = members.where(F.col("lead") != F.col("class")).select("class", "hub", block.alias("unit"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1))
