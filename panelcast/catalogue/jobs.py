@@ -83,7 +83,7 @@ def series_champion_metrics(spark, sf_dir):
 
 @query("series_champion_full_job")
 def series_champion_full_job(spark, sf_dir):
-    """All ten per-series models and both boosters."""
+    """All ten per-series models and both boosters, these with the trial profile."""
     config = jobs.SeriesConfig(profile="fast")
     out = jobs.series_champion(demand_raw(spark, sf_dir), config).forecasts
     return out.withColumn("Forecast", F.round("Forecast", 3))
@@ -91,8 +91,8 @@ def series_champion_full_job(spark, sf_dir):
 
 @query("series_champion_tenant_job")
 def series_champion_tenant_job(spark, sf_dir):
-    """One tenant of a user-mapped table."""
-    config = jobs.SeriesConfig(stats_models=("AutoARIMA", "AutoETS", "AutoTheta", "Naive"), ml_models=())
+    """All per-series models on one tenant of a user-mapped table."""
+    config = jobs.SeriesConfig(ml_models=())
     out = jobs.run_series_champion(
         spark, sales_source(spark, sf_dir), "product_id", "date", "sales", config, sys_id_value="BUILDING"
     )
@@ -101,7 +101,7 @@ def series_champion_tenant_job(spark, sf_dir):
 
 @query("global_champion_job")
 def global_champion_job(spark, sf_dir):
-    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "rf", "naive", "ets"), profile="fast")
+    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "rf", "naive", "ets"))
     result = jobs.global_champion(sales(spark, sf_dir), config, "sales", RUN_TS)
     return result.results.select(
         "model_type", F.round("rmse", 1).alias("rmse"), F.round("mae", 1).alias("mae"), F.round("wmape", 5).alias("wmape"), "valid_rows"
@@ -110,7 +110,7 @@ def global_champion_job(spark, sf_dir):
 
 @query("global_champion_predictions")
 def global_champion_predictions(spark, sf_dir):
-    config = jobs.GlobalConfig(freq="D", horizon=2, models=("ridge", "naive"), profile="fast")
+    config = jobs.GlobalConfig(freq="D", horizon=2, models=("ridge", "naive"))
     result = jobs.global_champion(event_days(spark, sf_dir), config, "events", RUN_TS)
     return result.predictions.select(
         "unique_id", "ds", F.round("y", 2).alias("y"), F.round("prediction", 3).alias("prediction"), "model_type", "horizon"
@@ -120,7 +120,7 @@ def global_champion_predictions(spark, sf_dir):
 @query("training_fanout")
 def training_fanout(spark, sf_dir):
     """Each model trained on its own, results collected, the best chosen."""
-    config = jobs.GlobalConfig(freq="MS", horizon=3, lags=(1, 2, 3), profile="fast")
+    config = jobs.GlobalConfig(freq="MS", horizon=3, lags=(1, 2, 3))
     keys = ["ridge", "croston", "theta", "seasonal_naive"]
     panel = materialize(sales(spark, sf_dir))
     results = [jobs.train_one_model(panel, key, config, "sales", RUN_TS)[1] for key in keys]
@@ -143,14 +143,14 @@ def demand_monthly_source(spark, sf_dir):
 @query("monthly_ml_job")
 def monthly_ml_job(spark, sf_dir):
     out = jobs.run_monthly_ml(
-        spark, demand_source(spark, sf_dir), {"product_id": "unique_id", "date": "ds", "quantity": "y"}, ("xgb", "lr"), profile="fast"
+        spark, demand_source(spark, sf_dir), {"product_id": "unique_id", "date": "ds", "quantity": "y"}
     )
-    return out.withColumns({"xgb": F.round("xgb", 3), "lr": F.round("lr", 3)})
+    return out.withColumns({m: F.round(m, 3) for m in ("xgb", "lgbm", "lr")})
 
 
 @query("multi_model_single_fit_job")
 def multi_model_single_fit_job(spark, sf_dir):
-    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "naive"), profile="fast")
+    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "naive"))
     wide, _ = jobs.run_multi_model_single_fit(spark, sales(spark, sf_dir), config, RUN_TS, "sales")
     return wide.select(
         "unique_id", "ds", *[F.round(c, 2).alias(c) for c in ("y", "ridge", "lr", "naive")], "best_model", "horizon"
@@ -160,7 +160,7 @@ def multi_model_single_fit_job(spark, sf_dir):
 @query("batch_forecast_job")
 def batch_forecast_job(spark, sf_dir):
     """The champion of a global run forecasts from the newest rows of every series."""
-    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr"), profile="fast")
+    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr"))
     panel = materialize(sales(spark, sf_dir))
     result = jobs.global_champion(panel, config, "sales", RUN_TS)
     out = batch_forecast(panel, result.model_type, 6, "MS", FeatureSpec([1, 2, 3], {}, ["dayofweek", "month"]), RUN_TS, "sales", model=result.model)

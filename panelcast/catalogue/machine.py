@@ -1,30 +1,29 @@
-"""Queries of the global models, with the small ``fast`` profile."""
+"""Queries of the global models. The audits run with the small ``fast`` profile, single models with their full one."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelcast.catalogue.panels import DEMAND, demand, split_sql
+from panelcast.catalogue.panels import DEMAND, SALES, demand, sales, split_sql
 from panelcast.catalogue.registry import query
 from panelcast.operators.features import FeatureSpec, default_lag_transforms
 from panelcast.operators.series import hold_out, panel_rows, series_rows
 from panelcast.operators.shards import balanced_shards
 from panelcast.plans.recursive import predict_recursive
-from panelcast.plans.training import fit_global, fit_sharded, predict_sharded, training_rows
+from panelcast.plans.training import fit_global, fit_sharded, predict_sharded, training_rows_of
 from panelcast.staging import materialize
 
 H = 6
 
 
-def split(spark, sf_dir):
-    rows = hold_out(series_rows(demand(spark, sf_dir)), H).where(F.col("n") > H)
+def split(spark, sf_dir, panel=demand):
+    rows = hold_out(series_rows(panel(spark, sf_dir)), H).where(F.col("n") > H)
     return materialize(rows.withColumn("train_dates", F.slice("dates", 1, F.col("n") - H)))
 
 
-def forecast(spark, sf_dir, models, spec):
+def forecast(spark, sf_dir, models, spec, profile="fast"):
     rows = split(spark, sf_dir)
-    train = panel_rows(rows, "train_dates", "train")
-    fitted = fit_global(training_rows(train, spec), models, spec, "fast")
+    fitted = fit_global(training_rows_of(rows, spec, "train_dates", "train"), models, spec, profile)
     out = predict_recursive(rows, fitted, H, "MS", spec, values="train", last_ds="train_end")
     return out.withColumn("prediction", F.round("prediction", 4))
 
@@ -61,16 +60,35 @@ def ridge_forecast(spark, sf_dir):
 _SPEC = FeatureSpec([1, 2, 3], {1: [3]}, ["month", "quarter"])
 
 
-def _tree_query(key):
-    @query(f"{key}_forecast")
+#: Profile of each model's query: number of trees, depth and rates as in the jobs.
+_FULL = {"lgbm": "panel", "xgb": "panel", "rf": "panel", "et": "panel", "gb": "parallel", "svr": "parallel"}
+_BOUNDED = ("rf", "et")
+
+
+def _full_query(key):
+    """A model with its full profile: a value for every series that is long enough, and forests inside the training range."""
+    bounded = key in _BOUNDED
+    sql = f"""
+    WITH {SALES}, {split_sql("sales", H)}
+    SELECT a.unique_id, a.ds, a.n >= 3 AS has_value, {"a.n >= 3" if bounded else "NULL"} AS in_range FROM ahead a
+    """
+
+    @query(f"{key}_forecast", sql)
     def run(spark, sf_dir):
-        return forecast(spark, sf_dir, [key], _SPEC)
+        rows = split(spark, sf_dir, sales)
+        train = materialize(training_rows_of(rows, _SPEC, "train_dates", "train"))
+        fitted = fit_global(train, [key], _SPEC, _FULL[key])
+        out = predict_recursive(rows, fitted, H, "MS", _SPEC, values="train", last_ds="train_end")
+        low, high = train.agg(F.min("y"), F.max("y")).first()
+        value = F.col("prediction")
+        inside = value.isNotNull() & value.between(low or 0.0, high or 0.0) if bounded else F.lit(None).cast("boolean")
+        return out.select("unique_id", "ds", (value.isNotNull() & ~F.isnan(value)).alias("has_value"), inside.alias("in_range"))
 
     return run
 
 
-for _key in ("lgbm", "xgb", "rf", "et", "gb", "svr"):
-    _tree_query(_key)
+for _key in _FULL:
+    _full_query(_key)
 
 
 @query("ml_audit")
@@ -87,6 +105,6 @@ def ml_audit_sharded(spark, sf_dir):
     rows = split(spark, sf_dir)
     train = panel_rows(rows, "train_dates", "train")
     shards = materialize(balanced_shards(train, 3))
-    fitted = fit_sharded(training_rows(train, spec), shards, ["lr"], spec)
+    fitted = fit_sharded(training_rows_of(rows, spec, "train_dates", "train"), shards, ["lr"], spec)
     out = predict_sharded(rows, shards, fitted, H, "MS", spec, values="train", last_ds="train_end")
     return out.withColumn("prediction", F.round("prediction", 4))
