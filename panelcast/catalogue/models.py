@@ -633,6 +633,63 @@ def garch_2_2_fit(spark, sf_dir):
     return _garch_query(spark, sf_dir, 2, 2)
 
 
+def _variance(spark, sf_dir, model):
+    out = variance_forecast(demand_series(spark, sf_dir), [model], 3, "MS").where("variance IS NOT NULL")
+    return out.select("unique_id", "ds", F.round("variance", 2).alias("variance"))
+
+
+_VARIANCE_AHEAD = f"""
+    WITH RECURSIVE {_DEMAND}, {_LAST}, {_RESIDUALS},"""
+
+
+@query(
+    "garch_1_1_variance",
+    _garch_sql("alpha * a.e[1]", "beta * a.s[1]", 1).split("SELECT unique_id, round(min(r.nll), 4)")[0].replace(
+        f"WITH {_DEMAND}, {_RESIDUALS},", _VARIANCE_AHEAD.strip()
+    ).rstrip()
+    + f""",
+    fits AS (
+      SELECT unique_id, any_value(v) AS v, arg_min({{'a': alpha, 'b': beta, 'e': r.e[1], 's': r.s[1]}},
+                                                  {{'n': r.nll, 'a': alpha, 'b': beta}}) AS g
+      FROM runs GROUP BY unique_id
+    ),
+    path AS (
+      SELECT f.unique_id, last_ds, 0 AS k, g, v, g.e AS e, g.s AS s FROM fits f JOIN last ON last.unique_id = f.unique_id
+      UNION ALL
+      SELECT unique_id, last_ds, k + 1, g, v, greatest(v * (1 - g.a - g.b) + g.a * e + g.b * s, 1e-12),
+             greatest(v * (1 - g.a - g.b) + g.a * e + g.b * s, 1e-12)
+      FROM path WHERE k < 3
+    )
+    SELECT unique_id, {_MONTHS} AS ds, round(s, 2) AS variance FROM path WHERE k > 0
+    """,
+)
+def garch_1_1_variance(spark, sf_dir):
+    """Variance forecasts after the best grid point."""
+    return _variance(spark, sf_dir, "garch_1_1")
+
+
+@query(
+    "arch_1_variance",
+    _VARIANCE_AHEAD
+    + f"""
+    pairs AS (SELECT unique_id, ds, e2, lag(e2) OVER (PARTITION BY unique_id ORDER BY ds) AS x FROM residuals),
+    fits AS (
+      SELECT unique_id, regr_slope(e2, x) AS b, regr_intercept(e2, x) AS a FROM pairs WHERE x IS NOT NULL GROUP BY unique_id
+    ),
+    newest AS (SELECT unique_id, arg_max(e2, ds) AS e FROM residuals GROUP BY unique_id),
+    path AS (
+      SELECT f.unique_id, last_ds, 0 AS k, a, b, e FROM fits f JOIN newest n ON n.unique_id = f.unique_id
+      JOIN last ON last.unique_id = f.unique_id WHERE b IS NOT NULL
+      UNION ALL SELECT unique_id, last_ds, k + 1, a, b, greatest(a + b * e, 0.0) FROM path WHERE k < 3
+    )
+    SELECT unique_id, {_MONTHS} AS ds, round(e, 2) AS variance FROM path WHERE k > 0
+    """,
+)
+def arch_1_variance(spark, sf_dir):
+    """Least squares of squared residuals on their last value, carried forward."""
+    return _variance(spark, sf_dir, "arch_1")
+
+
 @query("garch_variance_path")
 def garch_variance_path(spark, sf_dir):
     """Variance forecasts of every registered volatility model."""
