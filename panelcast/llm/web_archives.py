@@ -37,6 +37,8 @@ from panelcast.staging import scratch_path
 MAX_FILE_BYTES = 8 << 20
 MIN_REVISIT_BYTES = 1000
 CRAWLED = "20240101000000"
+#: Of gzip: nearly as small as the default level, in half the time.
+LEVEL = 3
 
 # Fixed formats: field names of the two ARC versions, line ends and the WARC revisit profile.
 ARC_FIELDS = {
@@ -48,7 +50,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 def _member(data: bytes) -> bytes:
     """A gzip member of its own, without a time stamp."""
-    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
     return packer.compress(data) + packer.flush()
 
 
