@@ -20,7 +20,7 @@ A prefix-filtered self-join (Xiao et al. 2011), arranged so that no step emits a
 Defined cases: texts without words (null, empty, blanks) have an empty set, are linked with nothing and are their own
 component; texts of fewer words than a shingle are one shingle; repeated rows get a row each; rows that share an id and
 differ in text are linked by their texts; rows without id belong to the component of their text; an empty table gives
-an empty result. Sets are compared as sets of 64-bit hashes.
+an empty result. Sets are compared as sets of 64-bit hashes. Texts are fetched by a hash of id and text, never by id.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ FREQUENCY_BITS, SLICES, LANES = 20, 64, 256
 #: Prefix entries per block and per shard, shingles per unit, characters that are hashed at once.
 BLOCK_ENTRIES, SHARD_ENTRIES, UNIT_SHINGLES, CHUNK_CHARS = 1 << 20, 1 << 20, 1 << 19, 1 << 20
 RANGES = 64
-#: Bits of the filter of document ids (2 MB on each worker); with more ids than bits it lets more texts through.
+#: Bits of the filter of row keys (2 MB on each worker); with more keys than bits it lets more texts through.
 FILTER_BITS = 24
 HUB, MEMBER, OTHER, DOCUMENT = 0, 1, 2, 3
 
@@ -186,13 +186,13 @@ def prefixes(docs: DataFrame, frequency, shards: int, shingle: int, percent: int
 
         spread = TaskContext.get().partitionId()
         order, seen, hashes, classes, size = frequency.value, set(), [], [], 0
-        for ids, texts in _chunks(batches, ["doc_id", "text"]):
+        for ids, keys, texts in _chunks(batches, ["doc_id", "key", "text"]):
             sets = Sets(texts, order, shingle, percent)
-            one, two = sets.classes()
+            one, _ = sets.classes()
             missing = np.array([i is None for i in ids])
             known = np.array([0 if i is None else i for i in ids], np.int64)
             spread += 1
-            yield emit(spread % shards, DOCUMENT, _pack(known, missing.astype(np.uint8), sets.n, one, two))
+            yield emit(spread % shards, DOCUMENT, _pack(known, missing.astype(np.uint8), sets.n, one, np.array(keys, np.int64)))
             fresh = np.array([c not in seen and not seen.add(c) for c in one.tolist()], bool)
             chosen = sets.in_prefix & fresh[sets.owner]
             hashes.append(sets.hashes[chosen])
@@ -204,18 +204,18 @@ def prefixes(docs: DataFrame, frequency, shards: int, shingle: int, percent: int
         if hashes:
             yield from flush(hashes, classes, spread % shards)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "shard long, kind int, blob binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(run, "shard long, kind int, blob binary")
 
 
 def shared_entries(packed: DataFrame) -> DataFrame:
-    """Rows (kind, a, b, c, d): HUB hash, hub | MEMBER hub, class | OTHER hash, class | DOCUMENT id, n, class, class 2."""
+    """Rows (kind, a, b, c, d): HUB hash, hub | MEMBER hub, class | OTHER hash, class | DOCUMENT id, n, class, key."""
 
     def run(table: pa.Table) -> pa.Table:
         out, entries = [], []
         for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist()):
             if kind == DOCUMENT:
-                ids, missing, n, one, two = _unpack(blob, ["<i8", "u1", "<i8", "<i8", "<i8"])
-                out.append(_columns(DOCUMENT, (ids, missing.astype(bool)), n, one, two))
+                ids, missing, n, one, keys = _unpack(blob, ["<i8", "u1", "<i8", "<i8", "<i8"])
+                out.append(_columns(DOCUMENT, (ids, missing.astype(bool)), n, one, keys))
             elif kind == OTHER:
                 hashes, classes = _unpack(blob, ["<u8", "<i8"])
                 out.append(_columns(OTHER, hashes.view(np.int64), classes))
@@ -297,8 +297,13 @@ def unit_links(classes: np.ndarray, sets: Sets, probe: np.ndarray | None, percen
     return links
 
 
-def id_filter(ids: DataFrame):
-    """A test that a column may hold one of the ``doc_id`` of a table: a bitmap of fixed size, never wrong on a member."""
+def row_key():
+    """A hash of a row's id and text. Rows without id hash their text alone."""
+    return F.xxhash64("doc_id", "text").alias("key")
+
+
+def key_filter(keys: DataFrame):
+    """A test that a column may hold one of the ``key`` of a table: a bitmap of fixed size, never wrong on a member."""
 
     def place(values: np.ndarray) -> np.ndarray:
         return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
@@ -308,7 +313,7 @@ def id_filter(ids: DataFrame):
 
         bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            bits[place(batch.column("doc_id").drop_null().to_numpy())] = True
+            bits[place(batch.column("key").to_numpy())] = True
         lane = TaskContext.get().partitionId() % LANES
         for i, part in enumerate(np.packbits(bits).reshape(SLICES, -1)):
             yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([lane]), pa.array([part.tobytes()])], ["slice", "lane", "bits"])
@@ -320,11 +325,11 @@ def id_filter(ids: DataFrame):
         return pa.table({"slice": table.column("slice")[:1], "lane": table.column("lane")[:1], "bits": pa.array([total.tobytes()])})
 
     schema = "slice long, lane long, bits binary"
-    parts = ids.select("doc_id").mapInArrow(mark, schema)
+    parts = keys.select("key").mapInArrow(mark, schema)
     parts = parts.groupBy("slice", "lane").applyInArrow(either, schema).groupBy("slice").applyInArrow(either, schema)
     rows = sorted(parts.collect(), key=lambda r: r["slice"])  # SLICES rows of fixed size
     bitmap = b"".join(r["bits"] for r in rows) or bytes((1 << FILTER_BITS) // 8)
-    given = ids.sparkSession.sparkContext.broadcast(bitmap)
+    given = keys.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def marked(values: pd.Series) -> pd.Series:
@@ -332,33 +337,42 @@ def id_filter(ids: DataFrame):
         at = place(values.to_numpy())
         return pd.Series((bits[at >> 3] >> (7 - (at & 7))) & 1 == 1)
 
-    return lambda c: F.col(c).isNull() | marked(F.coalesce(c, F.lit(0)))
+    return marked
 
 
 def compare(docs: DataFrame, routes: DataFrame, first: DataFrame, frequency, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) of all units. ``routes``: class, hub, unit, probe (null: all); ``first``: class, doc_id."""
+    """Links (a, b) of all units. ``routes``: class, hub, unit, probe (null: all); ``first``: class, key, rows.
+
+    ``key`` is that of one text of the class, which ``rows`` rows hold.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("class")
         classes = np.array(table.column("class"), np.int64)
-        _, keep = np.unique(classes, return_index=True)
         texts, probe = table.column("text").to_pylist(), table.column("probe").to_pylist()
-        sets = Sets([texts[i] for i in keep], frequency.value, shingle, percent)
-        # An id may belong to several texts: keep those whose set is the one that was asked for.
-        right = sets.classes()[0] == classes[keep]
-        if not right.all():
-            keep = keep[right]
+        sets = Sets(texts, frequency.value, shingle, percent)
+        # Keys may collide: of the texts of a class, keep one whose set is the one that was asked for.
+        right = np.flatnonzero(sets.classes()[0] == classes)
+        _, one = np.unique(classes[right], return_index=True)
+        keep = right[one]
+        if len(keep) < len(classes):
             sets = Sets([texts[i] for i in keep], frequency.value, shingle, percent)
         probes = None if not len(keep) or probe[keep[0]] is None else np.array([probe[i] for i in keep], bool)
         links = unit_links(classes[keep], sets, probes, percent) if len(keep) > 1 else []
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    wanted = routes.join(first, "class").groupBy("doc_id", "class").agg(F.collect_set(F.struct("hub", "unit", "probe")).alias("units"))
+    def fetch(part: DataFrame) -> DataFrame:
+        some = docs.where(key_filter(part)("key"))  # before the texts are shuffled
+        part = part.withColumnRenamed("key", "__key")
+        return some.join(part, F.col("key") == F.col("__key")).select("class", "text", "units")
+
+    wanted = routes.join(first, "class").groupBy("key", "class", "rows").agg(F.collect_set(F.struct("hub", "unit", "probe")).alias("units"))
     wanted = settle(wanted, "jaccard-wanted")
-    some = docs.where(id_filter(wanted)("doc_id"))  # before the texts are shuffled
-    wanted = wanted.withColumnRenamed("doc_id", "__d")
-    texts = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("__d"))).select("class", "text", F.explode("units").alias("u"))
-    texts = texts.select("class", "text", "u.hub", "u.unit", "u.probe")
+    texts, repeated = fetch(wanted.where("rows = 1")), wanted.where("rows > 1")
+    if not repeated.isEmpty():
+        texts = texts.unionByName(fetch(repeated).dropDuplicates(["class", "text"]))
+    texts = texts.select("class", "text", F.explode("units").alias("u")).select("class", "text", "u.hub", "u.unit", "u.probe")
     return texts.groupBy("hub", "unit").applyInArrow(run, "a long, b long")
 
 
@@ -370,22 +384,27 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` and ``class`` (equal sets) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", row_key())
     counts = shingle_frequencies(docs, shingle)
     entries = int(counts.sum(dtype=np.int64)) * (100 - percent + EXTRA) // 100
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / SHARD_ENTRIES))
     frequency = spark.sparkContext.broadcast(counts)
     rows = settle(shared_entries(prefixes(docs, frequency, shards, shingle, percent)), "jaccard-entries")
     per_doc = rows.where(F.col("kind") == DOCUMENT).select(
-        F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("class")
+        F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("class"), F.col("d").alias("key")
+    )
+    texts = per_doc.where("n_shingles > 0").groupBy("class", "key").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.count("key").alias("rows")
+    )
+    first = texts.groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min_by("rows", "key").alias("rows"), F.min("key").alias("key")
     )
-    first = per_doc.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     hubs = rows.where(F.col("kind") == HUB).select(F.col("a").alias("hash"), F.col("b").alias("hub"))
     others = rows.where(F.col("kind") == OTHER).select(F.col("a").alias("hash"), F.col("b").alias("class"))
     members = rows.where(F.col("kind") == MEMBER).select(F.col("a").alias("hub"), F.col("b").alias("class"))
     shared = members.select("class").unionByName(others.select("class")).groupBy("class").agg(F.count(F.lit(1)).alias("shared"))
     enough = shared.join(first, "class").where(F.col("shared") >= F.greatest(F.lit(1), F.floor(F.col("n") * EXTRA / 100)))
-    enough = settle(enough.select("class", "n", "doc_id"), "jaccard-enough")
+    enough = settle(enough.select("class", "n", "key", "rows"), "jaccard-enough")
     members = members.unionByName(others.join(hubs, "hash").select("hub", "class")).distinct()
 
     sized = settle(members.join(enough.select("class", "n"), "class"), "jaccard-members")
@@ -399,8 +418,8 @@ def near_duplicates(
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("units") - 1))
     leads = members.where(F.col("lead") == F.col("class")).select("class", "hub", every.alias("unit"))
     routes = inside.unionByName(leads).withColumn("probe", F.lit(None).cast("boolean"))
-    ids = enough.select("class", "doc_id")
-    links = settle(compare(docs, routes, ids, frequency, shingle, percent), "jaccard-links")
+    keys = enough.select("class", "key", "rows")
+    links = settle(compare(docs, routes, keys, frequency, shingle, percent), "jaccard-links")
 
     large = members.where("units > 1")
     if not large.isEmpty():
@@ -415,7 +434,7 @@ def near_duplicates(
         bases = labelled.join(lines, "hub").select("class", "hub", "units", "row", F.col("block").alias("column")).where(F.col("row") != F.col("column"))
         unit = (F.col("row") * F.col("units") + F.col("column")).alias("unit")
         second = probes.select("class", "hub", unit, F.lit(True).alias("probe")).unionByName(bases.select("class", "hub", unit, F.lit(False).alias("probe")))
-        links = settle(links.unionByName(compare(docs, second, ids, frequency, shingle, percent)), "jaccard-links")
+        links = settle(links.unionByName(compare(docs, second, keys, frequency, shingle, percent)), "jaccard-links")
 
     label = components(links).select(F.col("node").alias("class"), F.col("component").alias("__component"))
     of_class = first.select("class", "doc_id").join(label, "class", "left").withColumn("__component", F.coalesce("__component", "class"))

@@ -81,6 +81,22 @@ def test_repeated_rows_ids_and_nulls(spark):
     assert got == {(None, 2): 4, (4, 2): 4, (None, 1): None}
 
 
+def test_ids_with_two_texts(spark):
+    a, b, c, d = (copies(0, 80, seed)[0] for seed in range(50, 54))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (4, d), (4, d), (5, d + " end"), (6, c + " end")]
+    want = sorted((i, len(shingles(t)), {2: 1, 3: 1, 5: 4, 6: 4}.get(i, i)) for i, t in rows)
+    assert found(spark, rows) == found(spark, rows[::-1]) == brute(rows) == want
+
+
+def test_linked_texts_without_id(spark):
+    bases = [copies(0, 80, seed)[0] for seed in range(60, 66)]
+    rows = [(None, b + end) for b in bases for end in ("", " end", " end of it")] + [(None, bases[0])] * 5
+    rows += [(20 + i, b + " its end") for i, b in enumerate(bases[:4])]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    got = Counter(r["component_id"] for r in j.near_duplicates(docs).collect())
+    assert got == {20: 9, 21: 4, 22: 4, 23: 4, None: 6}
+
+
 def test_empty(spark):
     assert j.near_duplicates(documents(spark, [])).count() == 0
 
