@@ -382,7 +382,11 @@ def near_duplicates(
     percent: int = PERCENT,
     unit_shingles: int = UNIT_SHINGLES,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` and ``class`` (equal sets) for every row of ``docs`` (doc_id, text)."""
+    """``doc_id, n_shingles, component_id``, ``class`` (equal sets), ``component`` and ``key`` for every row of ``docs``.
+
+    ``component_id`` is the least id of the component; ``component`` (null without words) also tells those apart that
+    have no id or share it. ``key`` is the hash of id and text.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", row_key())
     counts = shingle_frequencies(docs, shingle)
@@ -439,23 +443,31 @@ def near_duplicates(
     label = components(links).select(F.col("node").alias("class"), F.col("component").alias("__component"))
     of_class = first.select("class", "doc_id").join(label, "class", "left").withColumn("__component", F.coalesce("__component", "class"))
     least = of_class.groupBy("__component").agg(F.min("doc_id").alias("component_id"))
-    named = of_class.join(least, "__component").select(F.col("class").alias("__class"), "component_id")
+    named = of_class.join(least, "__component").select(F.col("class").alias("__class"), "component_id", F.col("__component").alias("component"))
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     joined = per_doc.join(named, (F.col("class") == F.col("__class")) & (F.col("n_shingles") > 0), "left")
-    return joined.select("doc_id", "n_shingles", alone.alias("component_id"), "class")
+    return joined.select("doc_id", "n_shingles", alone.alias("component_id"), "class", "component", "key")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each component, that of the least id; rows that repeat a kept one go too."""
-    found = settle(near_duplicates(docs, shingle, percent), "jaccard-components")
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__d")).distinct()
-    kept = docs.join(settle(gone, "jaccard-gone"), F.col("doc_id") == F.col("__d"), "left_anti")
-    twice = found.where(F.col("n_shingles") > 0).groupBy(F.col("doc_id").alias("__d")).agg(F.count("class").alias("rows"))
-    twice = settle(twice.where("rows > 1").select("__d"), "jaccard-repeated")
-    if twice.isEmpty():
-        return kept
-    same = F.col("doc_id").eqNullSafe(F.col("__d"))
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    """The documents with one row of each component, of the least id (none if no row has one); all without words stay."""
+    found = settle(near_duplicates(docs, shingle, percent), "jaccard-components").where("n_shingles > 0")
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Rows of the least id: mostly one of each component.
+    several = found.where(least).groupBy("component").agg(F.min("key").alias("__kept"), F.count("key").alias("rows"))
+    several = settle(several.where("rows > 1").select(F.col("component").alias("__component"), "__kept"), "jaccard-several")
+    beside = found.where(least).join(several, F.col("component") == F.col("__component")).where(F.col("key") != F.col("__kept"))
+    gone = found.where(~least).select("doc_id", "key").unionByName(beside.select("doc_id", "key")).distinct()
+    gone = settle(gone.select(F.col("doc_id").alias("__d"), F.col("key").alias("__key")), "jaccard-gone")
+    columns = docs.columns
+    docs = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    docs = docs.withColumn("__row", F.xxhash64("__id", "text"))
+    kept = docs.join(gone, (F.col("__row") == F.col("__key")) & F.col("__id").eqNullSafe(F.col("__d")), "left_anti")
+    if several.isEmpty():
+        return kept.select(columns)
+    same = F.col("__row") == F.col("__kept")
+    once = kept.join(several, same, "left_semi").dropDuplicates(["__row"])
+    return kept.join(several, same, "left_anti").unionByName(once).select(columns)
 
 
 def query(spark, sf_dir):

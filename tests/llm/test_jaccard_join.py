@@ -110,6 +110,20 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] for r in j.keep_one(twice).collect()) == [1, 2, 2]
 
 
+def test_keep_one_decides_by_row(spark):
+    a, b, c, d, e = (copies(0, 80, seed)[0] for seed in range(80, 85))
+    rows = [(5, a), (5, b), (3, a + " end"), (None, a + " end of it")]  # of a: row 3; b stays
+    rows += [(7, c), (7, "some words")]  # alone, under one id
+    rows += [(None, d), (None, d), (None, d + " end"), (None, "other words"), (None, None), (None, "")]  # of d: one
+    rows += [(8, e), (8, e), (8, e + " end"), (9, e)]  # of e: one
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    got = Counter((r["doc_id"], r["text"]) for r in j.keep_one(docs).collect())
+    fixed = [(5, b), (3, a + " end"), (7, c), (7, "some words"), (None, "other words"), (None, None), (None, "")]
+    assert all(got[row] == 1 for row in fixed)
+    assert got[None, d] + got[None, d + " end"] == got[8, e] + got[8, e + " end"] == 1
+    assert sum(got.values()) == len(fixed) + 2
+
+
 def test_threshold_is_exact(spark):
     words = [f"t{i}" for i in range(14)]  # ten shingles
     rows = [(1, " ".join(words)), (2, " ".join(words[1:])), (3, " ".join(words[:12])), (4, " ".join(words[3:]))]
