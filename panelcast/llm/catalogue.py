@@ -20,6 +20,9 @@ from panelcast.llm import (
     ngram_model,
     pii,
     quality_rules,
+    spelling_variants,
+    substring_dedup,
+    token_alignment,
     token_counts,
     web_archives,
 )
@@ -35,6 +38,9 @@ QUERIES = {
     "op8_language_id": (language_id.query, None),
     "op9_decontaminate": (decontaminate.query, decontaminate.SQL),
     "op10_jaccard_join": (jaccard_join.query, None),
+    "op11_token_alignment": (token_alignment.query, None),
+    "op12_spelling_variants": (spelling_variants.query, spelling_variants.SQL),
+    "op13_substring_dedup": (substring_dedup.query, substring_dedup.SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
