@@ -101,7 +101,7 @@ def series_champion_tenant_job(spark, sf_dir):
 
 @query("global_champion_job")
 def global_champion_job(spark, sf_dir):
-    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "rf", "naive", "ets"))
+    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("lgbm", "xgb", "rf", "et", "ridge"))
     result = jobs.global_champion(sales(spark, sf_dir), config, "sales", RUN_TS)
     return result.results.select(
         "model_type", F.round("rmse", 1).alias("rmse"), F.round("mae", 1).alias("mae"), F.round("wmape", 5).alias("wmape"), "valid_rows"
@@ -150,10 +150,10 @@ def monthly_ml_job(spark, sf_dir):
 
 @query("multi_model_single_fit_job")
 def multi_model_single_fit_job(spark, sf_dir):
-    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("ridge", "lr", "naive"))
+    config = jobs.GlobalConfig(freq="MS", horizon=3, models=("lgbm", "rf", "et"))
     wide, _ = jobs.run_multi_model_single_fit(spark, sales(spark, sf_dir), config, RUN_TS, "sales")
     return wide.select(
-        "unique_id", "ds", *[F.round(c, 2).alias(c) for c in ("y", "ridge", "lr", "naive")], "best_model", "horizon"
+        "unique_id", "ds", *[F.round(c, 2).alias(c) for c in ("y", "lgbm", "rf", "et")], "best_model", "horizon"
     )
 
 

@@ -1,12 +1,13 @@
-"""Queries of the global models. The audits run with the small ``fast`` profile, single models with their full one."""
+"""Queries of the global models, with their full profiles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelcast.catalogue.panels import DEMAND, SALES, demand, sales, split_sql
+from panelcast.catalogue.panels import DEMAND, demand, split_sql
 from panelcast.catalogue.registry import query
-from panelcast.operators.features import FeatureSpec, default_lag_transforms
+from panelcast.models.trees import HistogramTrees
+from panelcast.operators.features import FeatureSpec, default_lag_transforms, series_features
 from panelcast.operators.series import hold_out, panel_rows, series_rows
 from panelcast.operators.shards import balanced_shards
 from panelcast.plans.recursive import predict_recursive
@@ -60,28 +61,29 @@ def ridge_forecast(spark, sf_dir):
 _SPEC = FeatureSpec([1, 2, 3], {1: [3]}, ["month", "quarter"])
 
 
-#: Profile of each model's query: number of trees, depth and rates as in the jobs.
+#: Profile of each model's query: number of trees, depth, leaves and rates as in the jobs.
 _FULL = {"lgbm": "panel", "xgb": "panel", "rf": "panel", "et": "panel", "gb": "parallel", "svr": "parallel"}
-_BOUNDED = ("rf", "et")
+#: Forests, whose values are means of targets; models that take missing features.
+_BOUNDED, _TAKES_MISSING = ("rf", "et"), ("lgbm", "xgb")
 
 
 def _full_query(key):
-    """A model with its full profile: a value for every series that is long enough, and forests inside the training range."""
-    bounded = key in _BOUNDED
+    """A model with its full profile on all demand series: which get a value, and whether forests stay in the training range."""
+    has = "a.n >= 1" if key in _TAKES_MISSING else "a.n >= 3"
     sql = f"""
-    WITH {SALES}, {split_sql("sales", H)}
-    SELECT a.unique_id, a.ds, a.n >= 3 AS has_value, {"a.n >= 3" if bounded else "NULL"} AS in_range FROM ahead a
+    WITH {DEMAND}, {split_sql("demand", H)}
+    SELECT a.unique_id, a.ds, {has} AS has_value, {has if key in _BOUNDED else "NULL"} AS in_range FROM ahead a
     """
 
     @query(f"{key}_forecast", sql)
     def run(spark, sf_dir):
-        rows = split(spark, sf_dir, sales)
+        rows = split(spark, sf_dir)
         train = materialize(training_rows_of(rows, _SPEC, "train_dates", "train"))
         fitted = fit_global(train, [key], _SPEC, _FULL[key])
         out = predict_recursive(rows, fitted, H, "MS", _SPEC, values="train", last_ds="train_end")
         low, high = train.agg(F.min("y"), F.max("y")).first()
         value = F.col("prediction")
-        inside = value.isNotNull() & value.between(low or 0.0, high or 0.0) if bounded else F.lit(None).cast("boolean")
+        inside = value.isNotNull() & value.between(low or 0.0, high or 0.0) if key in _BOUNDED else F.lit(None).cast("boolean")
         return out.select("unique_id", "ds", (value.isNotNull() & ~F.isnan(value)).alias("has_value"), inside.alias("in_range"))
 
     return run
@@ -91,11 +93,63 @@ for _key in _FULL:
     _full_query(_key)
 
 
+@query("tree_predictions")
+def tree_predictions(spark, sf_dir):
+    """What the four kinds of histogram trees, with full profiles, predict for all demand series."""
+    rows = split(spark, sf_dir)
+    train = materialize(training_rows_of(rows, _SPEC, "train_dates", "train"))
+    fitted = {k: m for key in ("lgbm", "xgb", "gb", "et") for k, m in fit_global(train, [key], _SPEC, _FULL[key]).items()}
+    out = predict_recursive(rows, fitted, H, "MS", _SPEC, values="train", last_ds="train_end")
+    return out.withColumn("prediction", F.round("prediction", 4))
+
+
+_STUMP = FeatureSpec([1], {}, ["month", "quarter"])
+
+
+@query(
+    "one_split_tree",
+    f"""
+    WITH {DEMAND}, {split_sql("demand", H)},
+    rows AS (
+      SELECT unique_id, ds, y, lag(y) OVER (PARTITION BY unique_id ORDER BY ds) AS lag1, month(ds) AS month, quarter(ds) AS quarter
+      FROM train
+    ),
+    known AS (SELECT * FROM rows WHERE lag1 IS NOT NULL),
+    long AS (
+      SELECT 'lag1' AS f, lag1::DOUBLE AS x, y FROM known UNION ALL SELECT 'month', month, y FROM known UNION ALL SELECT 'quarter', quarter, y FROM known
+    ),
+    places AS (SELECT f, x, sum(y) AS s, count(*) AS c FROM long GROUP BY f, x),
+    running AS (
+      SELECT f, (x + lead(x) OVER w) / 2 AS t, sum(s) OVER w AS s, sum(c) OVER w AS c FROM places WINDOW w AS (PARTITION BY f ORDER BY x)
+    ),
+    total AS (SELECT sum(y) AS s, count(*) AS c FROM known),
+    gains AS (
+      SELECT f, t, (r.s - r.c * g.s / g.c) * (r.s - r.c * g.s / g.c) * (1.0 / r.c + 1.0 / (g.c - r.c)) AS gain
+      FROM running r CROSS JOIN total g WHERE t IS NOT NULL
+    ),
+    best AS (SELECT arg_max(f, gain) AS f, arg_max(t, gain) AS t FROM gains),
+    sides AS (
+      SELECT k.unique_id, k.ds, k.y,
+        CASE b.f WHEN 'lag1' THEN k.lag1 WHEN 'month' THEN k.month ELSE k.quarter END <= b.t AS side
+      FROM known k CROSS JOIN best b
+    )
+    SELECT unique_id, ds, round(avg(y) OVER (PARTITION BY side), 6) AS prediction FROM sides
+    """,
+)
+def one_split_tree(spark, sf_dir):
+    """One tree of one split without shrinkage: the mean of the rows on each side of the best split of all features."""
+    rows = split(spark, sf_dir)
+    train = series_features(rows, _STUMP, "train_dates", "train")
+    p = {"trees": 1, "rate": 1.0, "leaves": 2, "leaf": 1, "seed": 0}
+    scored = HistogramTrees(p, _STUMP.columns).fit(train).transform(train)
+    return scored.select("unique_id", "ds", F.round("prediction", 6).alias("prediction"))
+
+
 @query("ml_audit")
 def ml_audit(spark, sf_dir):
     """The two boosters of the per-series audit, fitted on all series."""
     spec = FeatureSpec([1, 12], default_lag_transforms([1, 12]), ["month", "quarter", "year"])
-    return forecast(spark, sf_dir, ["XGBoost", "LightGBM"], spec)
+    return forecast(spark, sf_dir, ["XGBoost", "LightGBM"], spec, "audit")
 
 
 @query("ml_audit_sharded")

@@ -1,10 +1,9 @@
-"""Global models: one Spark ML regressor over the feature rows of all series.
+"""Global models: one regressor over the feature rows of all series.
 
-Spark ML has no leaf-wise or histogram booster and no extra-trees learner, so
-``lgbm`` and ``xgb`` are gradient-boosted trees of matching depth and ``et`` is a
-forest without bootstrap on feature subsets. ``svr`` is a Huber regression on
-random Fourier features (Rahimi and Recht 2007), an approximation of the RBF
-kernel; Huber's loss takes the place of the insensitive one, so there is no epsilon.
+``lgbm``, ``xgb``, ``gb`` and ``et`` are the histogram trees of :mod:`panelcast.models.trees`: ``lgbm`` grows best gain first
+to a number of leaves, ``xgb`` level by level with an L2 penalty, both take missing features; ``gb`` has neither; ``et``
+draws its thresholds. The rest are Spark ML's. ``svr`` is a Huber regression on random Fourier features (Rahimi and Recht
+2007), an approximation of the RBF kernel; Huber's loss takes the place of the insensitive one, so there is no epsilon.
 """
 
 from __future__ import annotations
@@ -14,28 +13,36 @@ import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.models.trees import HistogramTrees
+
 GLOBAL_KEYS = ("lgbm", "xgb", "rf", "et", "gb", "ridge", "lr", "svr")
 
 # Hyper-parameters per profile (fixed values). "fast" is for tests and small runs.
-_BOOST_300 = {"trees": 300, "rate": 0.05, "depth": 6, "rows": 0.9, "cols": 0.9, "seed": 42}
+_BOOST_300 = {"trees": 300, "rate": 0.05, "rows": 0.9, "cols": 0.9, "seed": 42}
+# By leaves, at least 20 rows in each; by depth, with a penalty on the squared leaf values.
+_LEAVES = {"leaves": 64, "leaf": 20, "missing": True}
+_LEVELS = {"depth": 6, "l2": 1.0, "missing": True}
+_LGBM_300, _XGB_300 = {**_BOOST_300, **_LEAVES}, {**_BOOST_300, **_LEVELS}
+_LGBM_PLAIN = {"trees": 100, "rate": 0.1, **_LEAVES, "leaves": 31, "seed": 0}
+_XGB_PLAIN = {"trees": 100, "rate": 0.3, **_LEVELS, "seed": 0}
 _FOREST_300 = {"trees": 300, "depth": 10, "leaf": 2, "seed": 42}
 # Of the approximation of the support vector machine: random features, iterations and tolerance of the solver.
 _KERNEL = {"features": 64, "iterations": 50, "tolerance": 1e-4, "seed": 42}
 PROFILES: dict[str, dict[str, dict]] = {
     "panel": {
-        "lgbm": _BOOST_300,
-        "xgb": _BOOST_300,
+        "lgbm": _LGBM_300,
+        "xgb": _XGB_300,
         "rf": _FOREST_300,
         "et": _FOREST_300,
         "ridge": {"alpha": 1.0},
     },
     "parallel": {
-        "lgbm": _BOOST_300,
-        "xgb": {**_BOOST_300, "rows": 0.8, "cols": 0.8},
+        "lgbm": _LGBM_300,
+        "xgb": {**_XGB_300, "rows": 0.8, "cols": 0.8},
         "rf": _FOREST_300,
         "et": _FOREST_300,
         "gb": {"trees": 300, "rate": 0.05, "depth": 5, "leaf": 2, "rows": 0.8, "seed": 42},
@@ -43,8 +50,8 @@ PROFILES: dict[str, dict[str, dict]] = {
         "svr": {"c": 100.0, **_KERNEL},
     },
     "library": {
-        "lgbm": {"trees": 100, "rate": 0.1, "depth": 5, "seed": 0},
-        "xgb": {"trees": 100, "rate": 0.3, "depth": 6, "seed": 0},
+        "lgbm": _LGBM_PLAIN,
+        "xgb": _XGB_PLAIN,
         "rf": {"trees": 100, "depth": 30, "seed": 0},
         "et": {"trees": 100, "depth": 30, "seed": 0},
         "gb": {"trees": 100, "rate": 0.1, "depth": 3, "seed": 0},
@@ -52,24 +59,24 @@ PROFILES: dict[str, dict[str, dict]] = {
         "svr": {"c": 1.0, **_KERNEL},
     },
     "audit": {
-        "lgbm": {**_BOOST_300, "trees": 400},
-        "xgb": {**_BOOST_300, "trees": 400},
+        "lgbm": {**_LGBM_300, "trees": 400},
+        "xgb": {**_XGB_300, "trees": 400},
     },
     "series_ml": {
-        "lgbm": _BOOST_300,
-        "xgb": _BOOST_300,
+        "lgbm": _LGBM_300,
+        "xgb": _XGB_300,
         "rf": {"trees": 300, "depth": 30, "seed": 42},
         "et": {"trees": 300, "depth": 30, "seed": 42},
         "lr": {},
     },
     "monthly": {
-        "lgbm": {"trees": 100, "rate": 0.1, "depth": 5, "seed": 0},
-        "xgb": {"trees": 100, "rate": 0.3, "depth": 6, "seed": 0},
+        "lgbm": _LGBM_PLAIN,
+        "xgb": _XGB_PLAIN,
         "lr": {},
     },
     "fast": {
-        "lgbm": {**_BOOST_300, "trees": 10, "depth": 4, "rate": 0.2},
-        "xgb": {**_BOOST_300, "trees": 10, "depth": 4, "rate": 0.2},
+        "lgbm": {**_LGBM_300, "trees": 10, "leaves": 16, "leaf": 5, "rate": 0.2},
+        "xgb": {**_XGB_300, "trees": 10, "depth": 4, "rate": 0.2},
         "rf": {**_FOREST_300, "trees": 20, "depth": 6},
         "et": {**_FOREST_300, "trees": 20, "depth": 6},
         "gb": {"trees": 10, "rate": 0.2, "depth": 4, "leaf": 2, "rows": 0.8, "seed": 42},
@@ -87,22 +94,6 @@ def params(key: str, profile: str) -> dict:
     return {}
 
 
-def _boosted(p: dict, bins: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="y",
-        predictionCol="prediction",
-        maxIter=p["trees"],
-        stepSize=p["rate"],
-        maxDepth=p["depth"],
-        minInstancesPerNode=p.get("leaf", 1),
-        subsamplingRate=p.get("rows", 1.0),
-        featureSubsetStrategy=str(p.get("cols", "all")),
-        maxBins=bins,
-        seed=p["seed"],
-    )
-
-
 def _forest(p: dict, **extra) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features",
@@ -160,15 +151,11 @@ def _kernel_features(feature_cols: list[str], rows: DataFrame, size: int, seed:
 def estimator(key: str, profile: str, feature_cols: list[str], rows: DataFrame) -> Pipeline:
     """Unfitted pipeline for one global model; ``rows`` serves for small summary statistics only."""
     p = params(key, profile)
+    if key in ("lgbm", "xgb", "gb", "et"):
+        return Pipeline(stages=[HistogramTrees(p, feature_cols, boosted=key != "et")])
     assemble = [VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")]
-    if key == "xgb":
-        model = _boosted(p, bins=64)
-    elif key in ("lgbm", "gb"):
-        model = _boosted(p, bins=32)
-    elif key == "rf":
+    if key == "rf":
         model = _forest(p, featureSubsetStrategy="all")
-    elif key == "et":
-        model = _forest(p, featureSubsetStrategy="onethird", bootstrap=False, subsamplingRate=1.0)
     elif key == "ridge":
         model = _linear(p.get("alpha", 1.0), rows)
     elif key == "lr":

@@ -69,21 +69,24 @@ def predict_paths(
 ) -> DataFrame:
     """Add one ``array<double>`` column of ``h`` predictions per model name.
 
-    A series with too little history for the features gets NULL predictions.
+    A series with too little history for the features gets NULL predictions, but from models that take missing features
+    it gets values, as soon as it has any history.
     """
     complete = F.lit(True)
     for c in spec.columns:
         complete = complete & F.col(c).isNotNull()
-    value = F.when(complete & ~F.isnan("prediction"), F.col("prediction"))
     out, kept = series, list(series.columns)
     for name, model in models.items():
         state = f"__hist_{name}"
+        takes = getattr(model.stages[-1], "accepts_missing", False)
+        known = F.size(F.col(state)) > 0 if takes else complete
+        value = F.when(known & ~F.isnan("prediction"), F.col("prediction"))
         out = out.withColumn(state, tail(F.col(values), spec.history))
         for k in range(1, h + 1):
             ds = next_period(F.col(last_ds), k, freq)
             scored = model.transform(out.withColumns(_step_features(spec, F.col(state), ds)))
             out = scored.select(*kept, F.concat(F.col(state), F.array(value)).alias(state))
-            if k % _STEPS_PER_PLAN == 0 and k < h:
+            if k % (1 if getattr(model.stages[-1], "runs_in_workers", False) else _STEPS_PER_PLAN) == 0 and k < h:
                 out = materialize(out)
         kept.append(name)
         out = out.withColumn(name, tail(F.col(state), h)).drop(state)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -49,3 +53,24 @@ def materialize_by(df: DataFrame, column: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, for tables a query writes and reads back."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of a session this package, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="panelcast-code-")  # read by Spark's file server until the driver ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"code-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
