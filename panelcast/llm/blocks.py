@@ -42,11 +42,6 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def deltas(values: np.ndarray) -> np.ndarray:
-    """Differences of neighbours, which compress better; ``np.cumsum`` gives the values back."""
-    return np.diff(values, prepend=values.dtype.type(0))
-
-
 def scramble(keys: np.ndarray) -> np.ndarray:
     """A bijective hash of 64-bit keys."""
     return mix(keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))

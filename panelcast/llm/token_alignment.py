@@ -21,20 +21,23 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.blocks import batch_of, chunks, deltas, masked, pack, scramble, shard_count, shard_of, slices, unpack
+from panelcast.llm.blocks import batch_of, chunks, masked, pack, scramble, shard_count, shard_of, slices, unpack
 from panelcast.llm.store import settle
-from panelcast.llm.token_counts import byte_of_sign, read_vocabulary
+from panelcast.llm.token_counts import AGREED, byte_of_sign, is_plain_byte_level, read_vocabulary
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pair places of a block, bytes of text per shard, links that are expanded at once, and products beyond which a group
 #: is expanded by distinct ids.
 BLOCK_PAIRS, SHARD_BYTES, EXPANDED, LARGE_GROUP = 1 << 20, 16 << 20, 1 << 22, 256
+#: The longest text that is given to the faster library.
+FAST_CHARS = 100_000
 DOCS, PAIRS, COUNTS, BEST = 0, 1, 2, 3
 PACKED = "kind int, block long, shard long, blob binary"
 COLUMNS = ["kind", "block", "shard", "blob"]
@@ -57,7 +60,9 @@ class Vocabulary:
 
             tokenizer = Tokenizer.from_str(content.decode())
             tokenizer.encode_special_tokens = True
-            self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+            library = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ranks = merge_ranks(json.loads(content))
+            self.encode = by_ranks(ranks, library) if ranks else lambda texts: library([" " + t for t in texts])
             signs = byte_of_sign()
             special = {t["id"] for t in json.loads(content).get("added_tokens", [])}
             of = {i: t for t, i in tokenizer.get_vocab(with_added_tokens=True).items()}
@@ -69,6 +74,40 @@ class Vocabulary:
         return len(self.token)
 
 
+def merge_ranks(spec: dict) -> dict[bytes, int] | None:
+    """The ids of the tokens' bytes, if merging the neighbours with the least id first is what the vocabulary does."""
+    if not is_plain_byte_level(spec):
+        return None
+    signs, vocab = byte_of_sign(), spec["model"]["vocab"]
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])):
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    return {bytes(signs[c] for c in t): i for t, i in vocab.items() if t not in special}
+
+
+def by_ranks(ranks: dict[bytes, int], library):
+    """Encodes like ``library``, with a faster one where both are known to agree (see the tests).
+
+    They merge alike, as every token of the vocabulary is what its own bytes merge to; they split alike around the code
+    points below AGREED. Long texts, which the faster one may refuse, and all others go to the library.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    unproven = re.compile(f"[^\\x00-{chr(AGREED - 1)}]").search
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out = [fast(" " + t) if len(t) <= FAST_CHARS and not unproven(t) else None for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, library([" " + texts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    return encode
+
+
 def decimals(n: int) -> np.ndarray:
     """The decimal digits of 0 .. n-1, a row each, zero bytes in front."""
     return np.array([list(str(i).rjust(len(str(n - 1)), "\0").encode()) for i in range(n)], np.uint8)
@@ -100,7 +139,7 @@ class Alignment:
         end_a, end_b = np.cumsum(a.width[self.a]), np.cumsum(b.width[self.b])
         ends = np.concatenate([end_a, end_b])
         starts = np.concatenate([end_a - a.width[self.a], end_b - b.width[self.b]])
-        order = np.lexsort((ends, starts))
+        order = np.lexsort((starts,))  # two runs that are in order already
         reached = np.maximum.accumulate(ends[order]) if len(order) else ends
         new = np.ones(len(order), bool)
         new[1:] = starts[order][1:] >= reached[:-1]
@@ -236,12 +275,7 @@ def _blocks(docs: DataFrame, given, shards: int) -> DataFrame:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         distinct, holders, hashed = distinct[order], holders[order], hashed[order]
-        # places in ascending order within a document
-        owner = np.repeat(np.arange(len(many)), many)
-        place = rank[place]
-        inside = np.lexsort((place, owner))
-        steps = deltas(place[inside])
-        blob = pack(ids, missing, numbers.reshape(-1), hashes.reshape(-1), many, steps, times[inside], distinct // n_ids_b)
+        blob = pack(ids, missing, numbers.reshape(-1), hashes.reshape(-1), many, rank[place].astype(np.uint32), times, distinct // n_ids_b)
         yield batch_of(COLUMNS, pa.array([DOCS], pa.int32()), [block], [-1], [blob])
         for shard, part in slices(shard_of(hashed, shards)):
             yield batch_of(COLUMNS, pa.array([PAIRS], pa.int32()), [block], [shard], [pack(distinct[part], holders[part])])
@@ -331,10 +365,9 @@ def alignment_statistics(docs: DataFrame, a_path: str, b_path: str) -> DataFrame
     def finish(table: pa.Table) -> pa.Table:
         kinds, blobs = table.column("kind").to_pylist(), table.column("blob")
         own = unpack(blobs[kinds.index(DOCS)].as_py())
-        ids, missing, numbers, hashes, many, steps, times, a = own
+        ids, missing, numbers, hashes, many, place, times, a = own
         answers = sorted((s, i) for i, (k, s) in enumerate(zip(kinds, table.column("shard").to_pylist())) if k == COUNTS)
         count = np.concatenate([np.zeros(0, np.int64), *[unpack(blobs[i].as_py())[0] for _, i in answers]])
-        place = np.cumsum(steps)
         owner = np.repeat(np.arange(len(many)), many)
         numbers, n = numbers.reshape(-1, 4), len(ids)
         is_best = count == best.value[a]

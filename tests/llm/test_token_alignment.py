@@ -125,3 +125,43 @@ def test_token_bytes():
     assert vocabulary.token[vocabulary.encode(["hello"])[0][0]] == b" hello" and vocabulary.token[50256] == b""
     other = t.Vocabulary(*read_vocabulary(B))
     assert b"".join(other.token[i] for i in other.encode(["é 👍🏽"])[0]) == " é 👍🏽".encode()
+
+
+def test_the_faster_library_merges_alike():
+    """Merging the least rank first, every token is what its bytes merge to: no other merges can occur."""
+    import json
+
+    spec = json.loads(read_vocabulary(A)[1])
+    ranks = t.merge_ranks(spec)
+    signs = byte_of_sign()
+    listed = {(bytes(signs[c] for c in a), bytes(signs[c] for c in b)): i for i, (a, b) in enumerate(spec["model"]["merges"])}
+    assert len(ranks) == 256 + len(listed)
+    for token in ranks:
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 1:
+            rank, at = min((listed.get(p, len(listed)), i) for i, p in enumerate(zip(parts, parts[1:])))
+            assert rank < len(listed), token
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_the_faster_library_splits_alike():
+    """Below AGREED, in an encoding that has every part of the probe as a token and so shows where it splits."""
+    import tiktoken
+
+    split = Tokenizer.from_file(A).pre_tokenizer.pre_tokenize_str
+    for code in range(t.AGREED):
+        sign = chr(code)
+        probe = f"a{sign}1{sign}! {sign}{sign} a{sign}"
+        raw = probe.encode()
+        parts = {raw[i:j] for i in range(len(raw)) for j in range(i + 1, len(raw) + 1)} | {bytes([i]) for i in range(256)}
+        ranks = {p: i for i, p in enumerate(sorted(parts, key=lambda p: (len(p), p)))}
+        shown = tiktoken.Encoding("probe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        back = {i: p for p, i in ranks.items()}
+        assert [back[i].decode() for i in shown.encode_ordinary(probe)] == [probe[a:b] for _, (a, b) in split(probe)], code
+
+
+def test_texts_go_to_the_library_that_can_take_them():
+    vocabulary, library = t.Vocabulary(*read_vocabulary(A)), Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    texts = EXTRA + [" " * 400_000 + "x", "plain", "࢏ ՘ ՙ", "x" * 300_000]
+    assert vocabulary.encode(texts) == [library.encode(" " + x, add_special_tokens=False).ids for x in texts]
