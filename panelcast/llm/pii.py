@@ -15,6 +15,7 @@ go to the earlier kind of KINDS; repeated rows and further columns do not matter
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import math
@@ -35,7 +36,7 @@ EMAIL = re.compile(
 )
 SECRET = re.compile(
     r"(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret[_-]?key|client[_-]?secret|secret|token|password|passwd|pwd)"
-    r"[\"']?\s{0,8}[:=]\s{0,8}[\"']?([a-z0-9+/_-]{16,512})"
+    r"[\"']?\s{0,8}[:=]\s{0,8}[\"']?([a-z0-9+/_-][a-z0-9+/_.=~-]{14,}[a-z0-9+/_=~-])"
 )
 IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 IPV4 = re.compile(r"(?<![0-9A-Za-z.])((?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9]))(?![0-9A-Za-z]|\.[0-9])")
@@ -48,6 +49,8 @@ PHONE = re.compile(
 )
 SSN = re.compile(r"(?<![0-9A-Za-z-])((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9A-Za-z]|-[0-9])")
 DATE = re.compile(r"(?<![0-9A-Za-z./-])((?:19|20)[0-9]{2}([-/.])[0-9]{2}\2[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\3(?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])")
+#: Signs that are permuted as one number; longer values go piece by piece.
+PIECE = 64
 #: First value and number of values of an octet, by its length.
 _OCTETS = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
 KINDS = ("email", "secret", "iban", "ipv4", "card", "phone", "ssn", "date")
@@ -133,19 +136,27 @@ class Pseudonyms:
         alphabets = [
             ("0123456789abcdef" if is_hex else "0123456789" if "0" <= c <= "9" else letters if "a" <= c <= "z" else "") for c in low
         ]
-        size, x = 1, 0
-        for c, alphabet in zip(low, alphabets):
-            if alphabet:
-                size, x = size * len(alphabet), x * len(alphabet) + alphabet.index(c)
-        tweak = f"{kind}:" + "".join(str(len(a)) + "," if a else c for c, a in zip(low, alphabets))
-        x, out = self._number(tweak, size, x, how), []
-        for c, alphabet in zip(reversed(low), reversed(alphabets)):
-            if alphabet:
-                x, place = divmod(x, len(alphabet))
-                c = alphabet[place]
-            out.append(c)
+        out, before = [], ""
+        for at in range(0, len(low), PIECE):
+            signs, own = low[at : at + PIECE], alphabets[at : at + PIECE]
+            size, x = 1, 0
+            for c, alphabet in zip(signs, own):
+                if alphabet:
+                    size, x = size * len(alphabet), x * len(alphabet) + alphabet.index(c)
+            tweak = f"{kind}:{before}" + "".join(str(len(a)) + "," if a else c for c, a in zip(signs, own))
+            x, new = self._number(tweak, size, x, how), []
+            for c, alphabet in zip(reversed(signs), reversed(own)):
+                if alphabet:
+                    x, place = divmod(x, len(alphabet))
+                    c = alphabet[place]
+                new.append(c)
+            new = "".join(reversed(new))
+            out.append(new)
+            # what stands before decides how a later piece is permuted
+            plain = signs if how is Permutation.apply else new
+            before = hashlib.blake2b(f"{before}{plain}".encode(), key=self.key, digest_size=16).hexdigest() + ":"
         upper = value.upper() == value and is_hex
-        return "".join(c.upper() if upper or (o.isupper() and not is_hex) else c for c, o in zip(reversed(out), value))
+        return "".join(c.upper() if upper or (o.isupper() and not is_hex) else c for c, o in zip("".join(out), value))
 
     def _digits(self, value: str, digits: str) -> str:
         """``value`` with its digits replaced in order."""
@@ -238,11 +249,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
         tries += [("iban", IBAN, 1), ("ipv4", IPV4, 1), ("card", CARD, 1), ("phone", PHONE, 1), ("ssn", SSN, 1), ("date", DATE, 1)]
     found: list[tuple[int, int, str]] = []
     for kind, pattern, group in tries:
+        new = []  # in order, and apart from each other
         for m in pattern.finditer(text):
             start, end = m.span(group)
-            if _valid(kind, m.group(group)) and not any(s < end and start < e for s, e, _ in found):
-                found.append((start, end, kind))
-    return sorted(found)
+            at = bisect.bisect_left(found, (end,))  # the last one before it begins before end
+            if (not at or found[at - 1][1] <= start) and _valid(kind, m.group(group)):
+                new.append((start, end, kind))
+        found = sorted(found + new)
+    return found
 
 
 def pseudonymise(text: str | None, pseudonyms: Pseudonyms) -> tuple[str | None, list[dict]]:

@@ -77,3 +77,31 @@ def test_documents(spark):
     out = pii.replace_personal_data(docs, b"k", found=None)
     assert out.columns == docs.columns and out.select("found").first()["found"] == "e"
     assert pii.replace_personal_data(documents(spark, [])).count() == 0
+
+
+def test_long_and_dotted_secrets_are_replaced_whole():
+    P = pii.Pseudonyms(b"k")
+    for value in ("a1" * 1000, "Zk9_" * 5000, "eyJhbGciOi1.eyJzdWIiOiIx.c2lnbmF0dXJlMQ==", "0123456789abcdef" * 40):
+        text = f"token={value} end."
+        (start, end, kind), = pii.find(text)
+        assert (text[start:end], kind) == (value, "secret")
+        new = P.replace("secret", value)
+        assert len(new) == len(value) and P.restore("secret", new) == value
+        # every stretch of it changes
+        assert all(new[i : i + 60] != value[i : i + 60] for i in range(0, len(value), 60) if any(c.isalnum() for c in value[i : i + 60]))
+    assert pii.find("password = abcdefgh12345678. Next")[0][:2] == (11, 27)
+
+
+def test_equal_beginnings_do_not_give_equal_ends():
+    P = pii.Pseudonyms(b"k")
+    a, b = P.replace("secret", "a1" * 40 + "same0000"), P.replace("secret", "b2" * 40 + "same0000")
+    assert a[-8:] != b[-8:]
+
+
+def test_many_values_take_time_in_proportion():
+    import time
+
+    text = " ".join(f"u{i}@mail{i}.example.com" for i in range(100_000))
+    began = time.process_time()
+    assert len(pii.find(text)) == 100_000
+    assert time.process_time() - began < 5
