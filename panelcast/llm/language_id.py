@@ -31,22 +31,52 @@ TRIGRAMS, LANES = 1 << 14, 256
 #: Trigrams overlap, so each counts this much only; pages that a prior level weighs; pseudo-counts of a likelihood.
 TEMPER, STRENGTH, SMOOTHING = 0.2, 5.0, 1.0
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>")
-_TAG = re.compile(r"(?s)<[^>]*>")
-_HTML = re.compile(r"(?is)<html\b([^>]*)>")
-_LANG = re.compile(r"""(?i)(?:^|\s)(?:xml:)?lang\s*=\s*["']?([a-z]{2,3})\b""")
-_META = re.compile(r"""(?is)<meta\b[^>]*(?:http-equiv|name)\s*=\s*["']?(?:content-)?language["']?[^>]*content\s*=\s*["']?\s*([a-z]{2,3})\b""")
+# No pattern runs past the next "<", and attribute names are tried where they begin: one pass, whatever the page.
+_OPEN = re.compile(r"(?i)<!--|<(script|style)\b")
+_CLOSE = {"": re.compile("-->"), "script": re.compile(r"(?i)</script(?=[\s>])\s*>?"), "style": re.compile(r"(?i)</style(?=[\s>])\s*>?")}
+_TAG = re.compile(r"<[^<>]*>")
+_ROOT_OR_META = re.compile(r"(?i)<(html|meta)\b([^<>]*)")
+_ATTRIBUTE = re.compile(r"""(?<![\w:-])([\w:-]+)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"'>]+))""")
+_PRIMARY = re.compile(r"\s*([A-Za-z]{2,3})(?![A-Za-z0-9_])")
+
+
+def without_hidden(markup: str) -> str:
+    """The page without comments, scripts and styles; one that is never closed hides nothing."""
+    out, at, endless = [], 0, set()
+    for opened in _OPEN.finditer(markup):
+        kind = (opened[1] or "").lower()
+        if opened.start() < at or kind in endless:
+            continue
+        closed = _CLOSE[kind].search(markup, opened.end())
+        if closed is None:
+            endless.add(kind)
+            continue
+        out += [markup[at : opened.start()], " "]
+        at = closed.end()
+    return "".join(out) + markup[at:]
 
 
 def visible_text(markup: str | None) -> str:
-    return html.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", markup or "")))
+    return html.unescape(_TAG.sub(" ", without_hidden(markup or "")))
 
 
 def declared_language(markup: str | None) -> str:
-    """Primary language tag of the root element or of a meta element; empty if there is none."""
-    root = _HTML.search(markup or "")
-    found = (root and _LANG.search(root[1])) or _META.search(markup or "")
-    return found[1].lower() if found else ""
+    """Primary language tag of the root element, or else of the first meta element that has one; empty without."""
+    meta, rooted = "", False
+    for tag in _ROOT_OR_META.finditer(markup or ""):
+        is_root = tag[1].lower() == "html"
+        if is_root and rooted or not is_root and meta:
+            continue
+        values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(tag[2])}
+        if is_root:
+            rooted = True
+            found = _PRIMARY.match(values.get("xml:lang", "")) or _PRIMARY.match(values.get("lang", ""))
+            if found:
+                return found[1].lower()
+        elif {values.get("name", "").lower(), values.get("http-equiv", "").lower()} & {"language", "content-language"}:
+            found = _PRIMARY.match(values.get("content", ""))
+            meta = found[1].lower() if found else ""
+    return meta
 
 
 def address_parts(url: str | None) -> tuple[str, str, str]:

@@ -68,3 +68,27 @@ def test_no_labels_no_pages_and_repeats(spark, docs):
     assert l.identify(pages, docs).count() == 2
     assert l.identify(pages.where("false"), docs).count() == 0
     assert l.identify(pages, documents(spark, ["the and of"] * 3)).first()["lang"] == "en"
+
+
+def test_hostile_pages_take_one_pass():
+    import time
+
+    for part in ("<meta name=language ", "<", "<!--", "<html ", "<script", "a" * 9, " lang", "<meta a=\"", "&", "<style>x</style"):
+        page = part * (1_000_000 // len(part))
+        began = time.process_time()
+        l.declared_language(page), l.visible_text(page)
+        assert time.process_time() - began < 5, part
+
+
+def test_declared_languages_in_any_order_of_attributes():
+    pages = {
+        "<html lang='fr-CA'>": "fr", '<HTML xml:lang="de">': "de", "<html><meta name=language content=en>": "en",
+        '<meta content="es-MX" http-equiv="Content-Language">': "es", "<meta name='author' content='fr'>": "", "<html lang=''><meta name=language content=it>": "it",
+        "<html data-lang=fr>": "", None: "", "": "",
+    }
+    assert {p: l.declared_language(p) for p in pages} == pages
+
+
+def test_hidden_parts():
+    page = "a<!-- b --> c <script>d</script > e<style>f</style> g <!-- open <b>h</b>"
+    assert l.visible_text(page).split()[:4] == ["a", "c", "e", "g"] and "h" in l.visible_text(page)
