@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 import oracle
 
 # Boosters with all their rounds take minutes; the correctness run of the driver has them.
-HEAVY = {"series_champion_full_job", "stats_audit", "lgbm_forecast", "xgb_forecast", "gb_forecast", "monthly_ml_job"}
+HEAVY = {"series_champion_full_job", "stats_audit", "lgbm_forecast", "xgb_forecast", "gb_forecast", "monthly_ml_job", "tree_predictions"}
 # Queries of the optional corpus part have their own tests.
 OPTIONAL = set(entry.corpus.queries()) if entry.corpus else set()
 
