@@ -20,6 +20,7 @@ from panelcast.models import (
     decomposition,
     global_ml,
     intermittent,
+    sarima,
     smoothing,
     volatility,
 )
@@ -37,6 +38,7 @@ class Model:
 
 _NATIVE = {
     "arima": autoregression.arima,
+    "sarima": sarima.sarima,
     "ets": smoothing.ets,
     "theta": smoothing.theta,
     "mstl": decomposition.mstl,
@@ -132,7 +134,7 @@ def linear_penalty(name: str, profile: str = "library") -> float | None:
 # Periods in a year, week or day by frequency; periods some profiles give single models (fixed values).
 SEASONS = {"MS": 12, "QS": 4, "YS": 1, "W": 52, "D": 7, "H": 24}
 PROFILE_SEASONS = {
-    "library": {"arima": 12, "ets": 12, "mstl": 24},
+    "library": {"arima": 12, "sarima": 12, "ets": 12, "mstl": 24},
     "parallel": {"mstl": 24},
 }
 _SEASONAL_ONLY = ("mstl", "seasonal_naive")
