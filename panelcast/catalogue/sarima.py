@@ -12,10 +12,10 @@ _STATISTIC = """
 long_enough AS (
   SELECT unique_id, 0 AS seasonal, y FROM lists
   UNION ALL
-  SELECT unique_id, 1, list_transform(range(13, n + 1), i -> y[i] - y[i - 12]) FROM lists WHERE n >= 36
+  SELECT unique_id, 1, list_transform(range(13, n + 1), lambda i: y[i] - y[i - 12]) FROM lists WHERE n >= 36
 ),
 centred_lists AS (
-  SELECT unique_id, seasonal, len(y) AS n, list_transform(y, v -> v - list_avg(y)) AS e,
+  SELECT unique_id, seasonal, len(y) AS n, list_transform(y, lambda v: v - list_avg(y)) AS e,
          CAST(floor(4 * pow(len(y) / 100.0, 0.25)) AS BIGINT) AS width
   FROM long_enough
 ),
@@ -28,7 +28,7 @@ walks AS (
 statistics AS (
   SELECT c.unique_id, c.seasonal, squares / (n * greatest(
            list_dot_product(e, e) + 2 * coalesce(list_sum(list_transform(range(1, least(width, n - 1) + 1),
-             j -> (1 - j / (width + 1.0)) * list_dot_product(e[j + 1:], e[:n - j]))), 0), 1e-12)) AS level
+             lambda j: (1 - j / (width + 1.0)) * list_dot_product(e[j + 1:], e[:n - j]))), 0), 1e-12)) AS level
   FROM centred_lists c JOIN walks w ON w.unique_id = c.unique_id AND w.seasonal = c.seasonal
 ),
 strengths AS (
