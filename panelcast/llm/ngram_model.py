@@ -105,6 +105,11 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES)], _NAMES)
 
 
+def narrowed(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each where the largest fits; larger ones keep eight, none is clipped."""
+    return counts.astype(np.uint32) if counts.max(initial=0) <= 0xFFFFFFFF else counts
+
+
 def _split(kind: str, keys: np.ndarray, shards: int, *values: np.ndarray) -> list[tuple]:
     """Packed rows of sorted keys and their values, one per shard that has any."""
     shard = shard_of(keys, shards)
@@ -268,12 +273,12 @@ def count_bigrams(train: DataFrame, shards: int, salts, folder: str) -> DataFram
         keys, more = keys[order], counts[order][~once]
         shard = table.column("shard")[0].as_py()
         seen = [float((counts == i).sum()) for i in (1, 2, 3, 4)]
-        rows = [("bigrams", shard, None, _write(folder, keys[once], keys[~once], np.minimum(more, 0xFFFFFFFF).astype(np.uint32)), seen)]
+        rows = [("bigrams", shard, None, _write(folder, keys[once], keys[~once], narrowed(more)), seen)]
         sums = _summed(salts.value.undo(first), counts, *[(counts == i).astype(np.int64) for i in (1, 2)], (counts > 2).astype(np.int64))
-        rows += _split("context", sums[0], shards, sums[1], *[s.astype(np.uint32) for s in sums[2:]])
+        rows += _split("context", sums[0], shards, sums[1], *[narrowed(s) for s in sums[2:]])
         # Continuation counts are filed by the 40 bits, moved to the top so that shards are ranges again.
         words, types = _summed(low << np.uint64(24), np.ones(len(low), np.int64))
-        rows += _split("continuation", words, shards, types.astype(np.uint32))
+        rows += _split("continuation", words, shards, narrowed(types))
         return _rows(rows)
 
     return train.mapInArrow(run, ROW).groupBy("shard").applyInArrow(add, ROW)

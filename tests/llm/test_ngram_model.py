@@ -88,3 +88,10 @@ def test_packed_arrays_round_trip():
     arrays = [np.arange(5, dtype=np.uint8), np.arange(3, dtype=np.uint64), np.zeros(0, np.uint32), np.arange(7, dtype=np.int64)]
     for a, b in zip(arrays, m.unpack(m.pack(*arrays))):
         assert a.dtype == b.dtype and a.tolist() == b.tolist() and b.flags.aligned
+
+
+def test_counts_beyond_four_bytes_are_kept():
+    small, large = np.array([2, 0xFFFFFFFF]), np.array([2, 1 << 32])
+    assert m.narrowed(small).dtype == np.uint32 and m.narrowed(small).tolist() == small.tolist()
+    assert m.unpack(m.pack(m.narrowed(large)))[0].tolist() == large.tolist()
+    assert m.narrowed(np.zeros(0, np.int64)).tolist() == []
