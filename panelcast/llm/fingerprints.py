@@ -5,7 +5,7 @@ vectors, lane by lane, modulo a power of two. So the order of paragraphs does no
 or deleted by adding or subtracting its vector, without the rest of the text.
 
 The vector has two parts. LANES lanes modulo 2**64 are a cryptographic hash of the paragraph and decide equality.
-SKETCH lanes modulo 2**16 are a signed count sketch of its word shingles; being sums as well, they estimate the cosine
+SKETCH lanes modulo 2**32 are a signed count sketch of its word shingles; being sums as well, they estimate the cosine
 of two documents' shingle counts, with an error of about 1 / sqrt(SKETCH), which is the likeness.
 
 Defined cases: null texts count as empty; texts without paragraphs have the zero fingerprint, equal to each other
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from panelcast.llm.words import shingle_hashes, word_hashes
 
 LANES, SKETCH, SHINGLE = 8, 256, 3
-SIZE = LANES * 8 + SKETCH * 2
+SIZE = LANES * 8 + SKETCH * 4
 CHUNK_CHARS = 1 << 22
 FIRST = -(1 << 63)
 
 
 class Fingerprints:
-    """Fingerprints of many texts: ``lanes`` (uint64) and ``sketch`` (uint16), a row each."""
+    """Fingerprints of many texts: ``lanes`` (uint64) and ``sketch`` (uint32), a row each."""
 
     def __init__(self, lanes: np.ndarray, sketch: np.ndarray):
         self.lanes, self.sketch = lanes, sketch
@@ -46,7 +46,7 @@ class Fingerprints:
                     paragraphs.append(line)
                     document.append(i)
         document = np.array(document, np.int64)
-        lanes, sketch = np.zeros((len(texts), LANES), np.uint64), np.zeros((len(texts), SKETCH), np.uint16)
+        lanes, sketch = np.zeros((len(texts), LANES), np.uint64), np.zeros((len(texts), SKETCH), np.uint32)
         if paragraphs:
             digests = b"".join(hashlib.blake2b(p.encode("utf-8", "replace"), digest_size=LANES * 8).digest() for p in paragraphs)
             begins = np.flatnonzero(np.append(True, document[1:] != document[:-1]))
@@ -56,7 +56,7 @@ class Fingerprints:
             cell = document[owner] * SKETCH + (hashes % np.uint64(SKETCH)).astype(np.int64)
             sign = np.where(hashes >> np.uint64(63), 1.0, -1.0)
             sums = np.bincount(cell, sign, len(texts) * SKETCH).astype(np.int64)
-            sketch = (sums & 0xFFFF).astype(np.uint16).reshape(-1, SKETCH)
+            sketch = (sums & 0xFFFFFFFF).astype(np.uint32).reshape(-1, SKETCH)
         return cls(lanes, sketch)
 
     def __len__(self) -> int:
@@ -72,17 +72,17 @@ class Fingerprints:
         return Fingerprints(self.lanes - other.lanes, self.sketch - other.sketch)
 
     def encode(self) -> list[str]:
-        return [base64.b64encode(a.astype("<u8").tobytes() + b.astype("<u2").tobytes()).decode() for a, b in zip(self.lanes, self.sketch)]
+        return [base64.b64encode(a.astype("<u8").tobytes() + b.astype("<u4").tobytes()).decode() for a, b in zip(self.lanes, self.sketch)]
 
     @classmethod
     def decode(cls, strings: list[str]) -> Fingerprints:
         raw = np.frombuffer(b"".join(base64.b64decode(s) for s in strings), np.uint8).reshape(-1, SIZE)
         lanes = np.ascontiguousarray(raw[:, : LANES * 8]).view("<u8")
-        return cls(lanes.astype(np.uint64), np.ascontiguousarray(raw[:, LANES * 8 :]).view("<u2").astype(np.uint16))
+        return cls(lanes.astype(np.uint64), np.ascontiguousarray(raw[:, LANES * 8 :]).view("<u4").astype(np.uint32))
 
     def likeness(self, other: Fingerprints) -> np.ndarray:
         """Between 0 and 1, row by row; 1 for equal fingerprints."""
-        a, b = self.sketch.view(np.int16).astype(np.float64), other.sketch.view(np.int16).astype(np.float64)
+        a, b = self.sketch.view(np.int32).astype(np.float64), other.sketch.view(np.int32).astype(np.float64)
         norms = np.sqrt((a * a).sum(1) * (b * b).sum(1))
         cosine = np.divide((a * b).sum(1), norms, out=np.zeros(len(a)), where=norms > 0)
         equal = (self.lanes == other.lanes).all(1)

@@ -34,6 +34,13 @@ def test_likeness_follows_the_shared_share():
         assert abs(a.likeness(b)[0] - share / 100) < 0.2
 
 
+def test_many_equal_lines_do_not_wrap():
+    line = "the same words in every line"
+    a, b = (f.Fingerprints.of(["\n".join([line] * n)]) for n in (40_000, 20_000))
+    assert a.likeness(b)[0] > 0.999
+    assert ((a - b).encode() == b.encode()) and a.likeness(a)[0] == 1
+
+
 def test_empty_texts():
     none = f.Fingerprints.of([None, "", " \n ", "x"])
     assert none.likeness(none[[1, 2, 0, 0]]).tolist() == [1, 1, 1, 0]
