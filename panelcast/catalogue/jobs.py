@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.catalogue.evaluation import _CHAMPIONS, MODELS
 from panelcast.catalogue.panels import (
+    SALES,
     demand,
     demand_raw,
     demand_source,
@@ -21,7 +22,8 @@ from panelcast.operators.prepare import aggregate_period
 from panelcast.operators.series import hold_out, series_rows
 from panelcast.plans import jobs
 from panelcast.plans.forecast import batch_forecast, champion_paths
-from panelcast.staging import materialize
+from panelcast.sources import tables
+from panelcast.staging import materialize, scratch_path
 
 RUN_TS = dt.datetime(2024, 2, 1)
 NATIVE = jobs.SeriesConfig(stats_models=tuple(MODELS), ml_models=())
@@ -167,3 +169,31 @@ def batch_forecast_job(spark, sf_dir):
     return out.select("unique_id", "ds", F.round("prediction", 2).alias("prediction"), "model_type", "horizon", "is_future")
 
 
+
+
+@query(
+    "first_run_model_kept",
+    f"""
+    WITH {SALES}, ends AS (SELECT unique_id, max(ds) AS last_ds FROM sales GROUP BY unique_id),
+    steps AS (SELECT unnest(range(1, 3)) AS k)
+    SELECT unique_id, CAST(last_ds + to_months(CAST(k AS INTEGER)) AS DATE) AS ds, true AS same, 2 AS runs
+    FROM ends CROSS JOIN steps
+    """,
+)
+def first_run_model_kept(spark, sf_dir):
+    """Two runs under one display name: the first champion's row still names a model that scores as it did."""
+    out = scratch_path(spark, "two-runs")
+    config = jobs.GlobalConfig(freq="MS", horizon=2, models=("lr",), lags=(1, 2, 3))
+    panel = materialize(sales(spark, sf_dir))
+    jobs.run_global_champion(spark, panel, config, "sales", RUN_TS, out, batch=True, run_id="first")
+    changed = panel.withColumn("y", 7 - 3 * F.col("y"))
+    jobs.run_global_champion(spark, changed, config, "sales", RUN_TS + dt.timedelta(days=1), out, run_id="second")
+    champions = tables.read_table(spark, f"{out}/champion")
+    uri = champions.where("run_id = 'first'").first()["champion_model_uri"]
+    before = tables.read_table(spark, f"{out}/batch_forecasts").select("unique_id", "ds", F.col("prediction").alias("first"))
+    again = batch_forecast(panel, "lr", 2, "MS", config.features, RUN_TS, "sales", model_uri=uri)
+    both = again.join(before, ["unique_id", "ds"])
+    runs = champions.select("champion_model_uri").distinct().count()
+    return both.select(
+        "unique_id", "ds", F.col("prediction").eqNullSafe(F.col("first")).alias("same"), F.lit(runs).alias("runs")
+    )

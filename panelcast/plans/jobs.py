@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ from panelcast.sources import panel as src
 from panelcast.sources import tables
 from panelcast.staging import materialize, materialize_by
 
+LOG = logging.getLogger(__name__)
+
 NAIVE_MODELS = ["Naive", "SeasonalNaive"]
 
 
@@ -530,7 +534,9 @@ def run_global_champion(
         tables.write_run(result.predictions, tables.target(output, "predictions"), run_id)
         uri = None
         if result.model is not None:
-            uri = tables.save_model(result.model, f"{output}/models", config.model_display_name, result.model_type)
+            uri = tables.save_model(
+                result.model, f"{output}/models", config.model_display_name, result.model_type, run_id=run_id
+            )
         record = result.champion.first().asDict()
         tables.write_run_metadata(
             spark,
@@ -542,7 +548,7 @@ def run_global_champion(
                 "horizon": config.horizon,
                 "model_uri": uri,
             },
-            f"{output}/metadata/{config.model_display_name}/{result.model_type}",
+            f"{output}/metadata/{config.model_display_name}/{result.model_type}/run_id={run_id}",
         )
         champion = result.champion.withColumn("champion_model_uri", F.lit(uri).cast("string"))
         required = ["run_ts", "champion_model_type", "champion_metric_name"]
@@ -595,9 +601,9 @@ def train_one_model(
     if output:
         run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
         tables.write_run(result.predictions, tables.target(output, "predictions"), f"{run_id}-{key}")
-        tables.write_csv(result.predictions, f"{output}/evaluation/{key}")
+        tables.write_csv(result.predictions, f"{output}/evaluation/{key}/run_id={run_id}")
         if result.model is not None:
-            tables.save_model(result.model, f"{output}/models", config.model_display_name, key)
+            tables.save_model(result.model, f"{output}/models", config.model_display_name, key, run_id=run_id)
     return result.predictions, result.results
 
 
@@ -643,10 +649,11 @@ def run_multi_model_single_fit(
     if output:
         run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)
         tables.write_run(tagged, tables.target(output, "predictions"), run_id)
-        tables.write_csv(tagged, f"{output}/evaluation")
-        tables.write_json(results.withColumn("best_model", F.lit(best["model"])).coalesce(1), f"{output}/model_results")
+        tables.write_csv(tagged, f"{output}/evaluation/run_id={run_id}")
+        best_named = results.withColumn("best_model", F.lit(best["model"])).coalesce(1)
+        tables.write_json(best_named, f"{output}/model_results/run_id={run_id}")
         for name, model in fitted.items():
-            tables.save_model(model, f"{output}/models", config.model_display_name, name)
+            tables.save_model(model, f"{output}/models", config.model_display_name, name, run_id=run_id)
     return tagged, results
 
 
@@ -719,9 +726,10 @@ def run_batch_forecast(
 
     try:
         out = forecast(src.read_panel(spark, table))
-    except Exception:
+    except (PySparkException, ValueError) as failure:  # rows that cannot be read, cast or scored; faults of code go up
         if fallback_table is None:
             raise
+        LOG.warning("the current rows cannot be scored, the champion's own table takes their place: %s", failure)
         out = forecast(src.read_panel(spark, fallback_table))
     if output:
         run_id = run_id or tables.run_id_of(run_ts, config.model_display_name)

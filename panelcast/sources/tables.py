@@ -152,16 +152,24 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def save_model(
-    model: PipelineModel, base: str, display_name: str, model_type: str, fallback_base: str | None = None
+    model: PipelineModel,
+    base: str,
+    display_name: str,
+    model_type: str,
+    fallback_base: str | None = None,
+    run_id: str | None = None,
 ) -> str:
-    """Store a fitted pipeline; when ``base`` cannot be written, ``fallback_base`` is used. Returns where it went."""
-    uri = f"{base.rstrip('/')}/{display_name}/{model_type}"
+    """Store a fitted pipeline; when ``base`` cannot be written, ``fallback_base`` is used. Returns where it went.
+
+    With ``run_id`` each run has its own folder, so a later run leaves the models that earlier rows name as they are.
+    """
+    uri = "/".join([base.rstrip("/"), display_name, model_type, *([run_id] if run_id else [])])
     try:
         model.write().overwrite().save(uri)
     except Exception:
         if fallback_base is None:
             raise
-        return save_model(model, fallback_base, display_name, model_type)
+        return save_model(model, fallback_base, display_name, model_type, run_id=run_id)
     return uri
 
 
