@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -33,16 +34,20 @@ def existing_schema(spark: SparkSession, table: str, evolved: bool = False) -> T
         return None
 
 
+_MODE_LOCK = threading.Lock()
+
+
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str):
-    """Inserts into catalog tables know the mode from the session only."""
+    """Inserts into catalog tables know the mode from the session only, so jobs that share it replace one at a time."""
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def write_table(
@@ -71,8 +76,11 @@ def write_table(
         missing = [f for f in present.fields if f.name not in df.columns]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present.fields])
+        if mode != "overwrite":
+            df.write.insertInto(table)
+            return
         with _overwrite_mode(spark, "dynamic" if partition_by else "static"):
-            df.write.insertInto(table, overwrite=mode == "overwrite")
+            df.write.insertInto(table, overwrite=True)
         return
     writer = df.write.mode(mode)
     if partition_by:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -257,3 +258,21 @@ def test_hot_series_sums_exactly(spark):
     assert panel.where("unique_id = 'hot'").agg(F.sum("y")).first()[0] == 20_000
     assert panel.agg(F.sum("y")).first()[0] == 60_000
     assert panel.groupBy("unique_id").count().agg(F.max("count")).first()[0] <= 24
+
+
+def test_runs_of_one_session_replace_side_by_side(spark):
+    """Four threads replace their own partition of one catalog table, others append: none removes another's rows."""
+    spark.sql("CREATE TABLE side_by_side (v BIGINT, run_id STRING) USING parquet PARTITIONED BY (run_id)")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    def replace(run):
+        rows = spark.range(run + 1).select(F.col("id").alias("v"), F.lit(f"r{run}").alias("run_id"))
+        for _ in range(2):
+            tables.write_table(rows, "side_by_side", "overwrite", partition_by=["run_id"])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(replace, range(4)))
+    tables.write_table(spark.sql("SELECT 9L AS v, 'more' AS run_id"), "side_by_side")
+    got = {r["run_id"]: r["count"] for r in spark.table("side_by_side").groupBy("run_id").count().collect()}
+    assert got == {"r0": 1, "r1": 2, "r2": 3, "r3": 4, "more": 1}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
