@@ -450,24 +450,31 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with one row of each component, of the least id (none if no row has one); all without words stay."""
+    """The documents with one row of each component, of the least id (none if no row has one); all without words stay.
+
+    What is decided is narrow (id and key of a row); a bitmap of the decided keys parts the rows before any text moves,
+    so only the rows in question meet the decisions and all others stay where they were read. Columns of any name stay.
+    """
     found = settle(near_duplicates(docs, shingle, percent), "jaccard-components").where("n_shingles > 0")
     least = F.col("doc_id").eqNullSafe(F.col("component_id"))
     # Rows of the least id: mostly one of each component.
-    several = found.where(least).groupBy("component").agg(F.min("key").alias("__kept"), F.count("key").alias("rows"))
-    several = settle(several.where("rows > 1").select(F.col("component").alias("__component"), "__kept"), "jaccard-several")
-    beside = found.where(least).join(several, F.col("component") == F.col("__component")).where(F.col("key") != F.col("__kept"))
-    gone = found.where(~least).select("doc_id", "key").unionByName(beside.select("doc_id", "key")).distinct()
-    gone = settle(gone.select(F.col("doc_id").alias("__d"), F.col("key").alias("__key")), "jaccard-gone")
-    columns = docs.columns
-    docs = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    docs = docs.withColumn("__row", F.xxhash64("__id", "text"))
-    kept = docs.join(gone, (F.col("__row") == F.col("__key")) & F.col("__id").eqNullSafe(F.col("__d")), "left_anti")
-    if several.isEmpty():
-        return kept.select(columns)
-    same = F.col("__row") == F.col("__kept")
-    once = kept.join(several, same, "left_semi").dropDuplicates(["__row"])
-    return kept.join(several, same, "left_anti").unionByName(once).select(columns)
+    several = found.where(least).groupBy("component").agg(F.min("key").alias("kept"), F.count("key").alias("rows"))
+    several = settle(several.where("rows > 1").select(F.col("component").alias("several"), "kept", "rows"), "jaccard-several")
+    beside = found.where(least).join(several, F.col("component") == F.col("several"))
+    once = beside.where(F.col("key") == F.col("kept")).select("doc_id", "key", F.lit(True).alias("once"))
+    gone = found.where(~least).unionByName(beside.where(F.col("key") != F.col("kept")).select(found.columns))
+    gone = gone.select("doc_id", "key", F.lit(False).alias("once"))
+    decided = once.unionByName(gone).distinct().select(F.col("doc_id").alias("id"), F.col("key").alias("decided"), "once")
+    decided = settle(decided, "jaccard-decided")
+    if decided.isEmpty():
+        return docs
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.select("row", "doc_id", row_key())
+    asked = key_filter(decided.select(F.col("decided").alias("key")))("key")
+    met = rows.where(asked).join(decided, (F.col("key") == F.col("decided")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    met = settle(met.where(F.coalesce("once", F.lit(True))).select("row", "key", "once"), "jaccard-met")
+    kept = rows.where(~asked).select("row").unionByName(met.where("once is null").select("row"))
+    return kept.unionByName(met.where("once").dropDuplicates(["key"]).select("row")).select("row.*")
 
 
 def query(spark, sf_dir):

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from helpers import documents, odd_texts
+from pyspark.sql import functions as F
 
 from panelcast.llm import jaccard_join as j
 from panelcast.llm.components import components
@@ -124,6 +125,17 @@ def test_keep_one_decides_by_row(spark):
     assert sum(got.values()) == len(fixed) + 2
 
 
+def test_keep_one_leaves_other_columns(spark):
+    """Names that the operator uses itself stay as they are, and a table without copies comes back whole."""
+    docs = documents(spark, ["a b c d e f", "a b c d e f", "other text"], ids=[1, 2, 3])
+    for name in ("key", "once", "id", "decided", "row", "a.b"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    kept = j.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["row"], r["a.b"], r["key"]) for r in kept.collect()) == [(1, "row1", "a.b1", "key1"), (3, "row3", "a.b3", "key3")]
+    assert j.keep_one(docs.where("doc_id = 3")).count() == 1 and j.keep_one(docs.where("doc_id < 0")).count() == 0
+
+
 def test_threshold_is_exact(spark):
     words = [f"t{i}" for i in range(14)]  # ten shingles
     rows = [(1, " ".join(words)), (2, " ".join(words[1:])), (3, " ".join(words[:12])), (4, " ".join(words[3:]))]
