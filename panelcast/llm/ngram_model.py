@@ -1,16 +1,19 @@
-"""Interpolated modified Kneser-Ney bigram model (Chen and Goodman 1998) over word hashes.
+"""Interpolated modified Kneser-Ney model (Chen and Goodman 1998) of any order from two on, over word hashes.
 
 Counting is two passes over the training texts. The first counts words; words that are too frequent for one shard
-are known from it and their bigrams are salted by the second word, so a shard holds about SHARD_TOKENS at most,
-whatever the words. The second counts bigrams: a block of tokens is sorted and summed in the task and leaves as one
-packed row per shard. Shards are summed and written to the shared folder as sorted arrays of hashes with their counts;
-context sums and continuation counts follow from the distinct bigrams with a second, smaller shuffle.
+are known from it and n-grams whose last context word is one of them are salted by the word that follows, so a shard
+holds about SHARD_TOKENS at most, whatever the words. The second counts n-grams of the highest order: a block of tokens
+is sorted and summed in the task and leaves as one packed row per shard. Shards are summed and written to the shared
+folder as sorted arrays of hashes with their counts. The distinct n-grams of an order leave their shard once more, without
+their first word: summed again, they are the continuation counts of the order below, down to the words. Context sums of
+all orders follow with one last, smaller shuffle.
 
 Scoring maps the arrays into memory, shard by shard as they are needed, and finds the words of a chunk of texts by
 binary search. The mapped pages belong to the files and not to the worker. If the shared folder is no mounted file
 system, a worker copies the shards it needs to an unlinked temporary file first.
 
-Words are 64-bit hashes; second words of bigrams are told apart by 40 bits of theirs.
+Words are 64-bit hashes; last words of n-grams are told apart by 40 bits of theirs. No n-gram is pruned. A text begins
+with as many begin marks as the order needs; lower orders count the contexts before them as those of any other word.
 
 Defined cases: null texts count as empty, which is the single token that ends each text; rows without id are trained
 on; without training tokens every token has probability 1 under both models; repeated rows count each time.
@@ -23,6 +26,7 @@ import os
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,8 @@ from panelcast.llm.store import open_store, settle
 from panelcast.llm.words import mix, word_hashes
 from panelcast.staging import scratch_path
 
+#: Order of the model.
+ORDER = 3
 #: Tokens of a block in a task and, about, of a shard; characters that are hashed at once.
 BLOCK_TOKENS, SHARD_TOKENS, CHUNK_CHARS = 1 << 22, 1 << 21, 1 << 22
 BEGIN, END = np.uint64(0x6265_6769_6E00_0001), np.uint64(0x656E_6400_0000_0001)
@@ -52,8 +58,8 @@ def _texts(batches):
                 begin, size = i + 1, 0
 
 
-def token_pairs(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token before, token, text index) for all tokens, the end of each text included."""
+def token_grams(texts, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(the order - 1 tokens before, farthest first; token; text index) for all tokens, the end of each text included."""
     words, owner = word_hashes(texts)
     n = len(words) + len(texts)
     tokens, owners = np.full(n, END, np.uint64), np.zeros(n, np.int64)
@@ -61,10 +67,21 @@ def token_pairs(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     tokens[at], owners[at] = words, owner
     ends = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1) - 1
     owners[ends] = np.arange(len(texts))
-    before = np.full(n, BEGIN, np.uint64)
-    before[1:] = tokens[:-1]
-    before[ends[:-1] + 1] = BEGIN
-    return before, tokens, owners
+    before = [tokens]
+    for _ in range(order - 1):
+        last = np.full(n, BEGIN, np.uint64)
+        last[1:] = before[0][:-1]
+        last[ends[:-1] + 1] = BEGIN
+        before.insert(0, last)
+    return before[:-1], tokens, owners
+
+
+def context_hash(before: list[np.ndarray]) -> np.ndarray:
+    """One hash for the words of a context; that of one word is the word's."""
+    out = before[0]
+    for words in before[1:]:
+        out = mix(out * _ODD + words)
+    return out
 
 
 def _summed(keys: np.ndarray, *counts: np.ndarray):
@@ -157,7 +174,7 @@ def count_words(train: DataFrame, shards: int, folder: str) -> DataFrame:
     def run(batches):
         parts, size = [], 0
         for texts in _texts(batches):
-            parts.append(token_pairs(texts)[1])
+            parts.append(token_grams(texts, 1)[1])
             size += len(parts[-1])
             if size >= BLOCK_TOKENS:
                 yield from block(parts)
@@ -188,100 +205,109 @@ def frequent_words(files: DataFrame, above: int) -> DataFrame:
 
 
 class Salts:
-    """Spreads the bigrams of frequent first words over several hashes."""
+    """Spreads the n-grams after frequent words over several hashes, by the low bits of the word that follows."""
 
     def __init__(self, words: np.ndarray, parts: np.ndarray):
         order = np.argsort(words)
         self.words, self.parts = words[order], parts[order].astype(np.uint64)
-        spread = [mix(np.full(int(p), w) + np.arange(1, int(p) + 1, dtype=np.uint64) * _ODD) for w, p in zip(self.words, self.parts)]
-        salted = np.concatenate([*spread, np.zeros(0, np.uint64)])
-        origin = np.repeat(self.words, self.parts.astype(np.int64))
-        back = np.argsort(salted)
-        self.salted, self.origin = salted[back], origin[back]
 
-    def apply(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    def apply(self, before: list[np.ndarray], low: np.ndarray) -> np.ndarray:
+        """The context's hash, salted where its last word is frequent."""
+        out = context_hash(before)
         if not len(self.words):
-            return before
-        at = np.minimum(np.searchsorted(self.words, before), len(self.words) - 1)
-        hot = self.words[at] == before
-        out = before.copy()
-        out[hot] = mix(before[hot] + (tokens[hot] % self.parts[at[hot]] + np.uint64(1)) * _ODD)
+            return out
+        at = np.minimum(np.searchsorted(self.words, before[-1]), len(self.words) - 1)
+        hot = self.words[at] == before[-1]
+        out = out.copy()
+        out[hot] = mix(out[hot] + (low[hot] % self.parts[at[hot]] + np.uint64(1)) * _ODD)
         return out
 
-    def undo(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.salted):
-            return keys
-        at = np.minimum(np.searchsorted(self.salted, keys), len(self.salted) - 1)
-        return np.where(self.salted[at] == keys, self.origin[at], keys)
 
+def gram_key(context: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return mix(context * _ODD + low)
 
-def bigram_key(first: np.ndarray, low: np.ndarray) -> np.ndarray:
-    return mix(first * _ODD + low)
 
+def summed_grams(before: list[np.ndarray], low: np.ndarray, salts: Salts, counts: np.ndarray | None = None):
+    """(salted contexts, words before, last words, counts) of distinct n-grams, in order of the first and third."""
+    salted = salts.apply(before, low)
+    order = np.lexsort((low, salted))
+    salted, low = salted[order], low[order]
+    begins = np.flatnonzero(np.append(True, (salted[1:] != salted[:-1]) | (low[1:] != low[:-1])))
+    if counts is None:
+        counts = np.diff(np.append(begins, len(low)))
+    else:
+        counts = np.add.reduceat(counts[order], begins)
+    order = order[begins]
+    return salted[begins], [b[order] for b in before], low[begins], counts
 
-def count_bigrams(train: DataFrame, shards: int, salts, folder: str) -> DataFrame:
-    """Files of bigram keys by shard (those that occur once, the others, their counts), partial context sums and
-    continuation counts, and the numbers of bigrams that occur 1, 2, 3 and 4 times."""
 
-    def block(firsts, seconds):
-        first, second = np.concatenate(firsts), np.concatenate(seconds)
-        first = salts.value.apply(first, second)
-        low = second & _LOW
-        order = np.lexsort((low, first))
-        first, low = first[order], low[order]
-        new = np.append(True, (first[1:] != first[:-1]) | (low[1:] != low[:-1]))
-        begins = np.flatnonzero(new)
-        counts = np.diff(np.append(begins, len(first))).astype(np.uint32)
-        first, low = first[begins], low[begins]
-        shard = shard_of(first, shards)
-        cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-        rows = []
-        for b, e in zip(cuts, [*cuts[1:], len(first)]):
-            heads = np.flatnonzero(np.append(True, first[b + 1 : e] != first[b : e - 1]))
-            runs = np.diff(np.append(heads, e - b)).astype(np.uint32)
-            part = low[b:e]
-            blob = pack(first[b:e][heads], runs, part.astype(np.uint32), (part >> np.uint64(32)).astype(np.uint8), counts[b:e])
-            rows.append(("bigram", int(shard[b]), blob, None, None))
-        return _rows(rows).to_batches()
+def gram_rows(kind: str, salted: np.ndarray, before: list[np.ndarray], low: np.ndarray, counts: np.ndarray, shards: int):
+    """Packed rows, one per shard: the words of each context once, then 40 bits and the count of each last word."""
+    shard = shard_of(salted, shards)
+    cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    for b, e in zip(cuts, [*cuts[1:], len(salted)]):
+        heads = np.flatnonzero(np.append(True, salted[b + 1 : e] != salted[b : e - 1]))
+        runs = np.diff(np.append(heads, e - b)).astype(np.uint32)
+        part = low[b:e]
+        words = [x[b:e][heads] for x in before]
+        blob = pack(*words, runs, part.astype(np.uint32), (part >> np.uint64(32)).astype(np.uint8), narrowed(counts[b:e]))
+        yield kind, int(shard[b]), blob, None, None
+
+
+def count_grams(train: DataFrame, order: int, shards: int, salts) -> DataFrame:
+    """Rows of n-grams of the highest order, summed within blocks."""
+
+    def block(befores, tokens):
+        before, low = [np.concatenate(b) for b in zip(*befores)], np.concatenate(tokens) & _LOW
+        return _rows(list(gram_rows(f"grams{order}", *summed_grams(before, low, salts.value), shards))).to_batches()
 
     def run(batches):
-        firsts, seconds, size = [], [], 0
+        befores, tokens, size = [], [], 0
         for texts in _texts(batches):
-            before, tokens, _ = token_pairs(texts)
-            firsts.append(before)
-            seconds.append(tokens)
-            size += len(tokens)
+            before, words, _ = token_grams(texts, order)
+            befores.append(before)
+            tokens.append(words)
+            size += len(words)
             if size >= BLOCK_TOKENS:
-                yield from block(firsts, seconds)
-                firsts, seconds, size = [], [], 0
-        if firsts:
-            yield from block(firsts, seconds)
+                yield from block(befores, tokens)
+                befores, tokens, size = [], [], 0
+        if befores:
+            yield from block(befores, tokens)
+
+    return train.mapInArrow(run, ROW)
+
+
+def file_grams(rows: DataFrame, order: int, shards: int, salts, folder: str) -> DataFrame:
+    """Files of n-gram keys by shard (those that count once, the others, their counts), with the numbers of n-grams that
+    count 1, 2, 3 and 4; partial context sums; rows of the distinct n-grams for the order below."""
 
     def add(table: pa.Table) -> pa.Table:
         parts = []
         for blob in table.column("blob"):
-            heads, runs, low, high, counts = unpack(blob.as_buffer())
-            parts.append((np.repeat(heads, runs), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), counts))
-        first, low, counts = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((low, first))
-        first, low, counts = first[order], low[order], counts[order].astype(np.int64)
-        begins = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (low[1:] != low[:-1])))
-        first, low, counts = first[begins], low[begins], np.add.reduceat(counts, begins)
-        keys = bigram_key(first, low)
-        order = np.argsort(keys)
-        once = counts[order] == 1
-        keys, more = keys[order], counts[order][~once]
+            *words, runs, low, high, counts = unpack(blob.as_buffer())
+            low = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+            parts.append((*[np.repeat(w, runs) for w in words], low, counts.astype(np.int64)))
+        *before, low, counts = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        salted, before, low, counts = summed_grams(before, low, salts.value, counts)
+        keys = gram_key(salted, low)
+        at = np.argsort(keys)
+        once = counts[at] == 1
+        keys, more = keys[at], counts[at][~once]
         shard = table.column("shard")[0].as_py()
         seen = [float((counts == i).sum()) for i in (1, 2, 3, 4)]
-        rows = [("bigrams", shard, None, _write(folder, keys[once], keys[~once], narrowed(more)), seen)]
-        sums = _summed(salts.value.undo(first), counts, *[(counts == i).astype(np.int64) for i in (1, 2)], (counts > 2).astype(np.int64))
-        rows += _split("context", sums[0], shards, sums[1], *[narrowed(s) for s in sums[2:]])
-        # Continuation counts are filed by the 40 bits, moved to the top so that shards are ranges again.
-        words, types = _summed(low << np.uint64(24), np.ones(len(low), np.int64))
-        rows += _split("continuation", words, shards, narrowed(types))
+        rows = [(f"filed{order}", shard, None, _write(folder, keys[once], keys[~once], narrowed(more)), seen)]
+        sums = _summed(context_hash(before), counts, *[(counts == i).astype(np.int64) for i in (1, 2)], (counts > 2).astype(np.int64))
+        rows += _split(f"context{order}", sums[0], shards, sums[1], *[narrowed(s) for s in sums[2:]])
+        if order > 2:
+            rows += gram_rows(f"grams{order - 1}", *summed_grams(before[1:], low, salts.value), shards)
+        else:
+            # Continuation counts are filed by the 40 bits, moved to the top so that shards are ranges again.
+            words, types = _summed(low << np.uint64(24), np.ones(len(low), np.int64))
+            rows += _split("continuation", words, shards, narrowed(types))
         return _rows(rows)
 
-    return train.mapInArrow(run, ROW).groupBy("shard").applyInArrow(add, ROW)
+    return rows.groupBy("shard").applyInArrow(add, ROW)
 
 
 def add_up(partial: DataFrame, folder: str) -> DataFrame:
@@ -317,11 +343,12 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
 class Model:
     """What scoring needs: the files by kind and shard, and a few sums."""
 
+    order: int
     shards: int
     files: dict[str, dict[int, str]]
     tokens: int
     types: int
-    bigram_discounts: list[float]
+    gram_discounts: dict[int, list[float]]
     word_discounts: list[float]
     bigram_types: float
     word_backoff: float
@@ -352,15 +379,15 @@ class Model:
                     o[b:e][hit] = a[at[hit]]
         return out
 
-    def bigram_counts(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        first = self.salts.apply(before, tokens)
-        keys, shard = bigram_key(first, tokens & _LOW), shard_of(first, self.shards)
+    def gram_counts(self, before: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+        salted = self.salts.apply(before, tokens & _LOW)
+        keys, shard = gram_key(salted, tokens & _LOW), shard_of(salted, self.shards)
         order = np.lexsort((keys, shard))
         keys, shard = keys[order], shard[order]
         counts = np.zeros(len(keys), np.int64)
         cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
         for b, e in zip(cuts, [*cuts[1:], len(keys)]):
-            arrays = self.arrays("bigrams", int(shard[b]))
+            arrays = self.arrays(f"filed{len(before) + 1}", int(shard[b]))
             if arrays is None:
                 continue
             once, more, count = arrays
@@ -375,7 +402,7 @@ class Model:
 
     def score(self, texts) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, log10 probability under the add-one unigram model and under this one."""
-        before, tokens, owner = token_pairs(texts)
+        before, tokens, owner = token_grams(texts, self.order)
         words, word = np.unique(tokens, return_inverse=True)
         (c,) = self.look_up("words", words, 1)
         high = (words & _LOW) << np.uint64(24)
@@ -388,13 +415,15 @@ class Model:
         total = max(self.bigram_types, 1.0)
         lower = (types - taken) / total + self.word_backoff * uniform if self.bigram_types else np.full(len(words), uniform)
 
-        contexts, context = np.unique(before, return_inverse=True)
-        sums, n1, n2, n3 = self.look_up("contexts", contexts, 4)
-        d = self.bigram_discounts
-        backoff = np.where(sums > 0, (d[0] * n1 + d[1] * n2 + d[2] * n3) / np.maximum(sums, 1), 1.0)
-        counts = self.bigram_counts(before, tokens)
-        direct = (counts - np.array([0.0, *d])[np.minimum(counts, 3)]) / np.maximum(sums, 1)[context]
-        p = np.where(counts > 0, direct, 0.0) + backoff[context] * lower[word]
+        p = lower[word]
+        for order in range(2, self.order + 1):
+            part, d = before[self.order - order :], self.gram_discounts[order]
+            contexts, context = np.unique(context_hash(part), return_inverse=True)
+            sums, n1, n2, n3 = self.look_up(f"context{order}s", contexts, 4)
+            backoff = np.where(sums > 0, (d[0] * n1 + d[1] * n2 + d[2] * n3) / np.maximum(sums, 1), 1.0)
+            counts = self.gram_counts(part, tokens)
+            direct = (counts - np.array([0.0, *d])[np.minimum(counts, 3)]) / np.maximum(sums, 1)[context]
+            p = np.where(counts > 0, direct, 0.0) + backoff[context] * p
         base = np.log10((c + 1) / (self.tokens + self.types + 1))[word]
         n = len(texts)
         return {
@@ -405,8 +434,10 @@ class Model:
         }
 
 
-def train(texts: DataFrame) -> Model:
+def train(texts: DataFrame, order: int = ORDER) -> Model:
     """Learn from all rows of ``texts`` (text). The driver gets file names and sums per shard."""
+    if order < 2:
+        raise ValueError("order must be at least 2")
     spark = texts.sparkSession
     texts, folder = texts.select("text"), scratch_path(spark, "ngrams")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -420,18 +451,27 @@ def train(texts: DataFrame) -> Model:
     if int(END) in hot:  # a text begins as often as one ends
         hot[int(BEGIN)] = hot[int(END)]
     salts = Salts(np.array(list(hot), np.uint64), np.array(list(hot.values()), np.int64))
-    bigrams = settle(count_bigrams(texts, shards, spark.sparkContext.broadcast(salts), folder), "ngram-bigrams")
-    rest = settle(add_up(bigrams.where(F.col("kind").isin("context", "continuation")), folder), "ngram-sums")
-    files: dict[str, dict[int, str]] = {"words": {}, "bigrams": {}, "contexts": {}, "continuations": {}}
-    totals = {"bigrams": np.zeros(4), "continuations": np.zeros(6)}
-    for r in [*rows, *bigrams.where("kind = 'bigrams'").select("kind", "shard", "path", "sums").collect(), *rest.select("kind", "shard", "path", "sums").collect()]:
+    given, filed, partial = spark.sparkContext.broadcast(salts), [], []
+    grams = count_grams(texts, order, shards, given)
+    for n in range(order, 1, -1):
+        table = settle(file_grams(grams, n, shards, given, folder), f"ngram-{n}")
+        filed += table.where(F.col("kind") == f"filed{n}").select("kind", "shard", "path", "sums").collect()
+        partial.append(table.where(F.col("kind").isin(f"context{n}", "continuation")))
+        grams = table.where(F.col("kind") == f"grams{n - 1}")
+    rest = settle(add_up(reduce(DataFrame.unionByName, partial), folder), "ngram-sums")
+    files: dict[str, dict[int, str]] = {"words": {}, "continuations": {}}
+    for n in range(2, order + 1):
+        files |= {f"filed{n}": {}, f"context{n}s": {}}
+    totals = {"continuations": np.zeros(6), **{f"filed{n}": np.zeros(4) for n in range(2, order + 1)}}
+    for r in [*rows, *filed, *rest.select("kind", "shard", "path", "sums").collect()]:
         files[r["kind"]][r["shard"]] = r["path"]
         if r["kind"] in totals:
             totals[r["kind"]] += np.array(r["sums"])
     n1, n2, n3, n4, n3_more, bigram_types = totals["continuations"]
     word = discounts(n1, n2, n3, n4)
     backoff = (word[0] * n1 + word[1] * n2 + word[2] * n3_more) / bigram_types if bigram_types else 1.0
-    return Model(shards, files, tokens, types, discounts(*totals["bigrams"]), word, float(bigram_types), float(backoff), salts)
+    of_grams = {n: discounts(*totals[f"filed{n}"]) for n in range(2, order + 1)}
+    return Model(order, shards, files, tokens, types, of_grams, word, float(bigram_types), float(backoff), salts)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
