@@ -12,7 +12,7 @@ Scoring maps the arrays into memory, shard by shard as they are needed, and find
 binary search. The mapped pages belong to the files and not to the worker. If the shared folder is no mounted file
 system, a worker copies the shards it needs to an unlinked temporary file first.
 
-Words are 64-bit hashes; last words of n-grams are told apart by 40 bits of theirs. No n-gram is pruned. A text begins
+Words are 64-bit hashes; in n-grams all but the last context word are told apart by 40 bits of theirs. No n-gram is pruned. A text begins
 with as many begin marks as the order needs; lower orders count the contexts before them as those of any other word.
 
 Defined cases: null texts count as empty, which is the single token that ends each text; rows without id are trained
@@ -59,7 +59,10 @@ def _texts(batches):
 
 
 def token_grams(texts, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(the order - 1 tokens before, farthest first; token; text index) for all tokens, the end of each text included."""
+    """(the order - 1 tokens before, farthest first; token; text index) for all tokens, the end of each text included.
+
+    Of the tokens before, all but the last are 40 bits.
+    """
     words, owner = word_hashes(texts)
     n = len(words) + len(texts)
     tokens, owners = np.full(n, END, np.uint64), np.zeros(n, np.int64)
@@ -73,7 +76,8 @@ def token_grams(texts, order: int) -> tuple[list[np.ndarray], np.ndarray, np.nda
         last[1:] = before[0][:-1]
         last[ends[:-1] + 1] = BEGIN
         before.insert(0, last)
-    return before[:-1], tokens, owners
+    before = before[:-1]
+    return [*[b & _LOW for b in before[:-1]], *before[-1:]], tokens, owners
 
 
 def context_hash(before: list[np.ndarray]) -> np.ndarray:
@@ -123,8 +127,19 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 
 def narrowed(counts: np.ndarray) -> np.ndarray:
-    """Counts in four bytes each where the largest fits; larger ones keep eight, none is clipped."""
-    return counts.astype(np.uint32) if counts.max(initial=0) <= 0xFFFFFFFF else counts
+    """Counts in one, two or four bytes each where the largest fits; larger ones keep eight, none is clipped."""
+    most = counts.max(initial=0)
+    kinds = (k for k in (np.uint8, np.uint16, np.uint32) if most <= np.iinfo(k).max)
+    return counts.astype(next(kinds, counts.dtype))
+
+
+def cut(hashes: np.ndarray) -> list[np.ndarray]:
+    """The 40 low bits of hashes as four bytes and one."""
+    return [hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint8)]
+
+
+def whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
 
 
 def _split(kind: str, keys: np.ndarray, shards: int, *values: np.ndarray) -> list[tuple]:
@@ -247,15 +262,15 @@ def gram_rows(kind: str, salted: np.ndarray, before: list[np.ndarray], low: np.n
     cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
     for b, e in zip(cuts, [*cuts[1:], len(salted)]):
         heads = np.flatnonzero(np.append(True, salted[b + 1 : e] != salted[b : e - 1]))
-        runs = np.diff(np.append(heads, e - b)).astype(np.uint32)
-        part = low[b:e]
-        words = [x[b:e][heads] for x in before]
-        blob = pack(*words, runs, part.astype(np.uint32), (part >> np.uint64(32)).astype(np.uint8), narrowed(counts[b:e]))
+        runs = narrowed(np.diff(np.append(heads, e - b)))
+        far = [a for x in before[:-1] for a in cut(x[b:e][heads])]
+        blob = pack(*far, before[-1][b:e][heads], runs, *cut(low[b:e]), narrowed(counts[b:e]))
         yield kind, int(shard[b]), blob, None, None
 
 
 def count_grams(train: DataFrame, order: int, shards: int, salts) -> DataFrame:
-    """Rows of n-grams of the highest order, summed within blocks."""
+    """Rows of n-grams of the highest order, summed within blocks that shrink with the order."""
+    limit = BLOCK_TOKENS // (order - 1)
 
     def block(befores, tokens):
         before, low = [np.concatenate(b) for b in zip(*befores)], np.concatenate(tokens) & _LOW
@@ -268,7 +283,7 @@ def count_grams(train: DataFrame, order: int, shards: int, salts) -> DataFrame:
             befores.append(before)
             tokens.append(words)
             size += len(words)
-            if size >= BLOCK_TOKENS:
+            if size >= limit:
                 yield from block(befores, tokens)
                 befores, tokens, size = [], [], 0
         if befores:
@@ -284,9 +299,9 @@ def file_grams(rows: DataFrame, order: int, shards: int, salts, folder: str) ->
     def add(table: pa.Table) -> pa.Table:
         parts = []
         for blob in table.column("blob"):
-            *words, runs, low, high, counts = unpack(blob.as_buffer())
-            low = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
-            parts.append((*[np.repeat(w, runs) for w in words], low, counts.astype(np.int64)))
+            *far, last, runs, low, high, counts = unpack(blob.as_buffer())
+            words = [*[whole(a, b) for a, b in zip(far[::2], far[1::2])], last]
+            parts.append((*[np.repeat(w, runs) for w in words], whole(low, high), counts.astype(np.int64)))
         *before, low, counts = (np.concatenate(x) for x in zip(*parts))
         del parts
         salted, before, low, counts = summed_grams(before, low, salts.value, counts)
@@ -441,7 +456,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     spark = texts.sparkSession
     texts, folder = texts.select("text"), scratch_path(spark, "ngrams")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / 6 / SHARD_TOKENS))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / 6 * (order - 1) / SHARD_TOKENS))
     words = settle(count_words(texts, shards, folder), "ngram-words")
     rows = words.collect()
     tokens, types = (int(sum(r["sums"][i] for r in rows)) for i in (0, 1))

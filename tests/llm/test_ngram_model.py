@@ -95,8 +95,9 @@ def test_packed_arrays_round_trip():
         assert a.dtype == b.dtype and a.tolist() == b.tolist() and b.flags.aligned
 
 
-def test_counts_beyond_four_bytes_are_kept():
-    small, large = np.array([2, 0xFFFFFFFF]), np.array([2, 1 << 32])
-    assert m.narrowed(small).dtype == np.uint32 and m.narrowed(small).tolist() == small.tolist()
-    assert m.unpack(m.pack(m.narrowed(large)))[0].tolist() == large.tolist()
+def test_counts_of_any_width_are_kept():
+    for most, kind in ((255, np.uint8), (256, np.uint16), (0xFFFFFFFF, np.uint32), (1 << 32, np.int64)):
+        counts = np.array([2, most])
+        assert m.narrowed(counts).dtype == kind
+        assert m.unpack(m.pack(m.narrowed(counts)))[0].tolist() == counts.tolist()
     assert m.narrowed(np.zeros(0, np.int64)).tolist() == []
