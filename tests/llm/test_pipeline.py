@@ -71,5 +71,5 @@ def test_empty_tables(spark, tables, tmp_path):
 
 def test_every_operator_is_registered_once():
     numbers = [int(name[2:].split("_")[0]) for name in catalogue.queries() if name.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in catalogue.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in catalogue.queries()
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
