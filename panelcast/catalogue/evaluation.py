@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelcast.catalogue.panels import DEMAND, SALES, demand, sales, split_sql, table
 from panelcast.catalogue.registry import query
+from panelcast.functions.metrics import round_scaled
 from panelcast.functions.text import metric_column, normalize_model_name
 from panelcast.operators import champion as ch
 from panelcast.operators import evaluate as ev
@@ -168,7 +169,7 @@ series_scores AS (
 )
 def series_metrics(spark, sf_dir):
     out = ev.series_metrics(joined(spark, sf_dir))
-    return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "wmape")})
+    return out.withColumns({c: round_scaled(F.col(c), 4) for c in ("mae", "rmse", "wmape")})
 
 
 @query("series_rmse", f"WITH {SERIES_RMSE} SELECT unique_id, model, round(rmse, 4) AS rmse FROM scores")
@@ -280,7 +281,7 @@ def champion_with_fallback(spark, sf_dir):
 )
 def series_champion_multi(spark, sf_dir):
     out = ch.series_champion_multi(ev.series_metrics(joined(spark, sf_dir)), MODELS)
-    return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "wmape")})
+    return out.withColumns({c: round_scaled(F.col(c), 4) for c in ("mae", "rmse", "wmape")})
 
 
 @query(

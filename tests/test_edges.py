@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import floor_period, next_period, select_date_features
+from panelcast.functions.metrics import round_scaled, settled
 from panelcast.functions.text import check_identifier, metric_column, normalize_model_name, tenant_of
 from panelcast.models.registry import forecast_path, season_of
 from panelcast.operators import champion as ch
@@ -274,3 +275,29 @@ def test_seasonal_models_need_a_season(spark):
         with pytest.raises(ValueError, match="season"):
             forecast_path(name, F.col("values"), 3, 1)
     assert (season_of("mstl", "library", "MS"), season_of("MSTL", "panel", "MS"), season_of("ets", "panel", "D")) == (24, 12, 7)
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark):
+    """Errors are added by date however rows arrive, so models with equal errors tie, and the tie goes by name."""
+    terms = [1 / 3, 2 / 3, 4 / 3, 0.1, 0.7, 1.1, 1e-3, 5 / 3]
+    orders = [range(8), range(7, -1, -1), [3, 1, 4, 0, 5, 2, 7, 6], [6, 2, 7, 0, 1, 5, 4, 3]]
+    rows = [("a", f"m{3 - k}", month(i), 2.0 + terms[i], 2.0) for k, order in enumerate(orders) for i in order]
+    frame = spark.createDataFrame(rows, "unique_id string, model string, ds date, y double, prediction double").coalesce(1)
+    scores = ev.series_metrics(frame)
+    assert scores.select("rmse", "mae", "wmape").distinct().count() == 1
+    squares = 0.0
+    for t in terms:
+        squares += (2.0 + t - 2.0) ** 2
+    assert scores.first()["rmse"] == (squares / 8) ** 0.5
+    assert ch.series_champion_rmse(ev.series_rmse(frame)).first()["best_model_name"] == "m0"
+
+
+def test_settled_values(spark):
+    tiny = spark.createDataFrame([(0.0,), (None,), (float("nan"),), (float("inf"),), (0.40624999999999994,), (-1e300,)], "v double")
+    got = [r[0] for r in tiny.select(settled(F.col("v"))).collect()]
+    assert got[0] == 0.0 and got[1] is None and got[2] != got[2] and got[3:] == [float("inf"), 0.40625, -1e300]
+
+
+def test_scaled_rounding(spark):
+    frame = spark.createDataFrame([(0.43624999999999997,), (-0.43624999999999997,), (0.4362,), (None,), (0.0,)], "v double")
+    assert [r[0] for r in frame.select(round_scaled(F.col("v"), 4)).collect()] == [0.4363, -0.4363, 0.4362, None, 0.0]
