@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelcast.catalogue.panels import DEMAND, EVENT_DAYS, SALES, demand, event_days, sales
 from panelcast.catalogue.registry import query
 from panelcast.functions.arrays import let
+from panelcast.functions.metrics import settled
 from panelcast.models import autoregression, decomposition, registry, smoothing, volatility
 from panelcast.models.registry import AUDIT_LABELS
 from panelcast.operators.series import fill_gaps, series_rows
@@ -483,7 +484,7 @@ def arima_order(spark, sf_dir):
         F.col("f.d").cast("bigint").alias("d"),
         F.col("f.seasonal").cast("bigint").alias("seasonal"),
         F.col("f.ar.p").cast("bigint").alias("p"),
-        *[F.round(f"f.ar.{c}", 4).alias(c) for c in ("c", "phi1", "phi2")],
+        *[F.round(settled(F.col(f"f.ar.{c}")), 4).alias(c) for c in ("c", "phi1", "phi2")],
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from panelcast.functions.arrays import best, dot, least_squares, let, mean, steps, tail
+from panelcast.functions.metrics import settled
 from panelcast.models.smoothing import aicc
 
 _MAX_ORDER = 2
@@ -92,7 +93,7 @@ def _order_candidates(n: Column, s: Column) -> Column:
             lambda a: F.when(
                 a.isNotNull() & usable,
                 F.struct(
-                    a.alias("aicc"),
+                    settled(a).alias("aicc"),
                     c["p"].alias("p"),
                     level.alias("c"),
                     c["phi1"].alias("phi1"),
@@ -131,7 +132,7 @@ def differencing(y: Column, m: int) -> Column:
             lambda v: F.when(
                 F.size(v) >= (_MIN_POINTS if seasonal else 1),
                 F.struct(
-                    F.sqrt(variance(v)).alias("sd"),
+                    let(F.sqrt(variance(v)), settled).alias("sd"),
                     F.lit(d).alias("d"),
                     F.lit(seasonal).alias("seasonal"),
                     v.alias("w"),
