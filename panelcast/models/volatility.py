@@ -8,14 +8,14 @@ the variance path is available on its own.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import best, constant, grid, least_squares, let, mean, push, steps, tail
-from panelcast.models.autoregression import lagged, variance
+from panelcast.functions.arrays import constant, least_squares, let, mean, steps, tail
+from panelcast.models.autoregression import lagged
+from panelcast.models.garch_grid import fit_batch
+from panelcast.staging import ship
 
 ALPHA_SUMS = [0.05, 0.1, 0.15, 0.2]
 BETA_SUMS = [0.3, 0.5, 0.7, 0.75, 0.8, 0.9]
@@ -54,74 +54,30 @@ def arch_variance(y: Column, h: int, p: int) -> Column:
     )
 
 
-def _next_variance(g: Column, var: Column, e2: Column, s2: Column, p: int, q: int) -> Column:
-    omega = var * (1.0 - g["alpha"] - g["beta"])
-    shocks = reduce(add, [F.get(e2, F.lit(i)) for i in range(p)])
-    past = reduce(add, [F.get(s2, F.lit(i)) for i in range(q)])
-    return F.greatest(omega + g["alpha"] / p * shocks + g["beta"] / q * past, F.lit(1e-12))
-
-
-def garch_fit(y: Column, p: int, q: int) -> Column:
-    """struct(nll, alpha, beta, omega, e2, s2) of the best grid point."""
-    candidates = grid(GARCH_GRID, ["alpha", "beta"])
-
-    def run(e2: Column, var: Column, g: Column) -> Column:
-        start = F.struct(
-            F.array_repeat(var, p).alias("e2"), F.array_repeat(var, q).alias("s2"), F.lit(0.0).alias("nll")
-        )
-
-        def step(s: Column, e: Column) -> Column:
-            return let(
-                _next_variance(g, var, s["e2"], s["s2"], p, q),
-                lambda v: F.struct(
-                    push(s["e2"], e, p).alias("e2"),
-                    push(s["s2"], v, q).alias("s2"),
-                    (s["nll"] + 0.5 * (F.log(v) + e / v)).alias("nll"),
-                ),
-            )
-
-        return let(
-            F.aggregate(e2, start, step),
-            lambda s: F.struct(
-                s["nll"].alias("nll"),
-                g["alpha"].alias("alpha"),
-                g["beta"].alias("beta"),
-                (var * (1.0 - g["alpha"] - g["beta"])).alias("omega"),
-                var.alias("variance"),
-                s["e2"].alias("e2"),
-                s["s2"].alias("s2"),
-            ),
-        )
+_FIT = (
+    "nll double, alpha double, beta double, omega double, variance double, "
+    "e2 array<double>, s2 array<double>, path array<double>"
+)
 
-    return let(
-        F.struct(squared_residuals(y).alias("e2"), variance(y).alias("var")),
-        lambda d: F.when(
-            F.size(d["e2"]) > 0, best(F.transform(candidates, lambda g: run(d["e2"], d["var"], g)))
-        ),
-    )
+
+def garch_fit(y: Column, p: int, q: int, h: int = 0) -> Column:
+    """struct(nll, alpha, beta, omega, variance, e2, s2, path) of the best grid point; ``path`` holds ``h`` variances.
+
+    All grid points of a batch of series advance together, one period at a time: as a projection of array
+    expressions every step of every point was interpreted on its own.
+    """
+    ship(SparkSession.active())
+    points = GARCH_GRID
+
+    @F.arrow_udf(_FIT)
+    def fit(values: pa.Array) -> pa.Array:
+        return fit_batch(values, points, p, q, h)
+
+    return fit(y.cast("array<double>"))
 
 
 def garch_variance(y: Column, h: int, p: int, q: int) -> Column:
-    def step(fit: Column):
-        def extend(s: Column, _: Column) -> Column:
-            return let(
-                _next_variance(fit, fit["variance"], s["e2"], s["s2"], p, q),
-                lambda v: F.struct(
-                    push(s["e2"], v, p).alias("e2"),
-                    push(s["s2"], v, q).alias("s2"),
-                    F.concat(s["path"], F.array(v)).alias("path"),
-                ),
-            )
-
-        return extend
-
-    def path(fit: Column) -> Column:
-        start = F.struct(
-            fit["e2"].alias("e2"), fit["s2"].alias("s2"), F.array().cast("array<double>").alias("path")
-        )
-        return F.aggregate(steps(h), start, step(fit))["path"]
-
-    return let(garch_fit(y, p, q), lambda fit: F.when(fit.isNotNull(), path(fit)))
+    return garch_fit(y, p, q, h)["path"]
 
 
 def arch(y: Column, h: int, m: int) -> Column:

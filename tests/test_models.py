@@ -334,3 +334,16 @@ def test_global_models_learn(spark, panel, key):
         F.avg(F.pow(F.col("y") - F.col("prediction"), F.lit(2.0))).alias("mse"), F.var_pop("y").alias("var")
     ).first()
     assert scored["mse"] < 0.25 * scored["var"]
+
+
+def test_garch_batches(spark):
+    """Series of all lengths share a batch and its steps; a missing or empty one has no fit, alone or not the fit is the same."""
+    data = [(i, [float((7 * i + 3 * t * t) % 23) for t in range(i % 9)]) for i in range(5000)] + [(5000, None), (5001, [4.0] * 5)]
+    frame = spark.createDataFrame(data, "i int, v array<double>").coalesce(1)
+    fit = frame.select("i", volatility.garch_fit(F.col("v"), 2, 1, 3).alias("f"))
+    assert "ArrowEvalPython" in fit._jdf.queryExecution().toString()
+    got = {r["i"]: r["f"] for r in fit.collect()}
+    assert all((got[i] is None) == (not v) for i, v in data)
+    assert got[5001]["variance"] == 0.0 and (got[5001]["alpha"], got[5001]["beta"]) == volatility.GARCH_GRID[0]
+    alone = frame.where("i IN (8, 4400)").repartition(2, "i").select("i", volatility.garch_fit(F.col("v"), 2, 1, 3).alias("f"))
+    assert all(got[r["i"]] == r["f"] and len(r["f"]["path"]) == 3 for r in alone.collect())
