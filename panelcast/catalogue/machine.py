@@ -139,7 +139,7 @@ _STUMP = FeatureSpec([1], {}, ["month", "quarter"])
 def one_split_tree(spark, sf_dir):
     """One tree of one split without shrinkage: the mean of the rows on each side of the best split of all features."""
     rows = split(spark, sf_dir)
-    train = series_features(rows, _STUMP, "train_dates", "train")
+    train = materialize(series_features(rows, _STUMP, "train_dates", "train"))
     p = {"trees": 1, "rate": 1.0, "leaves": 2, "leaf": 1, "seed": 0}
     scored = HistogramTrees(p, _STUMP.columns).fit(train).transform(train)
     return scored.select("unique_id", "ds", F.round("prediction", 6).alias("prediction"))

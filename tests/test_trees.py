@@ -143,3 +143,11 @@ def test_few_values_have_exact_edges_and_many_quantiles(spark):
     a, b, c = t.feature_edges(df, FEATURES, 50)
     assert a.tolist() == [0.5, 1.5, 2.5] and 40 <= len(b) <= 50 and not len(c)
     assert np.abs(np.diff(b) - 100).max() <= 5
+
+
+def test_feature_rows_are_computed_once(spark, sf_dir):
+    """The tree's fit and its predictions read stored feature rows: the plan works none out from the series again."""
+    from panelcast.catalogue.machine import one_split_tree
+
+    plan = one_split_tree(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "lambda" not in plan
