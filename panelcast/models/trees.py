@@ -176,6 +176,7 @@ def fit_trees(blocks, rows: int, edges: list[np.ndarray], p: dict, boosted: bool
     )
     base = total / n if boosted else 0.0
     grid = gradient_grid(n, high - low if boosted else max(abs(low), abs(high)))
+    base = round(base * grid) / grid  # on the grid, else all gradients of a first tree round the same way
     if rows > HELD_ROWS:
         return base, boost(Spread(blocks, bins, p, base, grid), len(edges)) if boosted else spread_random_trees(blocks, edges, p, bins, grid)
 
