@@ -151,3 +151,35 @@ def test_feature_rows_are_computed_once(spark, sf_dir):
 
     plan = one_split_tree(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "lambda" not in plan
+
+
+@pytest.mark.parametrize("p,boosted", [(LEAVES, True), ({**RANDOM, "bootstrap": True}, False), (RANDOM, False)])
+def test_equal_rows_are_packed(spark, monkeypatch, p, boosted):
+    """Trees work on the distinct rows: copies of a table pack to no more rows and give the same splits."""
+    x, y = frame(300, seed=9, missing=0.1)
+    seen, fit_trees = [], t.fit_trees
+    monkeypatch.setattr(t, "fit_trees", lambda packed, rows, *a: seen.append((rows, packed.agg({"n": "sum"}).first()[0])) or fit_trees(packed, rows, *a))
+    p = {**p, "leaf": 1}
+    one = t.HistogramTrees(p, FEATURES, boosted).fit(table(spark, x, y)).content
+    many = t.HistogramTrees(p, FEATURES, boosted).fit(table(spark, np.tile(x, 5), np.tile(y, 5))).content
+    assert seen[0][0] == seen[1][0] <= 300 and [total for _, total in seen] == [300, 1500]
+    if "bootstrap" not in p:
+        for a, b in zip(one["trees"], many["trees"], strict=True):
+            assert a["feature"].tolist() == b["feature"].tolist() and a["bin"].tolist() == b["bin"].tolist()
+            np.testing.assert_allclose(a["value"], b["value"], rtol=1e-6, atol=1e-9)
+
+
+def test_a_bootstrap_draws_rows_with_replacement_and_takes_the_best_splits(spark, monkeypatch):
+    x, y = frame(400, seed=2)
+    p = {"trees": 200, "depth": 12, "leaf": 1, "seed": 3, "bootstrap": True}
+    df = table(spark, x, y).persist()
+    one = t.HistogramTrees(p, FEATURES, boosted=False).fit(df)
+    assert t.to_text(one.content) == t.to_text(t.HistogramTrees(p, FEATURES, boosted=False).fit(df).content)
+    roots = [tree["value"][0] for tree in one.content["trees"]]
+    assert np.mean(roots) == pytest.approx(y.mean(), abs=0.05) and np.std(roots) == pytest.approx(y.std() / 20, rel=0.25)
+    monkeypatch.setattr(t, "HELD_ROWS", 0)
+    few = {**p, "trees": 5, "depth": 4}
+    spread = t.HistogramTrees(few, FEATURES, boosted=False).fit(df).content
+    assert all(len(tree["value"]) > 5 for tree in spread["trees"])
+    got = np.array([r["prediction"] for r in one.transform(table(spark, x, y, 1)).collect()])
+    assert np.mean((got - y) ** 2) < 0.2 * y.var()
