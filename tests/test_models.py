@@ -347,3 +347,24 @@ def test_garch_batches(spark):
     assert got[5001]["variance"] == 0.0 and (got[5001]["alpha"], got[5001]["beta"]) == volatility.GARCH_GRID[0]
     alone = frame.where("i IN (8, 4400)").repartition(2, "i").select("i", volatility.garch_fit(F.col("v"), 2, 1, 3).alias("f"))
     assert all(got[r["i"]] == r["f"] and len(r["f"]["path"]) == 3 for r in alone.collect())
+
+
+def test_ets_batches_hold_short_empty_and_broken_series(spark):
+    """Series of all lengths in one batch: each gets what it gets alone; nothing is scored where a value is missing."""
+    rng = np.random.default_rng(4)
+    data = {f"n{n}": [float(v) for v in rng.integers(1, 50, n)] for n in range(1, 45)}
+    rows = spark.createDataFrame([*data.items(), ("none", []), ("gap", [1.0] * 9 + [None]), ("flat", [3.0] * 30)], "unique_id string, y array<double>").coalesce(1)
+    fits = values(rows, smoothing.ets_fit(F.col("y"), 12))
+    assert fits["none"] is None and fits["gap"] is None and all(fits[f"n{n}"] is None for n in range(1, 5))
+    assert all((len(f["season"]) == 12) == (f["k"] >= 15) for f in fits.values() if f)
+    got = values(rows, smoothing.ets(F.col("y"), 15, 12))
+    for n in range(5, 45):
+        np.testing.assert_allclose(got[f"n{n}"], ets_reference(data[f"n{n}"], 15, 12), rtol=1e-6, atol=1e-6)
+    assert got["flat"] == [3.0] * 15 and got["n1"] == data["n1"] * 15
+
+
+def test_ets_is_searched_in_batches(spark):
+    """No grid point is interpreted as an expression: the plan holds one Arrow function and no fold over the values."""
+    df = spark.createDataFrame([([1.0, 2.0],)], "y array<double>").select(smoothing.ets_fit(F.col("y"), 12))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
