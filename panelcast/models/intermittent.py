@@ -6,10 +6,13 @@ search the smoothing weight on a 0.01 grid over [0.1, 0.3].
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import at, best, constant, let, steps, total
+from panelcast.functions.arrays import at, best, constant, let
+from panelcast.models.ses_grid import croston_batch, fit_batch, rates_batch
+from panelcast.staging import ship
 
 ALPHA = 0.1
 ALPHA_GRID = [round(0.10 + 0.01 * i, 2) for i in range(21)]
@@ -51,6 +54,17 @@ def ses_best(x: Column, grid: list[float] = ALPHA_GRID) -> Column:
     )
 
 
+def ses_fit(x: Column, grid: list[float] = ALPHA_GRID) -> Column:
+    """The same as :func:`ses_best` for batches of series; not inside of array functions."""
+    ship(SparkSession.active())
+
+    @F.arrow_udf("sse double, alpha double, level double")
+    def fit(values: pa.Array) -> pa.Array:
+        return fit_batch(values, grid)
+
+    return fit(x.cast("array<double>"))
+
+
 def demand(y: Column) -> Column:
     return F.filter(y, lambda v: v != 0)
 
@@ -82,37 +96,32 @@ def croston_sba(y: Column, h: int, m: int) -> Column:
 
 
 def croston_optimized(y: Column, h: int, m: int) -> Column:
-    return _croston(y, h, lambda x: ses_best(x)["level"])
+    ship(SparkSession.active())
+    alphas = ALPHA_GRID
 
+    @F.arrow_udf("double")
+    def rates(values: pa.Array) -> pa.Array:
+        return croston_batch(values, alphas)
 
-def bucket_sums(y: Column, k: Column) -> Column:
-    """Sums of consecutive blocks of ``k`` values; the oldest incomplete block is left out."""
-    lost = F.size(y) % k
-    return F.transform(
-        steps(((F.size(y) - lost) / k).cast("int")),
-        lambda b: total(F.slice(y, (lost + (b - 1) * k + 1).cast("int"), k)),
-    )
+    return constant(F.coalesce(rates(y.cast("array<double>")), F.lit(0.0)), h)
 
 
-def mean_interval(y: Column) -> Column:
-    """Average interval, rounded half to even."""
-    return let(intervals(y), lambda g: F.when(F.size(g) > 0, F.rint(total(g) / F.size(g)).cast("int")))
+def _aggregated(y: Column, h: int, all_levels: bool) -> Column:
+    ship(SparkSession.active())
+    alphas = ALPHA_GRID
 
+    @F.arrow_udf("double")
+    def rates(values: pa.Array) -> pa.Array:
+        return rates_batch(values, alphas, all_levels)
 
-def _bucket_rate(y: Column, k: Column) -> Column:
-    return ses_best(bucket_sums(y, k))["level"] / k
+    return constant(F.coalesce(rates(y.cast("array<double>")), F.lit(0.0)), h)
 
 
 def adida(y: Column, h: int, m: int) -> Column:
-    rate = let(mean_interval(y), lambda k: F.when(k.isNotNull(), _bucket_rate(y, k)))
-    return constant(F.coalesce(rate, F.lit(0.0)), h)
+    """Smoothed sums over the average interval, rounded half to even."""
+    return _aggregated(y, h, all_levels=False)
 
 
 def imapa(y: Column, h: int, m: int) -> Column:
-    def average(k: Column) -> Column:
-        return let(
-            F.transform(steps(k), lambda level: _bucket_rate(y, level)), lambda rates: total(rates) / F.size(rates)
-        )
-
-    rate = let(mean_interval(y), lambda k: F.when(k.isNotNull(), average(k)))
-    return constant(F.coalesce(rate, F.lit(0.0)), h)
+    """The mean of the rates from sums over 1, 2, ... periods up to the average interval."""
+    return _aggregated(y, h, all_levels=True)

@@ -368,3 +368,20 @@ def test_ets_is_searched_in_batches(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "y array<double>").select(smoothing.ets_fit(F.col("y"), 12))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+
+
+def test_smoothing_weights_are_searched_in_batches(spark):
+    """Croston, ADIDA, IMAPA and theta search their weights in Arrow functions; series without demand or values stay as they were."""
+    data = [("a", [0.0, 3.0, 0.0, 0.0, 5.0, 2.0]), ("zero", [0.0, 0.0]), ("none", []), ("gap", [1.0, None, 2.0]), ("one", [4.0])]
+    rows = spark.createDataFrame(data, "unique_id string, y array<double>").coalesce(1)
+    for fn in (intermittent.croston_optimized, intermittent.adida, intermittent.imapa, smoothing.theta):
+        out = rows.select("unique_id", fn(F.col("y"), 2, 12).alias("v"))
+        assert "ArrowEvalPython" in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r[0]: r[1] for r in out.collect()}
+        if fn is smoothing.theta:
+            assert got["none"] == [None, None] and got["one"] == [4.0, 4.0] and got["zero"] == [0.0, 0.0]
+        else:
+            assert got["zero"] == got["none"] == [0.0, 0.0] and got["one"] == [4.0, 4.0] and got["a"][0] == got["a"][1] > 0
+    fits = values(rows, intermittent.ses_fit(F.col("y")))
+    plain = values(rows, intermittent.ses_best(F.col("y")))
+    assert {k: v for k, v in fits.items() if k != "gap"} == {k: v for k, v in plain.items() if k != "gap"}
