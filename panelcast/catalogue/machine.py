@@ -78,10 +78,10 @@ def _full_query(key):
     @query(f"{key}_forecast", sql)
     def run(spark, sf_dir):
         rows = split(spark, sf_dir)
-        train = materialize(training_rows_of(rows, _SPEC, "train_dates", "train"))
+        train = training_rows_of(rows, _SPEC, "train_dates", "train")
         fitted = fit_global(train, [key], _SPEC, _FULL[key])
         out = predict_recursive(rows, fitted, H, "MS", _SPEC, values="train", last_ds="train_end")
-        low, high = train.agg(F.min("y"), F.max("y")).first()
+        low, high = train.agg(F.min("y"), F.max("y")).first() if key in _BOUNDED else (None, None)
         value = F.col("prediction")
         inside = value.isNotNull() & value.between(low or 0.0, high or 0.0) if key in _BOUNDED else F.lit(None).cast("boolean")
         return out.select("unique_id", "ds", (value.isNotNull() & ~F.isnan(value)).alias("has_value"), inside.alias("in_range"))

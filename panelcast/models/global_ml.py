@@ -2,21 +2,20 @@
 
 ``lgbm``, ``xgb``, ``gb``, ``rf`` and ``et`` are the histogram trees of :mod:`panelcast.models.trees`: ``lgbm`` grows best gain first
 to a number of leaves, ``xgb`` level by level with an L2 penalty, both take missing features; ``gb`` has neither; ``rf``
-draws its rows with replacement, ``et`` its thresholds. The rest are Spark ML's. ``svr`` is a Huber regression on random Fourier features (Rahimi and Recht
-2007), an approximation of the RBF kernel; Huber's loss takes the place of the insensitive one, so there is no epsilon.
+draws its rows with replacement, ``et`` its thresholds. ``svr`` is the Huber regression on random Fourier features of
+:mod:`panelcast.models.kernel`, an approximation of the RBF kernel; Huber's loss takes the place of the insensitive one, so there
+is no epsilon. The rest are Spark ML's.
 """
 
 from __future__ import annotations
 
-import math
-import random
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.models.kernel import KernelRegression
 from panelcast.models.trees import HistogramTrees
 
 GLOBAL_KEYS = ("lgbm", "xgb", "rf", "et", "gb", "ridge", "lr", "svr")
@@ -112,29 +111,6 @@ def _linear(alpha: float, rows: DataFrame) -> LinearRegression:
     )
 
 
-def _kernel_features(feature_cols: list[str], rows: DataFrame, size: int, seed: int) -> list:
-    """Random Fourier features of the standardised inputs, as one persistable SQL step."""
-    stats = rows.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(feature_cols)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feature_cols)],
-    ).first()
-    rng = random.Random(seed)
-    gamma = 1.0 / len(feature_cols)
-    terms = []
-    for k in range(size):
-        inner = [repr(rng.uniform(0.0, 2.0 * math.pi)) + "D"]
-        for i, c in enumerate(feature_cols):
-            sd = stats[f"s{i}"] or 1.0
-            w = rng.gauss(0.0, math.sqrt(2.0 * gamma)) / sd
-            inner.append(f"({w!r}D) * (CAST(`{c}` AS DOUBLE) - ({(stats[f'm{i}'] or 0.0)!r}D))")
-        terms.append(f"{math.sqrt(2.0 / size)!r}D * cos({' + '.join(inner)}) AS `__rff_{k}`")
-    names = [f"__rff_{k}" for k in range(size)]
-    return [
-        SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
-        VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),
-    ]
-
-
 def estimator(key: str, profile: str, feature_cols: list[str], rows: DataFrame) -> Pipeline:
     """Unfitted pipeline for one global model; ``rows`` serves for small summary statistics only."""
     p = params(key, profile)
@@ -142,24 +118,13 @@ def estimator(key: str, profile: str, feature_cols: list[str], rows: DataFrame)
         p = {**p, "bootstrap": True}
     if key in ("lgbm", "xgb", "gb", "rf", "et"):
         return Pipeline(stages=[HistogramTrees(p, feature_cols, boosted=key not in ("rf", "et"))])
+    if key == "svr":
+        return Pipeline(stages=[KernelRegression(p, feature_cols)])
     assemble = [VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")]
     if key == "ridge":
         model = _linear(p.get("alpha", 1.0), rows)
     elif key == "lr":
         model = _linear(0.0, rows)
-    elif key == "svr":
-        assemble = _kernel_features(feature_cols, rows, p["features"], p["seed"])
-        # The penalty c weighs the sum of the losses, the solver their mean: hence the number of rows.
-        n = max(rows.count(), 1)
-        model = LinearRegression(
-            featuresCol="features",
-            labelCol="y",
-            predictionCol="prediction",
-            loss="huber",
-            regParam=1.0 / (p["c"] * n),
-            maxIter=p["iterations"],
-            tol=p["tolerance"],
-        )
     else:
         raise ValueError(f"unknown global model {key!r}; supported: {', '.join(GLOBAL_KEYS)}")
     return Pipeline(stages=[*assemble, model])

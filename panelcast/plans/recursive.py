@@ -105,7 +105,10 @@ def predict_recursive(
 ) -> DataFrame:
     """``unique_id, ds, model, prediction`` for every model."""
     names = {name: f"__path_{i}" for i, name in enumerate(models)}
+    # each written step repeats these columns: only what the features and the result need
+    kept = dict.fromkeys(["unique_id", last_ds, *(actual or ())])
+    state = series.select(*kept, tail(F.col(values), spec.history).alias("__values"))
     wide = predict_paths(
-        series, {names[k]: v for k, v in models.items()}, h, freq, spec, values=values, last_ds=last_ds
+        state, {names[k]: v for k, v in models.items()}, h, freq, spec, values="__values", last_ds=last_ds
     )
     return forecast_rows(wide, {k: F.col(c) for k, c in names.items()}, h, freq, F.col(last_ds), actual)
