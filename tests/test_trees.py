@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 
+from panelcast.models import growth as g
 from panelcast.models import trees as t
 
 FEATURES = ["a", "b", "c"]
@@ -183,3 +184,49 @@ def test_a_bootstrap_draws_rows_with_replacement_and_takes_the_best_splits(spark
     assert all(len(tree["value"]) > 5 for tree in spread["trees"])
     got = np.array([r["prediction"] for r in one.transform(table(spark, x, y, 1)).collect()])
     assert np.mean((got - y) ** 2) < 0.2 * y.var()
+
+
+def test_edges_are_merged_from_a_sketch_per_core(spark, monkeypatch):
+    """Partitions do not add to the work of the one task that merges the sketches, and do not change the edges."""
+    x, y = frame(3000)
+    rows, seen, per_core = table(spark, x, y, 1).persist(), [], t.a_part_per_core
+    monkeypatch.setattr(t, "a_part_per_core", lambda df: seen.append(per_core(df)) or seen[-1])
+    many = t.feature_edges(rows.repartition(64), FEATURES, 200)
+    assert [df.rdd.getNumPartitions() for df in seen] == [spark.sparkContext.defaultParallelism]
+    assert all(np.array_equal(a, b) for a, b in zip(many, t.feature_edges(rows, FEATURES, 200), strict=True))
+    rows.unpersist()
+
+
+@pytest.mark.parametrize("bootstrap", [True, False])
+def test_sums_of_a_level_side_by_side(monkeypatch, bootstrap):
+    """All nodes of a level at once, over all blocks, give what one node of one block at a time adds up to."""
+    x, y = frame(500)
+    edges = [np.unique(f[~np.isnan(f)])[:-1][:20] for f in x]
+    rng = np.random.default_rng(1)
+    tree = g.one_random_tree(g.binned(x, edges), np.round(64 * y), np.ones(len(y)), edges, {**RANDOM, "depth": 2}, 24, 0.0, 64.0, 0)
+    parts = [slice(0, 200), slice(200, 500)]
+    blocks = [(b, g.both_ways(b)) for b in (g.binned(x[:, s], edges) for s in parts)]
+    weight = rng.poisson(1.0, 500).astype(float) if bootstrap else np.ones(500)
+    drawn = lambda k: (np.round(64 * y)[parts[k]] * weight[parts[k]], weight[parts[k]])
+    nodes = [n for n in range(len(tree["value"])) if tree["feature"][n] < 0]
+    together = dict(g.level_sums(blocks, tree, nodes, drawn, 3, 24))
+    monkeypatch.setattr(g, "SIDE_BY_SIDE", 0)
+    single = {}
+    for node, sums in g.level_sums(blocks, tree, nodes, drawn, 3, 24):
+        single[node] = single.get(node, 0.0) + sums
+    assert together.keys() == single.keys() and len(nodes) > 2
+    assert all(np.array_equal(together[n], single[n]) for n in nodes if n in single)
+
+
+def test_a_spread_bootstrap_is_that_of_a_held_table(spark):
+    """The weights that are kept for all levels are those a held table draws: one block gives the same trees."""
+    x, y = frame(300, missing=0.1)
+    p = {"trees": 3, "depth": 5, "leaf": 1, "seed": 3, "bootstrap": True}
+    edges = [np.unique(f[~np.isnan(f)])[:-1][:20] for f in x]
+    block = (g.binned(x, edges), np.round(64 * y), np.ones(len(y)))
+    t.ship(spark)
+    spread = t.spread_random_trees(spark.sparkContext.parallelize([block], 1), edges, p, 24, 0.0, 64.0)
+    for number, tree in enumerate(spread):
+        held = g.one_random_tree(*block, edges, p, 24, 0.0, 64.0, number)
+        assert all(np.array_equal(tree[name], held[name]) for name in g.FIELDS) and len(tree["value"]) > 7
+    assert t.fitting(np.array([0.0, 3.0, 255.0])).dtype == np.uint8 and t.fitting(np.array([256.0])).dtype == np.uint16
