@@ -4,19 +4,25 @@ A long autoregression estimates the innovations; then the series is regressed on
 orders share one sample and one table of products, so a candidate order is a subset of the same normal equations and
 the series is read once, whatever the number of orders. Differences are decided by tests: a seasonal one by the
 strength of the seasonal pattern, a plain one by the level-stationarity statistic of Kwiatkowski et al. (1992).
+
+:func:`differences` and :func:`fit` are array expressions over one series; :func:`sarima` takes the same steps for batches
+of series in an Arrow function (:mod:`panelcast.models.sarima_grid`).
 """
 
 from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.functions.arrays import at, best, dot, let, push, steps, tail
+from panelcast.functions.arrays import at, best, dot, let, steps
 from panelcast.models.autoregression import difference, lagged
 from panelcast.models.decomposition import centred_average
+from panelcast.models.sarima_grid import path_batch
 from panelcast.models.smoothing import aicc
+from panelcast.staging import ship
 
 #: Lags of the long autoregression.
 LONG_ORDER = 3
@@ -248,60 +254,18 @@ def fit(w: Column, m: int = 1, orders: list[tuple[int, int, int, int]] | None =
     return let(_average(w), search)
 
 
-def last_innovations(w: Column, model: Column, lags: list[int]) -> Column:
-    """The innovations of the last ``max(lags)`` points under the fitted model, conditional on zeros at the start."""
-    depth = max(lags)
-
-    def step(window: Column, i: Column) -> Column:
-        value = F.get(w, i) - model["c"]
-        for k, lag in enumerate(lags):
-            value = value - at(model["phi"], k) * F.get(w, i - lag) - at(model["theta"], k) * F.get(window, F.lit(depth - lag))
-        return push(window, F.when(i < depth, F.lit(0.0)).otherwise(value), depth)
-
-    return F.aggregate(F.transform(w, lambda v, i: i), F.array_repeat(F.lit(0.0), depth), step)
-
-
-def _path(y: Column, h: int, m: int, diff: Column, model: Column, lags: list[int]) -> Column:
-    """Recursive forecast with no further innovations, the differences undone."""
-    depth = max(lags)
-
-    def back(hist: Column, k: int) -> Column:
-        return F.coalesce(F.get(hist, F.size(hist) - k), F.lit(0.0))
-
-    def differenced(hist: Column, k: int) -> Column:
-        plain = back(hist, k) - diff["d"] * back(hist, k + 1)
-        return plain - diff["seasonal"] * (back(hist, k + m) - diff["d"] * back(hist, k + m + 1))
-
-    def step(state: Column, _: Column) -> Column:
-        hist, shocks = state["hist"], state["shocks"]
-        level = model["c"]
-        for k, lag in enumerate(lags):
-            level = level + at(model["phi"], k) * differenced(hist, lag)
-            level = level + at(model["theta"], k) * F.get(shocks, F.lit(depth - lag))
-        undo = diff["d"] * back(hist, 1) + diff["seasonal"] * (back(hist, m) - diff["d"] * back(hist, m + 1))
-        return F.struct(
-            F.concat(hist, F.array(level + undo)).alias("hist"), push(shocks, F.lit(0.0), depth).alias("shocks")
-        )
-
-    start = F.struct(
-        tail(y, depth + m + 2).alias("hist"), last_innovations(diff["w"], model, lags).alias("shocks")
-    )
-    return tail(F.aggregate(steps(h), start, step)["hist"], h)
-
-
 def sarima(y: Column, h: int, m: int) -> Column:
     """Forecast of the best seasonal ARMA order on the differenced series.
 
-    Seasonal terms are searched where the differenced series has three seasons. NULL for an empty series.
+    Seasonal terms are searched where the differenced series has three seasons. NULL for an empty series. Batches of series
+    are worked out together by the same sums as those of :func:`differences` and :func:`fit`.
     """
+    ship(SparkSession.active())
+    orders = {seasonal: all_orders(seasonal) for seasonal in (False, True)}
+    limits = {"stationarity": STATIONARITY_LIMIT, "strength": STRENGTH_LIMIT, "seasons": SEASONS_NEEDED, "inside": _INSIDE}
 
-    def forecast(diff: Column, season: int) -> Column:
-        lags = [1, 2, season] if season > 1 else [1, 2]
-        return let(fit(diff["w"], season), lambda model: _path(y, h, m, diff, model, lags))
-
-    def choose(diff: Column) -> Column:
-        if m <= 1:
-            return forecast(diff, 1)
-        return F.when(F.size(diff["w"]) >= SEASONS_NEEDED * m, forecast(diff, m)).otherwise(forecast(diff, 1))
+    @F.arrow_udf("array<double>")
+    def forecast(values: pa.Array) -> pa.Array:
+        return path_batch(values, h, m, orders, limits, LONG_ORDER)
 
-    return F.when(F.size(y) > 0, let(differences(y, m), choose))
+    return forecast(y.cast("array<double>"))

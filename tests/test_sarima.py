@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.models import autoregression, sarima
+from panelcast.models import autoregression, sarima, sarima_grid
 from panelcast.operators.series import series_rows
 from panelcast.plans.audit import native_forecast
 
@@ -207,3 +207,38 @@ def test_registered(rows):
 def test_empty_series(spark):
     one = spark.sql("SELECT 'a' AS unique_id, CAST(array() AS array<double>) AS values")
     assert values(one, sarima.sarima(F.col("values"), 3, 12)) == {"a": None}
+
+
+def test_orders_are_searched_in_batches(rows):
+    """No order is interpreted as an expression: the plan holds one Arrow function and no fold over the values."""
+    plan = rows.select(sarima.sarima(F.col("values"), 3, 12).alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+
+
+def test_batches_hold_short_empty_and_broken_series(spark):
+    """Series of all lengths in one batch: each gets what it gets alone; nothing is forecast where a value is missing."""
+    rng = np.random.default_rng(6)
+    data = {f"n{n}-{k}": [float(v) for v in rng.integers(1, 50, n)] for n in [*range(1, 12), 36, 37, 50] for k in range(3)}
+    odd = {"none": [], "gap": [1.0] * 9 + [None], "nan": [1.0] * 9 + [float("nan")], "flat": [3.0] * 40, "line": [2.0 * t for t in range(40)]}
+    frame = spark.createDataFrame([*data.items(), *odd.items(), ("null", None)], "unique_id string, values array<double>").coalesce(1)
+    got = values(frame, sarima.sarima(F.col("values"), 4, 12))
+    assert got["none"] is None and got["gap"] is None and got["null"] is None and np.isnan(got["nan"]).all()
+    assert got["flat"] == [3.0] * 4 and got["line"] == [80.0, 82.0, 84.0, 86.0]
+    for uid in data:
+        np.testing.assert_allclose(got[uid], reference(np.array(data[uid]), 4, 12), rtol=1e-6, atol=1e-6, err_msg=uid)
+    alone = values(frame.where("unique_id IN ('n50-1', 'n3-0')").repartition(2, "unique_id"), sarima.sarima(F.col("values"), 4, 12))
+    assert all(got[uid] == v for uid, v in alone.items()) and len(alone) == 2
+
+
+@pytest.mark.parametrize("m", [1, 12])
+def test_batches_take_the_steps_of_the_expressions(rows, m):
+    """Constant and weights of the best order equal those of the array expression, digit by digit."""
+    long = rows.where(F.size("values") >= 36)
+    found = values(long, sarima.fit(F.col("values"), m))
+    lags = [1, 2, m] if m > 1 else [1, 2]
+    season = (lambda order: [order]) if m > 1 else (lambda order: [])
+    masks = np.array([[1, p >= 1, p >= 2, *season(P), q >= 1, q >= 2, *season(Q)] for p, q, P, Q in sarima.all_orders(m > 1)], bool)
+    for uid, f in found.items():
+        w = np.repeat(SERIES[uid][:, None], 2, 1)
+        c, phi, theta = sarima_grid.best_order(w, lags, sorted({1, 2, 3, *lags}), masks, 0.99)
+        assert (c[0], phi[:, 0].tolist(), theta[:, 0].tolist()) == (f["c"], f["phi"], f["theta"])
