@@ -235,7 +235,7 @@ def fit_trees(packed: DataFrame, rows: int, edges: list[np.ndarray], p: dict, bo
         return x[:, order], s[order], n[order]
 
     if rows <= (HELD_ROWS if boosted else 4 * HELD_ROWS):
-        blocks = blocks_of(packed.coalesce(1) if boosted else packed, len(edges))
+        blocks = blocks_of(packed.coalesce(1 if boosted else max(1, -(-rows // TASK_ROWS))), len(edges))
         if boosted:
             fit = lambda parts: [boost(Held(*table(parts), bins, p, grid), len(edges))]
             return blocks.mapPartitions(fit).collect()[0]

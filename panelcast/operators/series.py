@@ -35,6 +35,20 @@ def series_rows(panel: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
+#: Series that a partition holds at least, beyond one partition per core.
+SERIES_PER_PART = 64
+
+
+def in_few_parts(series: DataFrame, count: int) -> DataFrame:
+    """Written rows of ``count`` series in no more partitions than that number needs.
+
+    A panel may have few series however many raw rows it sums up. Fits and forecasts are chains of stages, and each would
+    start a worker in every partition of the shuffle.
+    """
+    cores = series.sparkSession.sparkContext.defaultParallelism
+    return series.coalesce(max(cores, -(-count // SERIES_PER_PART)))
+
+
 def hold_out(series: DataFrame, h: int) -> DataFrame:
     """Split the arrays: ``train``, ``valid_dates``, ``valid`` and the last training date."""
     return series.withColumns(

@@ -28,7 +28,7 @@ from panelcast.operators import champion as ch
 from panelcast.operators import evaluate as ev
 from panelcast.operators import prepare as pp
 from panelcast.operators.features import FeatureSpec, default_lag_transforms
-from panelcast.operators.series import hold_out, panel_rows, rmse_of, series_rows
+from panelcast.operators.series import hold_out, in_few_parts, panel_rows, rmse_of, series_rows
 from panelcast.operators.shards import balanced_shards
 from panelcast.plans.audit import grouped_forecast, native_forecast
 from panelcast.plans.forecast import batch_forecast, refit_and_forecast
@@ -409,6 +409,7 @@ def prepare_global(panel: DataFrame, config: GlobalConfig) -> GlobalSplit:
         hold_out(series, config.horizon).withColumn("train_dates", F.slice("dates", 1, F.col("n") - config.horizon))
     )
     pp.require_non_empty(split, "no series is longer than the horizon")
+    split = in_few_parts(split, split.count())
     return GlobalSplit(
         split,
         panel_rows(split, "train_dates", "train"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelcast import schemas
 from panelcast.catalogue.panels import demand_source, event_days, event_raw, sales, sales_raw
 from panelcast.operators.prepare import aggregate_period
+from panelcast.operators.series import SERIES_PER_PART, in_few_parts
 from panelcast.plans import jobs
 from panelcast.plans.forecast import batch_forecast
 from panelcast.sources import panel as src
@@ -276,3 +277,20 @@ def test_runs_of_one_session_replace_side_by_side(spark):
     got = {r["run_id"]: r["count"] for r in spark.table("side_by_side").groupBy("run_id").count().collect()}
     assert got == {"r0": 1, "r1": 2, "r2": 3, "r3": 4, "more": 1}
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_few_series_take_few_partitions(spark):
+    """A panel of few series is not spread over every partition of the shuffle, where each step would start a worker."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        days = "explode(sequence(DATE'2024-01-01', DATE'2024-01-09', INTERVAL 1 DAY)) AS ds"
+        panel = spark.sql(f"SELECT concat('a_', id) AS unique_id, {days}, id * 1D AS y FROM range(40)")
+        split = jobs.prepare_global(panel, jobs.GlobalConfig(freq="D", horizon=2))
+        assert split.series.rdd.getNumPartitions() == min(cores, 64)
+        assert split.series.count() == 40 and split.train_rows.count() == 280 and split.valid.count() == 80
+        wide = spark.range(0, 10, 1, 64)
+        assert in_few_parts(wide, 64 * SERIES_PER_PART).rdd.getNumPartitions() == 64
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
