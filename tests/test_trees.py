@@ -1,7 +1,11 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 
+from panelcast.models import gang
 from panelcast.models import growth as g
 from panelcast.models import trees as t
 
@@ -230,3 +234,60 @@ def test_a_spread_bootstrap_is_that_of_a_held_table(spark):
         held = g.one_random_tree(*block, edges, p, 24, 0.0, 64.0, number)
         assert all(np.array_equal(tree[name], held[name]) for name in g.FIELDS) and len(tree["value"]) > 7
     assert t.fitting(np.array([0.0, 3.0, 255.0])).dtype == np.uint8 and t.fitting(np.array([256.0])).dtype == np.uint16
+
+
+@pytest.mark.parametrize("p", [LEAVES, LEVELS, {**LEAVES, "rows": 0.7}])
+def test_tasks_side_by_side_grow_the_trees_of_a_spread_table(spark, monkeypatch, p):
+    """Several tasks that add up their sums by files find the trees of a job per step, in a few jobs, and leave no file."""
+    x, y = frame(500, seed=5)
+    p, df = {**p, "trees": 8}, table(spark, x, y).persist()
+    monkeypatch.setattr(t, "HELD_ROWS", 0)
+    monkeypatch.setattr(t, "TASK_ROWS", 150)
+    folders, shared = [], t.shared_folder
+    monkeypatch.setattr(t, "shared_folder", lambda session: folders.append(shared(session)) or folders[-1])
+    group = f"side by side {p}"
+    spark.sparkContext.setJobGroup(group, "")
+    together = t.HistogramTrees(p, FEATURES).fit(df).content
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 25
+    assert len(folders) == 1 and not os.path.exists(folders[0])
+    if "rows" in p:
+        assert t.to_text(together) == t.to_text(t.HistogramTrees(p, FEATURES).fit(df).content)
+        return
+    monkeypatch.setattr(t, "GANG_ROWS", 0)
+    spread = t.HistogramTrees(p, FEATURES).fit(df).content
+    assert len(folders) == 1
+    for a, b in zip(together["trees"], spread["trees"], strict=True):
+        assert all(a[name].tolist() == b[name].tolist() for name in g.FIELDS)
+
+
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_a_gang_adds_up_arrays(tmp_path, monkeypatch, whole):
+    monkeypatch.setattr(gang, "WHOLE", whole)
+    arrays = [[np.random.default_rng([step, rank]).integers(0, 99, (3, 5)).astype(float) for step in range(6)] for rank in range(3)]
+
+    def run(rank):
+        one = gang.Gang(str(tmp_path / "g"), rank, 3)
+        return [one.total(a) for a in arrays[rank]]
+
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(run, range(3)))
+    for step in range(6):
+        assert all(np.array_equal(f[step], sum(a[step] for a in arrays)) for f in found)
+    assert len(list((tmp_path / "g").iterdir())) <= 6
+
+
+def test_leaf_by_leaf_growth_asks_few_times(monkeypatch):
+    """Nodes that gains known so far would split are asked for together, and rows go to the leaves of the pruned tree."""
+    x, y = frame(4000, seed=4)
+    edges = [np.unique(f[~np.isnan(f)])[:-1][:60] for f in x]
+    p = {**LEAVES, "leaves": 32, "leaf": 1, "rows": 0.8}
+    held = g.Held(g.binned(x, edges), np.round(64 * y), np.ones(len(y)), 64, p, 64.0)
+    asked, sums = [], held.sums
+    monkeypatch.setattr(held, "sums", lambda tree, split, *a: asked.append(len(split)) or sums(tree, split, *a))
+    margin = np.zeros(len(y))
+    for tree in g.boost(held, 3):
+        assert (tree["feature"] < 0).sum() <= 32
+        margin += tree["value"][g.leaf_of(tree, held.twice)]
+    np.testing.assert_array_equal(held.margin, margin)
+    assert len(asked) <= 12 * p["trees"]
