@@ -294,3 +294,21 @@ def test_few_series_take_few_partitions(spark):
         assert in_few_parts(wide, 64 * SERIES_PER_PART).rdd.getNumPartitions() == 64
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_full_job_fits_full_boosters(spark, sf_dir, monkeypatch):
+    """The query's job has all models, all series and the 400 rounds of the audit."""
+    from panelcast.catalogue.jobs import series_champion_full_job
+    from panelcast.models.global_ml import params
+
+    seen = []
+
+    def stop(panel, config):
+        seen.append(config)
+        raise InterruptedError
+
+    monkeypatch.setattr(jobs, "series_champion", stop)
+    with pytest.raises(InterruptedError):
+        series_champion_full_job(spark, sf_dir)
+    assert seen == [jobs.SeriesConfig()] and seen[0].max_series == 0 and len(seen[0].stats_models) == 10
+    assert [params(k, seen[0].profile)["trees"] for k in ("lgbm", "xgb")] == [400, 400]
